@@ -154,12 +154,12 @@ def apply_scorer(chosen, scorer, model, enriched_at, batches=None):
     """Enrichment rows of the chosen signals.
 
     ``scorer`` maps a pandas frame (signal_id, source, title, body, tags, prompt) to one response
-    text per row. A row whose call fails gets the error record. ``batches`` spreads the rows, which
-    matters after a top-k that leaves them in one partition.
+    text per row. A row whose call fails gets the error record. Scoring costs far more than moving a
+    row, so rows are spread evenly by signal id; ``batches`` fixes the number of parts, which
+    matters after a top-k that leaves few rows.
     """
     rows = chosen.select("signal_id", "source", "title", "body", "tags", prompt().alias("prompt"))
-    if batches:
-        rows = rows.repartition(batches, "signal_id")
+    rows = rows.repartition(*([batches] if batches else []), "signal_id")
 
     # Nested functions travel to the executors by value, so these need no installed package there.
     def score_rows(batch):

@@ -50,29 +50,30 @@ def as_of(log, keys, version=None, timestamp=None):
     return keep_one(log, keys, [F.col("_version").desc()]).drop(*LOG_COLUMNS)
 
 
-def history(log, keys, newest=None):
-    """One row per version with the numbers of written, inserted and updated rows."""
-    first_seen = (
-        log.groupBy(*keys)
-        .agg(F.min("_version").alias("_version"))
-        .groupBy("_version")
-        .agg(F.count(F.lit(1)).alias("_inserted"))
+def history(log, keys=None, newest=None):
+    """One row per version, newest first, with the number of rows it wrote.
+
+    With ``keys`` the rows are also split into inserted and updated ones, which has to look at every
+    key of the log.
+    """
+    commits = log.groupBy(F.col("_version").alias("version")).agg(
+        F.max("_committed_at").alias("timestamp"),
+        F.max("_operation").alias("operation"),
+        F.count(F.lit(1)).alias("num_rows"),
     )
-    inserted = F.coalesce("_inserted", F.lit(0))
-    commits = (
-        log.groupBy("_version")
-        .agg(
-            F.max("_committed_at").alias("timestamp"),
-            F.max("_operation").alias("operation"),
-            F.count(F.lit(1)).alias("num_rows"),
+    if keys:
+        first_seen = (
+            log.groupBy(*keys)
+            .agg(F.min("_version").alias("version"))
+            .groupBy("version")
+            .agg(F.count(F.lit(1)).alias("num_inserted"))
         )
-        .join(first_seen, "_version", "left")
-        .select(
-            F.col("_version").alias("version"), "timestamp", "operation", "num_rows",
-            inserted.alias("num_inserted"), (F.col("num_rows") - inserted).alias("num_updated"),
+        commits = (
+            commits.join(first_seen, "version", "left")
+            .fillna(0, ["num_inserted"])
+            .withColumn("num_updated", F.col("num_rows") - F.col("num_inserted"))
         )
-        .orderBy(F.col("version").desc())
-    )
+    commits = commits.orderBy(F.col("version").desc())
     return commits if newest is None else commits.limit(newest)
 
 

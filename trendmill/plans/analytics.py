@@ -77,9 +77,11 @@ def daily_volume(source_summary, as_of, source=None):
 
 def top_terms(term_frequency, source=None, k=10):
     """Most frequent terms of each source on the newest day of the table."""
-    newest = term_frequency.agg(F.max("date").alias("date"))
+    # The filter the join would add anyway; given to both uses, it lets them share one computation.
+    dated = term_frequency.where(F.col("date").isNotNull())
+    newest = dated.agg(F.max("date").alias("date"))
     return (
-        only_source(term_frequency, source)
+        only_source(dated, source)
         .where(F.col("rank_in_source") <= k)
         .join(F.broadcast(newest), "date")
         .select("source", "term", "frequency", "rank_in_source")
@@ -118,7 +120,10 @@ def emerging_radar(enriched, signals, as_of, titles_per_row=_TITLES_PER_ROW):
         & (F.col("enriched_at") >= F.date_sub(F.lit(str(as_of)).cast("date"), 7))
     ).select("signal_id", "category")
     titled = emerging.join(signals.select("signal_id", "title"), "signal_id")
-    totals = titled.groupBy("category").agg(F.count(F.lit(1)).alias("emerging_count"))
+    # Validated categories come from the taxonomy, so the totals are a handful of rows.
+    totals = F.broadcast(
+        titled.groupBy("category").agg(F.count(F.lit(1)).alias("emerging_count"))
+    )
     parts = F.ceil(F.col("emerging_count") / titles_per_row)
     head = F.conv(F.substring("signal_id", 1, 8), 16, 10).cast("bigint")
     return (

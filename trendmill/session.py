@@ -47,3 +47,14 @@ def shared_dir(spark):
 def work_path(spark, label):
     """A path of its own below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df, label):
+    """The rows of ``df`` read back from a parquet table in the shared folder.
+
+    Cuts the lineage and gives later steps measured sizes. A lost executor costs nothing, as the
+    table outlives it. The table stays until the folder is cleaned.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
