@@ -4,9 +4,13 @@ from pyspark.sql import functions as F
 
 from contract import query
 from contract.bronze import _STORY_SQL
+from trendmill.functions.scalars import ntz
+from trendmill.operators.versions import read_log
+from trendmill.plans.silver import stories_to_signals
 from trendmill.session import work_path
 from trendmill.sources import feeds
 from trendmill.sources import standins as s
+from trendmill.sources.landing import with_ingestion_columns
 from trendmill.sources.standins import table
 from trendmill.streaming import loads
 
@@ -55,24 +59,30 @@ def stream_dedup(spark, folder):
 
 
 @query("reprocess_equals_incremental", f"""
-SELECT 'both' AS found_in, count(*) AS stories FROM ({_STORY_SQL}) HAVING count(*) > 0""")
+SELECT 'both' AS found_in, count(*) AS signals FROM ({_STORY_SQL}) HAVING count(*) > 0""")
 def reprocess_equals_incremental(spark, folder):
-    """Stories of the incremental load compared with those of a full batch read."""
-    work = work_path(spark, "stream-stories")
-    incremental = feeds.stories(s.story_records(_events(spark, folder)))
-    loads.append_bronze_new(incremental, f"{work}/data", f"{work}/progress", "stories")
-    columns = ["id", "by", "title", "url", "score", "time", "kids", "text"]
-    full = feeds.stories(s.story_records(table(spark, folder, "events"))).select(*columns)
-    loaded = spark.read.parquet(f"{work}/data").select(*columns)
-    sides = full.withColumn("_full", F.lit(1)).withColumn("_loaded", F.lit(0)).unionByName(
-        loaded.withColumn("_full", F.lit(0)).withColumn("_loaded", F.lit(1))
+    """Signals of the incremental load compared with those of a full batch read."""
+
+    def signals(rows):
+        bronze = with_ingestion_columns(rows, "stories", "b1", ntz(s.AS_OF))
+        return stories_to_signals(bronze, ntz(s.AS_OF))
+
+    work = work_path(spark, "stream-signals")
+    landed = feeds.stories(s.story_records(_events(spark, folder)))
+    order = [F.col("score").desc()]
+    loads.upsert_new(
+        landed, f"{work}/log", f"{work}/progress", ["signal_id"], order, prepare=signals
     )
-    counted = sides.groupBy(*columns).agg(
-        F.sum("_full").alias("_full"), F.sum("_loaded").alias("_loaded")
+    incremental = loads.current_rows(read_log(spark, f"{work}/log"), ["signal_id"])
+    full = signals(feeds.stories(s.story_records(table(spark, folder, "events"))))
+    names = full.columns
+    sides = full.withColumn("_side", F.lit(1)).unionByName(
+        incremental.select(*names, F.lit(-1).alias("_side"))
     )
+    balance = sides.groupBy(*names).agg(F.sum("_side").alias("_balance"))
     found = (
-        F.when(F.col("_full") == F.col("_loaded"), "both")
-        .when(F.col("_full") > F.col("_loaded"), "full only")
+        F.when(F.col("_balance") == 0, "both")
+        .when(F.col("_balance") > 0, "full only")
         .otherwise("incremental only")
     )
-    return counted.groupBy(found.alias("found_in")).agg(F.count(F.lit(1)).alias("stories"))
+    return balance.groupBy(found.alias("found_in")).agg(F.count(F.lit(1)).alias("signals"))

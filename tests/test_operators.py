@@ -194,3 +194,17 @@ def test_commit_columns(spark):
         ("id", "bigint"), ("_version", "bigint"), ("_committed_at", "timestamp_ntz"),
         ("_operation", "string"),
     ]
+
+
+def test_bucketed_top_k_equals_plain(spark):
+    frame = spark.range(3_000, numPartitions=13).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7))
+        .alias("g"),
+        F.col("id").alias("n"),
+    )
+    order = [F.col("n").desc()]
+    plain, bucketed = (top_k(frame, ["g"], order, 5, "r", b) for b in (None, 4))
+    assert rows(plain) == rows(bucketed)
+    plan = bucketed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "WindowGroupLimit" in plan[plan.rindex("Exchange hashpartitioning"):]

@@ -84,3 +84,12 @@ def in_dates(column, first, last):
 def since_days(column, as_of, days):
     """``date >= as_of - days`` for a date column."""
     return as_column(column) >= F.date_sub(F.lit(str(as_of)).cast("date"), days)
+
+
+def unfold(df, struct, *keep):
+    """The fields of a struct as columns next to the kept ones, with the struct made once per row.
+
+    A plain ``select("struct.*")`` lets a later filter be pushed below it, where Spark makes the
+    struct a second time; parsing a record twice is what a feed load can least afford.
+    """
+    return df.select(*keep, F.inline(F.array(struct)))

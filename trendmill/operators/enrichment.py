@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from trendmill import constants as c
 from trendmill.functions.scalars import as_column, ntz
 from trendmill.operators.merge import merge_upsert
+from trendmill.operators.versions import write_commit
+from trendmill.session import written
 
 # Ids broadcast to fetch candidate texts; beyond this number Spark picks the join itself.
 _BROADCAST_IDS = 100_000
@@ -53,26 +55,29 @@ def batch_number(batches, key="signal_id"):
 
 
 def unfence(response):
-    """Response text without a surrounding Markdown code fence."""
-    text = F.regexp_replace(as_column(response), r"^\s+|\s+$", "")
-    newline = F.locate("\n", text)
-    opened = F.when(newline > 0, F.substring(text, newline + 1, F.length(text))).otherwise(text)
-    tail = F.length(F.substring_index(opened, "```", -1))
-    closed = F.when(
-        opened.contains("```"), F.substring(opened, F.lit(1), F.length(opened) - tail - 3)
-    ).otherwise(opened)
-    return F.when(text.startswith("```"), F.regexp_replace(closed, r"^\s+|\s+$", "")).otherwise(
-        text
-    )
+    """Response text without a surrounding Markdown code fence.
+
+    A fenced text loses its first line and everything from the last fence on.
+    """
+    fenced = r"(?s)^\s*```[^\n]*\n(.*?)(?:```(?!.*```).*)?\z"
+    text = F.regexp_replace(as_column(response), fenced, "$1")
+    return F.regexp_replace(text, r"^\s+|\s+\z", "")
 
 
 def parse(response):
     """Struct of the response fields, NULL unless the response is one JSON object."""
-    text = unfence(response)
     options = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
-    parsed = F.from_json(text, _RESPONSE, options)
-    usable = text.startswith("{") & text.endswith("}") & parsed["_bad"].isNull()
-    return F.when(usable, parsed)
+
+    def usable(read):
+        text, fields = read["text"], read["fields"]
+        whole = text.startswith("{") & text.endswith("}") & fields["_bad"].isNull()
+        return F.when(whole, fields)
+
+    # Through the lambda the text is cut out and parsed once, however often it is looked at.
+    text = F.transform(F.array(unfence(response)), lambda t: F.struct(
+        t.alias("text"), F.from_json(t, _RESPONSE, options).alias("fields")
+    ))
+    return F.get(F.transform(text, usable), F.lit(0))
 
 
 def validated(parsed):
@@ -184,3 +189,18 @@ def resume(signals, enriched, scorer, model, enriched_at, max_signals, batches=N
     chosen = candidates(signals, enriched, max_signals)
     fresh = apply_scorer(chosen, scorer, model, enriched_at, batches)
     return merge_upsert(enriched, fresh, ["signal_id"])
+
+
+def commit_in_batches(spark, chosen, log_path, first_version, scorer, model, clock, batches):
+    """Enriches the chosen signals in ``batches`` commits to a change log.
+
+    A run that breaks off keeps the commits made so far, and the next run's candidates leave their
+    signals out. The choice is written first, so that every batch sees the same one.
+    """
+    numbered = written(chosen.withColumn("_batch", batch_number(batches)), "enrich-candidates")
+    for number in range(batches):
+        batch = numbered.where(F.col("_batch") == number).drop("_batch")
+        now = clock()
+        rows = apply_scorer(batch, scorer, model, now)
+        write_commit(rows, log_path, first_version + number, now, "ENRICH")
+    return numbered.drop("_batch")

@@ -12,8 +12,22 @@ SINGLE_TASK_ROWS = 2_000_000
 _ROW_BITS = 33
 
 
-def top_k(df, group, order, k, rank):
-    """Best ``k`` rows of each group with their rank; cut to k per task before the shuffle."""
+def top_k(df, group, order, k, rank, buckets=None):
+    """Best ``k`` rows of each group with their rank; cut to k per task before the shuffle.
+
+    With very many map tasks, k rows of each still are a lot for the one task that ranks a group.
+    ``buckets`` adds a step between: the tasks are dealt into that many buckets, each is cut to k
+    rows, and only those meet.
+    """
+    if buckets:
+        bucket = F.pmod(F.spark_partition_id(), F.lit(buckets))
+        window = Window.partitionBy(*group, "_bucket").orderBy(*order)
+        df = (
+            df.withColumn("_bucket", bucket)
+            .withColumn("_in_bucket", F.row_number().over(window))
+            .where(F.col("_in_bucket") <= k)
+            .drop("_bucket", "_in_bucket")
+        )
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 

@@ -11,6 +11,9 @@ from trendmill.operators.ranking import rank_all, top_k
 
 _DAY = ["source", "date"]
 
+# Groups of map tasks that settle their best signals among themselves first.
+_TRENDING_BUCKETS = 64
+
 
 def in_range(signals, first, last):
     """Signals created in a closed date range, with their ``date``."""
@@ -64,7 +67,7 @@ def trending_signals(dated, as_of, k=c.TRENDING_PER_GROUP):
         "date", "tags",
     )
     order = [F.col("composite_score").desc(), F.col("signal_id").asc()]
-    return top_k(scored, _DAY, order, k, "rank_in_source").select(
+    return top_k(scored, _DAY, order, k, "rank_in_source", _TRENDING_BUCKETS).select(
         "signal_id", "source", "title", "url", "score", "composite_score", "rank_in_source",
         "date", "tags",
     )

@@ -8,13 +8,12 @@ on ``spark.read.text(dir)`` and ``spark.readStream.text(dir)``. The text itself
 from pyspark.sql import functions as F
 
 from trendmill import schemas
-from trendmill.functions.scalars import after_last, collapse_whitespace
+from trendmill.functions.scalars import after_last, collapse_whitespace, unfold
 
 
 def _parsed(records, schema, column):
-    return records.select(
-        F.from_json(column, schema).alias("r"), F.col(column).alias("_raw_json")
-    ).select("r.*", "_raw_json")
+    raw = F.col(column).alias("_raw_json")
+    return unfold(records, F.from_json(column, schema), raw)
 
 
 def stories(records, column="value"):
@@ -84,8 +83,9 @@ def paper_entries(entries):
 
 def papers(records, column="value"):
     """Papers from rows holding the XML text of one entry each."""
-    entries = records.select(F.from_xml(column, schemas.PAPER_ENTRY.simpleString()).alias("e"))
-    return paper_entries(entries.select("e.*"))
+    return paper_entries(
+        unfold(records, F.from_xml(column, schemas.PAPER_ENTRY.simpleString()))
+    )
 
 
 def read_papers(spark, path):

@@ -64,15 +64,19 @@ def append_bronze_new(stream, path, checkpoint, source):
     return _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def upsert_new(stream, log_path, checkpoint, keys, order, clock=None):
+def utc_now():
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def upsert_new(stream, log_path, checkpoint, keys, order, prepare=None, clock=utc_now):
     """Upserts new rows: one change-log version per micro-batch, best row per key.
 
+    ``prepare`` turns the rows of a batch into the rows to upsert, such as bronze rows into signals.
     The version is the batch number and is overwritten when a batch is repeated.
     """
-    clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     def write(rows, number):
-        complete, _ = split_null_keys(rows, keys)
+        complete, _ = split_null_keys(prepare(rows) if prepare else rows, keys)
         write_commit(keep_one(complete, keys, order), log_path, number, clock(), "MERGE")
 
     return _run(stream.writeStream.foreachBatch(write), checkpoint)
