@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from contract import query
-from contract.gold import dated
+from contract.gold import dated, dated_texts
 from contract.quality import log as quality_log_rows
 from contract.quality import LOG as QUALITY_LOG
 from contract.sql import (
@@ -63,7 +63,7 @@ def q04_daily_volume(spark, folder):
 SELECT source, term, frequency, rank_in_source FROM term_frequency
 WHERE rank_in_source <= 10 AND date = (SELECT max(date) FROM term_frequency)""")
 def q05_top_terms(spark, folder):
-    return analytics.top_terms(gold.top_term_frequency(dated(spark, folder), 10))
+    return analytics.top_terms(gold.top_term_frequency(dated_texts(spark, folder), 10))
 
 
 @query("q06_overlap", f"""WITH {TERM_COUNTS}
@@ -73,7 +73,7 @@ FROM term_counts WHERE date >= DATE '2024-02-01' - 7
 GROUP BY term HAVING count(DISTINCT source) >= 3
 ORDER BY total_mentions DESC, term LIMIT 20""")
 def q06_overlap(spark, folder):
-    return analytics.term_overlap(gold.term_counts(dated(spark, folder)), s.AS_OF)
+    return analytics.term_overlap(gold.term_counts(dated_texts(spark, folder)), s.AS_OF)
 
 
 @query("q07_emerging", f"""WITH {SIGNALS}, {ENRICHED}

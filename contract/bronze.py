@@ -25,15 +25,15 @@ def stories(spark, folder):
 
 
 def repos(spark, folder):
-    return feeds.repos(s.repo_records(table(spark, folder, "documents")))
+    return feeds.repos(s.repo_records(s.text_table(spark, folder, "documents")))
 
 
 def questions(spark, folder):
-    return feeds.questions(s.question_records(table(spark, folder, "pages")))
+    return feeds.questions(s.question_records(s.text_table(spark, folder, "pages")))
 
 
 def papers(spark, folder):
-    return feeds.papers(s.document_entries(table(spark, folder, "documents")))
+    return feeds.papers(s.document_entries(s.text_table(spark, folder, "documents")))
 
 
 @query("bronze_stories", _STORY_SQL)

@@ -23,9 +23,14 @@ def dated(spark, folder):
     return gold.in_range(s.signals(spark, folder), s.FIRST_DAY, s.LAST_DAY)
 
 
+def dated_texts(spark, folder):
+    """As ``dated``, for work on every word of the titles."""
+    return gold.in_range(s.signals(spark, folder, s.text_table), s.FIRST_DAY, s.LAST_DAY)
+
+
 @query("term_frequency", f"WITH {TERM_FREQUENCY} SELECT * FROM term_frequency")
 def term_frequency(spark, folder):
-    return gold.term_frequency(dated(spark, folder))
+    return gold.term_frequency(dated_texts(spark, folder))
 
 
 @query("title_tokens", f"""WITH {DATED}, {TITLE_WORDS}
@@ -33,7 +38,7 @@ SELECT source, term, count(*) AS mentions FROM title_words
 WHERE length(term) >= 3 AND term NOT IN ({STOP_WORDS}) GROUP BY source, term""")
 def title_tokens(spark, folder):
     """Title words alone."""
-    rows = dated(spark, folder).withColumn("tags", F.array().cast("array<string>"))
+    rows = dated_texts(spark, folder).withColumn("tags", F.array().cast("array<string>"))
     terms = all_terms(rows, "source")
     return terms.groupBy("source", "term").agg(F.count(F.lit(1)).alias("mentions"))
 

@@ -23,6 +23,18 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark, folder, name):
+    """A table read for heavy work on its texts.
+
+    A table with fewer scan tasks than the cluster has cores, such as one file with one row group,
+    would keep most cores idle. It is small, so dealing out its rows costs little; tables with
+    enough tasks are left as they are.
+    """
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def text(column):
     return F.col(column).cast("string")
 
@@ -104,13 +116,13 @@ def turn_signals(conversations):
     )
 
 
-def signals(spark, folder):
+def signals(spark, folder, read=table):
     """The signals table over all four sources."""
     return (
         event_signals(table(spark, folder, "events"))
-        .unionByName(document_signals(table(spark, folder, "documents")))
-        .unionByName(page_signals(table(spark, folder, "pages")))
-        .unionByName(turn_signals(table(spark, folder, "conversations")))
+        .unionByName(document_signals(read(spark, folder, "documents")))
+        .unionByName(page_signals(read(spark, folder, "pages")))
+        .unionByName(turn_signals(read(spark, folder, "conversations")))
     )
 
 
