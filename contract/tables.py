@@ -56,10 +56,11 @@ def merge_partial(spark, folder):
 def change_log(spark, folder):
     """Three commits on three days, written to and read back from a change log."""
     path = work_path(spark, "customer-log")
-    versions.write_commit(table(spark, folder, "customer"), path, 1, "2024-01-01", "CREATE")
+    customer = table(spark, folder, "customer")
+    versions.write_commit(customer, path, 1, "2024-01-01", "CREATE")
     versions.write_commit(indebted(spark, folder), path, 2, "2024-01-02", "MERGE")
     versions.write_commit(incoming(spark, folder), path, 3, "2024-01-03", "MERGE")
-    return versions.read_log(spark, path)
+    return versions.read_log(spark, path, customer.schema)
 
 
 @query("table_history", """

@@ -123,3 +123,15 @@ def test_enrichment_commits_by_batch(spark, tmp_path):
     assert {r.version for r in versions.history(log).collect()} <= {1, 2, 3, 4}
     left = enrichment.candidates(frame, versions.as_of(log, ["signal_id"]), 20)
     assert left.count() == 10
+
+
+def test_range_of_a_log_uses_the_current_version(spark):
+    """A key that moved out of the range is gone from it; one that moved in is there."""
+    day = lambda n: dt.datetime(2024, 1, n)
+    log = spark.createDataFrame(
+        [(1, day(1), 1), (1, day(9), 2), (2, day(9), 1), (2, day(1), 2), (3, day(1), 1),
+         (4, day(9), 1)],
+        "id int, created_at timestamp_ntz, _version long",
+    ).withColumns({"_committed_at": ntz("2024-01-01"), "_operation": F.lit("MERGE")})
+    rows = versions.as_of(log, ["id"], within=F.col("created_at") < ntz("2024-01-05"))
+    assert sorted(r.id for r in rows.collect()) == [2, 3]

@@ -70,7 +70,7 @@ def gate_breaches(max_null_share=c.MAX_NULL_SHARE, max_duplicate_share=c.MAX_DUP
     broken_nulls = F.transform(
         F.filter(
             F.map_entries("null_counts"),
-            lambda e: e["value"] > F.lit(max_null_share) * total,
+            lambda e: F.try_divide(e["value"], total) > max_null_share,
         ),
         lambda e: F.concat(F.lit("nulls:"), e["key"]),
     )
@@ -80,7 +80,7 @@ def gate_breaches(max_null_share=c.MAX_NULL_SHARE, max_duplicate_share=c.MAX_DUP
 
     checks = F.concat(
         broken_nulls,
-        flag(F.col("duplicate_count") > F.lit(max_duplicate_share) * total, "duplicates"),
+        flag(F.try_divide("duplicate_count", total) > max_duplicate_share, "duplicates"),
         flag(~F.col("is_fresh"), "stale"),
     )
     return F.when(total == 0, F.array(F.lit("empty"))).otherwise(checks)

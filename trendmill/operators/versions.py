@@ -5,6 +5,7 @@ key up to it. A commit therefore costs the size of the change, not of the table.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from trendmill.functions.scalars import ntz
 from trendmill.operators.dedup import keep_one
@@ -33,21 +34,41 @@ def write_commit(rows, path, version, committed_at, operation):
     )
 
 
-def read_log(spark, path):
+def log_schema(schema):
+    """A table's schema with the columns of its change log."""
+    return StructType(
+        [
+            *schema.fields,
+            StructField("_committed_at", TimestampNTZType()),
+            StructField("_operation", StringType()),
+            StructField("_version", LongType()),
+        ]
+    )
+
+
+def read_log(spark, path, schema=None):
+    """The change log at ``path``; with the table's ``schema`` no file is opened to learn it."""
+    if schema is not None:
+        return spark.read.schema(log_schema(schema)).parquet(path)
     log = spark.read.option("mergeSchema", "true").parquet(path)
     return log.withColumn("_version", F.col("_version").cast("bigint"))
 
 
-def as_of(log, keys, version=None, timestamp=None):
+def as_of(log, keys, version=None, timestamp=None, within=None):
     """Table content at a version or a time; by default the current one.
 
-    A time before the first commit gives an empty table.
+    A time before the first commit gives an empty table. ``within`` keeps the rows that meet a
+    condition: only keys with some version meeting it are brought together, the others cannot
+    matter.
     """
     if version is not None:
         log = log.where(F.col("_version") <= version)
     if timestamp is not None:
         log = log.where(F.col("_committed_at") <= ntz(timestamp))
-    return keep_one(log, keys, [F.col("_version").desc()]).drop(*LOG_COLUMNS)
+    if within is not None:
+        log = log.join(log.where(within).select(*keys).distinct(), keys, "left_semi")
+    rows = keep_one(log, keys, [F.col("_version").desc()]).drop(*LOG_COLUMNS)
+    return rows if within is None else rows.where(within)
 
 
 def history(log, keys=None, newest=None):

@@ -22,18 +22,23 @@ def in_range(signals, first, last):
     )
 
 
-def in_weeks(signals, first, last):
-    """As ``in_range`` with the range widened to whole weeks and the week before it.
+def weeks_around(first, last):
+    """Condition for the whole weeks of a date range and the week before them.
 
     Velocity compares full weeks, so a range cut in the middle of a week would fake a change.
     """
-    monday = F.date_trunc("week", F.lit(str(first)).cast("date")).cast("date")
-    lower = F.date_sub(monday, 7).cast("timestamp_ntz")
-    upper = F.date_add(F.date_trunc("week", F.lit(str(last)).cast("date")).cast("date"), 7)
+
+    def monday(day):
+        return F.date_trunc("week", F.lit(str(day)).cast("date")).cast("date")
+
     created = F.col("created_at")
-    return signals.where((created >= lower) & (created < upper.cast("timestamp_ntz"))).withColumn(
-        "date", F.to_date("created_at")
-    )
+    lower, upper = F.date_sub(monday(first), 7), F.date_add(monday(last), 7)
+    return (created >= lower.cast("timestamp_ntz")) & (created < upper.cast("timestamp_ntz"))
+
+
+def in_weeks(signals, first, last):
+    """As ``in_range`` with the range widened by ``weeks_around``."""
+    return signals.where(weeks_around(first, last)).withColumn("date", F.to_date("created_at"))
 
 
 def term_counts(dated):

@@ -8,14 +8,26 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from trendmill import constants as c
+from trendmill import schemas
 from trendmill.operators import quality, versions
 from trendmill.operators.dedup import split_null_keys
 from trendmill.plans import gold, silver
 from trendmill.session import written
-from trendmill.sources.landing import newer_ingested, read_bronze
+from trendmill.sources.landing import bronze_schema, newer_ingested, read_bronze
 
 REQUIRED = ["signal_id", "title", "url", "created_at"]
+BRONZE = {
+    c.STORIES: schemas.STORIES_RAW,
+    c.REPOS: schemas.REPOS_RAW,
+    c.PAPERS: schemas.PAPERS_RAW,
+    c.QUESTIONS: schemas.QUESTIONS_RAW,
+}
+MARKS = StructType(
+    [StructField("source", StringType()), StructField("last_timestamp", StringType())]
+)
 
 
 def read_if_written(read, path):
@@ -30,7 +42,7 @@ def read_if_written(read, path):
 
 def read_marks(spark, path):
     """(mark per source, last version) of a marks log; the log holds one row per source and run."""
-    log = read_if_written(lambda p: versions.read_log(spark, p), path)
+    log = read_if_written(lambda p: versions.read_log(spark, p, MARKS), path)
     if log is None:
         return {}, 0
     rows = log.groupBy("source").agg(
@@ -50,7 +62,9 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     marks, last = read_marks(spark, marks_path)
     version = last + 1
     landed = {
-        source: read_if_written(lambda p: read_bronze(spark, p), path)
+        source: read_if_written(
+            lambda p, schema=BRONZE[source]: read_bronze(spark, p, bronze_schema(schema)), path
+        )
         for source, path in bronze_paths.items()
         if source in silver.TRANSFORMS
     }
@@ -91,15 +105,16 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     checks = quality.log_rows(metrics, batch, str(now))
     versions.write_commit(checks, log_path, version, now, "APPEND")
     versions.write_commit(
-        spark.createDataFrame(sorted(found.items()), "source string, last_timestamp string"),
+        spark.createDataFrame(sorted(found.items()), MARKS),
         marks_path, version, now, "MERGE",
     )
     return {r["source"]: r["total_rows"] for r in metrics.collect()}
 
 
-def current_signals(spark, silver_path):
-    """Signals as of the last commit."""
-    return versions.as_of(versions.read_log(spark, silver_path), ["signal_id"])
+def current_signals(spark, silver_path, within=None):
+    """Signals as of the last commit, optionally only those meeting a condition."""
+    log = versions.read_log(spark, silver_path, schemas.SIGNALS)
+    return versions.as_of(log, ["signal_id"], within=within)
 
 
 def replace_days(rows, path, day="date"):
@@ -120,7 +135,7 @@ def replace_days(rows, path, day="date"):
 def refresh_gold(spark, silver_path, gold_path, first, last, as_of):
     """Rebuilds the gold tables for a closed range of days from one snapshot of silver."""
     names = ["signal_id", "source", "title", "body", "url", "author", "score", "created_at", "tags"]
-    current = current_signals(spark, silver_path).select(*names)
+    current = current_signals(spark, silver_path, gold.weeks_around(first, last)).select(*names)
     weeks = written(gold.in_weeks(current, first, last), "gold-signals")
     days = gold.in_range(weeks.drop("date"), first, last)
     replace_days(gold.term_frequency(days), f"{gold_path}/tech_term_frequency")

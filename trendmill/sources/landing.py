@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from trendmill.functions.scalars import as_column, ntz
 from trendmill.operators.dedup import keep_one
@@ -81,8 +82,26 @@ def append_bronze(df, path, source, batch, ingested_at=None):
     return seen.get["rows"]
 
 
-def read_bronze(spark, path):
-    """All batches; columns added by later batches are NULL in earlier ones."""
+def bronze_schema(schema):
+    """A feed's bronze schema with the ingestion columns."""
+    return StructType(
+        [
+            *schema.fields,
+            StructField("_ingested_at", TimestampNTZType()),
+            StructField("_source", StringType()),
+            StructField("_batch_id", StringType()),
+        ]
+    )
+
+
+def read_bronze(spark, path, schema=None):
+    """All batches; columns that only some of them have are NULL in the others.
+
+    Without a schema the columns of all files are merged, for which Spark opens every file. A table
+    of many files is better read with the columns that are wanted.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
