@@ -66,3 +66,19 @@ def test_log_rows_are_repeatable(spark, tmp_path):
     quality.append_log(rows, str(tmp_path / "log"))
     saved = spark.read.parquet(str(tmp_path / "log"))
     assert saved.count() == 2 and saved.first()["null_counts"] == '{"title":0}'
+
+
+def test_freshness_of_text_times(spark):
+    frame = spark.createDataFrame(
+        [("a", "2024-01-10T00:00:00Z"), ("b", "soon"), ("c", None)], "source string, at string"
+    )
+    got = {
+        r["source"]: (r["newest"], r["freshness_hours"], r["is_fresh"])
+        for r in quality.quality_metrics(
+            frame, ["source"], [], "at", "2024-01-11T12:00:00"
+        ).collect()
+    }
+    assert got == {
+        "a": ("2024-01-10T00:00:00Z", 36.0, True), "b": ("soon", None, False),
+        "c": (None, None, False),
+    }

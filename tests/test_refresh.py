@@ -135,3 +135,27 @@ def test_range_of_a_log_uses_the_current_version(spark):
     ).withColumns({"_committed_at": ntz("2024-01-01"), "_operation": F.lit("MERGE")})
     rows = versions.as_of(log, ["id"], within=F.col("created_at") < ntz("2024-01-05"))
     assert sorted(r.id for r in rows.collect()) == [2, 3]
+
+
+def test_ingest(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+
+    def ingest(source, rows, batch, now):
+        return refresh.ingest(
+            spark, source, rows, path(source), path("quality"), path("checkpoints"), batch, now
+        )
+
+    assert refresh.read_checkpoint(spark, path("checkpoints"), c.STORIES) == {}
+    assert ingest(c.STORIES, stories(spark, (1, "a", 5, 0), (4, "b", 1, 0)), "b1", "2024-01-05") == 2
+    assert ingest(c.QUESTIONS, questions(spark, 7), "q1", "2024-01-05") == 1
+    assert ingest(c.STORIES, stories(spark, (9, "c", 5, 0), (9, "c", 5, 0)), "b2", "2024-01-06") == 2
+    assert ingest(c.STORIES, stories(spark, (9, "c", 5, 0)).where("false"), "b3", "2024-01-07") == 0
+    mark = refresh.read_checkpoint(spark, path("checkpoints"), c.STORIES)
+    assert (mark["last_id"], mark["last_timestamp"], mark["last_batch_id"]) == ("9", None, "b2")
+    mark = refresh.read_checkpoint(spark, path("checkpoints"), c.QUESTIONS)
+    assert (mark["last_id"], mark["last_timestamp"]) == (None, "1704067200")
+    log = {r.batch_id: r for r in spark.read.parquet(path("quality")).collect()}
+    assert log["b1"].quality_passed and log["b1"].is_fresh and log["b1"].total_rows == 2
+    assert (log["b2"].duplicate_count, log["b2"].quality_passed) == (1, False)
+    assert log["b1"].null_counts == '{"id":0,"title":0,"score":0,"time":0}'
+    assert not log["b3"].quality_passed, "an empty batch does not pass"

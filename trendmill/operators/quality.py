@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from trendmill import constants as c
-from trendmill.functions.scalars import age_hours, as_column, ntz
+from trendmill.functions.scalars import age_hours, as_column, iso_to_timestamp, ntz
 
 
 def quality_metrics(
@@ -21,7 +21,7 @@ def quality_metrics(
 
     Repeated rows are all rows minus distinct keys, where a NULL key counts as a key. Required
     columns the table lacks are ignored. Without a timestamp column the group counts as fresh; a
-    column that is missing or all NULL does not. Spark reduces the distinct keys on the map side, so
+    column that is missing, all NULL or text that is no ISO time does not. Spark reduces the distinct keys on the map side, so
     one large group is no problem.
     """
     present = [name for name in required_columns if name in df.columns]
@@ -38,7 +38,8 @@ def quality_metrics(
     if timestamp_column is None:
         hours, fresh = F.lit(None).cast("double"), F.lit(True)
     elif timed:
-        age = age_hours("newest", as_of)
+        is_text = dict(df.dtypes)[timestamp_column] == "string"
+        age = age_hours(iso_to_timestamp("newest") if is_text else ntz(F.col("newest")), as_of)
         hours, fresh = F.round(age, 2), F.coalesce(age <= max_age_hours, F.lit(False))
     else:
         hours, fresh = F.lit(None).cast("double"), F.lit(False)

@@ -107,7 +107,7 @@ def term_overlap(term_counts, as_of, min_sources=3, k=20):
     )
 
 
-def emerging_radar(enriched, signals, as_of, titles_per_row=_TITLES_PER_ROW):
+def emerging_radar(enriched, signals, as_of, source=None, titles_per_row=_TITLES_PER_ROW):
     """Emerging signals of the past week by category, with their titles.
 
     A category has one row, ``part`` 0, until it has more than ``titles_per_row`` titles. A larger
@@ -119,7 +119,8 @@ def emerging_radar(enriched, signals, as_of, titles_per_row=_TITLES_PER_ROW):
         F.col("is_emerging")
         & (F.col("enriched_at") >= F.date_sub(F.lit(str(as_of)).cast("date"), 7))
     ).select("signal_id", "category")
-    titled = emerging.join(signals.select("signal_id", "title"), "signal_id")
+    titles = only_source(signals, source).select("signal_id", "title")
+    titled = emerging.join(titles, "signal_id")
     # Validated categories come from the taxonomy, so the totals are a handful of rows.
     totals = F.broadcast(
         titled.groupBy("category").agg(F.count(F.lit(1)).alias("emerging_count"))

@@ -1,4 +1,4 @@
-"""From landed bronze tables to gold tables, incrementally and safe to repeat.
+"""From landed feeds to bronze, silver and gold tables, incrementally and safe to repeat.
 
 Silver is a change log (see ``operators.versions``), gold tables are parquet tables replaced by day.
 Every step may be run again after a failure: it finishes or redoes what it began.
@@ -12,11 +12,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from trendmill import constants as c
 from trendmill import schemas
+from trendmill.functions.scalars import ntz
 from trendmill.operators import quality, versions
 from trendmill.operators.dedup import split_null_keys
 from trendmill.plans import gold, silver
 from trendmill.session import written
-from trendmill.sources.landing import bronze_schema, newer_ingested, read_bronze
+from trendmill.sources.landing import (
+    append_bronze,
+    bronze_schema,
+    high_water_mark,
+    newer_ingested,
+    read_bronze,
+    read_mark,
+)
 
 REQUIRED = ["signal_id", "title", "url", "created_at"]
 BRONZE = {
@@ -25,11 +33,64 @@ BRONZE = {
     c.PAPERS: schemas.PAPERS_RAW,
     c.QUESTIONS: schemas.QUESTIONS_RAW,
 }
+# --- fixed values -----------------------------------------------------------------------------
+# Checked at ingestion: key columns, required columns, and the columns whose highest values mark how
+# far a feed has been read (id, timestamp).
+CHECKS = {
+    c.STORIES: (["id"], ["id", "title", "score", "time"], "id", None),
+    c.REPOS: (
+        ["full_name"], ["id", "full_name", "html_url", "stargazers_count"], None, "pushed_at",
+    ),
+    c.PAPERS: (["arxiv_id"], ["arxiv_id", "title", "summary", "published"], None, "published"),
+    c.QUESTIONS: (
+        ["question_id"], ["question_id", "title", "score", "creation_date"], None, "creation_date",
+    ),
+}
+# ----------------------------------------------------------------------------------------------
 MARKS = StructType(
     [StructField("source", StringType()), StructField("last_timestamp", StringType())]
 )
 
 
+def ingest(spark, source, rows, bronze_path, log_path, checkpoints_path, batch, now):
+    """Appends one batch of bronze rows, checks it and marks how far its feed has been read.
+
+    The checks run on the batch as written, which is cheaper than parsing the feed again. Returns
+    the number of rows. The marks are a change log keyed by source (``read_checkpoint``).
+    """
+    keys, required, id_column, time_column = CHECKS[source]
+    count = append_bronze(rows, bronze_path, source, batch, ntz(now))
+    table = read_bronze(spark, bronze_path, bronze_schema(BRONZE[source]))
+    mine = table.where(F.col("_batch_id") == batch)
+    metrics = quality.table_metrics(mine, source, key_columns=keys, required_columns=required)
+    quality.append_log(quality.log_rows(quality.with_gate(metrics), batch, str(now)), log_path)
+    if count:
+        nothing = F.lit(None).cast("string")
+        with_marks = mine.withColumns(
+            {
+                "_mark_id": F.col(id_column) if id_column else nothing,
+                "_mark_time": F.col(time_column) if time_column else nothing,
+            }
+        )
+        marks = high_water_mark(with_marks, "_mark_id", "_mark_time", now)
+        version = _last_version(spark, checkpoints_path) + 1
+        versions.write_commit(marks, checkpoints_path, version, now, "MERGE")
+    return count
+
+
+def _last_version(spark, path):
+    log = read_if_written(lambda p: versions.read_log(spark, p, schemas.CHECKPOINTS), path)
+    return 0 if log is None else log.agg(F.max("_version")).first()[0] or 0
+
+
+def read_checkpoint(spark, checkpoints_path, source):
+    """The newest mark of a source as a dict, empty when it has none."""
+    log = read_if_written(
+        lambda p: versions.read_log(spark, p, schemas.CHECKPOINTS), checkpoints_path
+    )
+    return {} if log is None else read_mark(versions.as_of(log, ["source"]), source)
+
+
 def read_if_written(read, path):
     """``read(path)``, or None when nothing has been written there yet."""
     try:
