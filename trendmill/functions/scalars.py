@@ -19,6 +19,11 @@ def ntz(value):
     return value.cast("timestamp_ntz")
 
 
+def utc_now():
+    """Current UTC time as ``timestamp_ntz``, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), ntz(_EPOCH))
+
+
 def as_column(value):
     return F.col(value) if isinstance(value, str) else value
 

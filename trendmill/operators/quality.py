@@ -1,7 +1,5 @@
 """Data quality of a table, measured in one aggregation for all groups."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from trendmill import constants as c
@@ -115,7 +113,3 @@ def log_rows(gated, batch_id, checked_at):
 
 def append_log(rows, path):
     rows.write.mode("append").parquet(path)
-
-
-def union_metrics(frames):
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -13,12 +13,13 @@ from trendmill.functions.scalars import (
     json_strings,
     strip_html,
     surrogate_key,
+    utc_now,
 )
 from trendmill.operators.dedup import keep_best, keep_latest
 
 
 def _signals(rows, source, native_id, processed_at, **columns):
-    stamp = F.localtimestamp() if processed_at is None else as_column(processed_at)
+    stamp = utc_now() if processed_at is None else as_column(processed_at)
     return rows.select(
         surrogate_key(source, native_id).alias("signal_id"),
         F.lit(source).alias("source"),

@@ -6,7 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from trendmill.functions.scalars import as_column, ntz
+from trendmill.functions.scalars import as_column, ntz, utc_now
 from trendmill.operators.dedup import keep_one
 
 
@@ -59,7 +59,7 @@ def batch_id(source, at, token):
 
 def with_ingestion_columns(df, source, batch, ingested_at=None):
     """Adds ``_ingested_at``, ``_source`` and ``_batch_id``."""
-    stamp = F.localtimestamp() if ingested_at is None else as_column(ingested_at)
+    stamp = utc_now() if ingested_at is None else as_column(ingested_at)
     return df.withColumns(
         {
             "_ingested_at": stamp.cast("timestamp_ntz"),
