@@ -6,7 +6,7 @@ from trendmill import constants as c
 from trendmill.functions.scalars import ntz
 from trendmill.operators import enrichment, versions
 from trendmill.plans import refresh
-from trendmill.sources import feeds, landing
+from trendmill.sources import catalog, feeds, landing
 
 
 def stories(spark, *items):
@@ -89,6 +89,22 @@ def test_bronze_to_gold(spark, tmp_path):
     days = {r.date for r in tables["source_summary"].collect()}
     assert days == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
 
+    # The tables can be queried with SQL, also after another day was added.
+    catalog.create_databases(spark, ["gold_test"])
+    catalog.publish(spark, "gold_test.source_summary", path("gold/source_summary"))
+    count = "SELECT sum(signal_count) FROM gold_test.source_summary WHERE source = 'hackernews'"
+    assert spark.sql(count).first()[0] == 3
+    landing.append_bronze(
+        stories(spark, (8, "eps", 1, 4)), bronze[c.STORIES], c.STORIES, "b4", ntz("2024-01-12")
+    )
+    silver("2024-01-13")
+    refresh.refresh_gold(
+        spark, path("silver"), path("gold"), "2024-01-05", "2024-01-05", "2024-01-06"
+    )
+    catalog.publish(spark, "gold_test.source_summary", path("gold/source_summary"))
+    assert spark.sql(count).first()[0] == 4
+    spark.sql("DROP DATABASE gold_test CASCADE")
+
 
 def test_failed_run_is_repeated_under_its_version(spark, tmp_path):
     """Silver is written but the mark is lost: the next run replaces the version."""

@@ -46,6 +46,13 @@ CHECKS = {
         ["question_id"], ["question_id", "title", "score", "creation_date"], None, "creation_date",
     ),
 }
+# Columns the gold tables are mostly filtered by.
+CLUSTER_BY = {
+    "tech_term_frequency": ["term", "source"],
+    "trending_signals": ["source", "composite_score"],
+    "source_summary": ["source"],
+    "tech_velocity": ["term"],
+}
 # ----------------------------------------------------------------------------------------------
 MARKS = StructType(
     [StructField("source", StringType()), StructField("last_timestamp", StringType())]
@@ -178,14 +185,16 @@ def current_signals(spark, silver_path, within=None):
     return versions.as_of(log, ["signal_id"], within=within)
 
 
-def replace_days(rows, path, day="date"):
+def replace_days(rows, path, day="date", cluster_by=()):
     """Replaces the days that occur in ``rows`` and leaves all other days alone.
 
     Rows that dropped out of a day's ranking go with the old day instead of staying behind.
-    Rebalancing gathers small days into few files and still splits a day too large for one task.
+    Rebalancing gathers small days into few files and still splits a day too large for one task;
+    sorting by ``cluster_by`` lets scans skip most of a file.
     """
     (
         rows.hint("rebalance", day)
+        .sortWithinPartitions(day, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -199,13 +208,14 @@ def refresh_gold(spark, silver_path, gold_path, first, last, as_of):
     current = current_signals(spark, silver_path, gold.weeks_around(first, last)).select(*names)
     weeks = written(gold.in_weeks(current, first, last), "gold-signals")
     days = gold.in_range(weeks.drop("date"), first, last)
-    replace_days(gold.term_frequency(days), f"{gold_path}/tech_term_frequency")
-    replace_days(gold.trending_signals(days, as_of), f"{gold_path}/trending_signals")
-    replace_days(gold.source_summary(days), f"{gold_path}/source_summary")
     monday = F.date_trunc("week", F.lit(str(first)).cast("date")).cast("date")
-    velocity = gold.tech_velocity(weeks).where(F.col("week_start") >= monday)
-    replace_days(velocity, f"{gold_path}/tech_velocity", "week_start")
-    return {
-        name: spark.read.parquet(f"{gold_path}/{name}")
-        for name in ("tech_term_frequency", "trending_signals", "source_summary", "tech_velocity")
+    tables = {
+        "tech_term_frequency": gold.term_frequency(days),
+        "trending_signals": gold.trending_signals(days, as_of),
+        "source_summary": gold.source_summary(days),
+        "tech_velocity": gold.tech_velocity(weeks).where(F.col("week_start") >= monday),
     }
+    for name, rows in tables.items():
+        day = "week_start" if name == "tech_velocity" else "date"
+        replace_days(rows, f"{gold_path}/{name}", day, CLUSTER_BY[name])
+    return {name: spark.read.parquet(f"{gold_path}/{name}") for name in tables}

@@ -19,7 +19,9 @@ def build_session(app_name="trendmill", master=None, **conf):
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Keeps the state of streaming dedup off the heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,
     }
     for key, value in settings.items():

@@ -28,6 +28,16 @@ def create_table(spark, name, schema, partition_columns=(), properties=None):
     return True
 
 
+def publish(spark, name, path):
+    """Makes a written parquet table known to SQL under ``name``, with all its partitions."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def row_counts(spark, named):
     """Row count per table in one job; a missing table (None) counts as -1."""
     parts = []
