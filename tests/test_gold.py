@@ -120,3 +120,46 @@ def test_run_report(spark):
     rows = {r.step: r for r in analytics.run_report(log).collect()}
     assert len(rows["a"].result) == 100 and rows["a"].duration_sec == 1.3
     assert tuple(analytics.run_totals(log).first()) == (3, 1, 1, 1, 3.3)
+
+
+def test_author_leaderboard(spark):
+    frame = spark.createDataFrame(
+        [signal("1", author="ann", score=5), signal("2", author="ann", score=4, source="t"),
+         signal("3", author="ann", score=None, day=9), signal("4", author="bob"),
+         *[signal(f"x{i}", author="unknown", score=99) for i in range(5)],
+         *[signal(f"y{i}", author=None, score=99) for i in range(5)]],
+        SCHEMA,
+    )
+    rows = analytics.author_leaderboard(frame).collect()
+    assert [(r.author, r.signal_count, r.avg_score, r.active_sources) for r in rows] == [
+        ("ann", 3, 4.5, ["s", "t"])
+    ]
+    assert rows[0].latest_signal == dt.datetime(2024, 1, 9)
+
+
+def test_quality_dashboard_and_filters(spark):
+    log = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 31, 5), 10, 1, 1.25, True),
+         ("a", dt.datetime(2024, 1, 31, 9), 5, 0, None, False),
+         ("a", dt.datetime(2024, 1, 20), 5, 0, 1.0, True),
+         ("b", dt.datetime(2024, 1, 30), 2, 0, 3.0, True)],
+        "source string, checked_at timestamp_ntz, total_rows long, duplicate_count long, "
+        "freshness_hours double, quality_passed boolean",
+    )
+    rows = [tuple(r) for r in analytics.quality_dashboard(log, "2024-02-01").collect()]
+    assert rows == [
+        ("a", dt.date(2024, 1, 31), 15, 1, 1.3, 1, 2), ("b", dt.date(2024, 1, 30), 2, 0, 3.0, 1, 1),
+    ]
+    assert analytics.quality_dashboard(log, "2024-02-01", "b").count() == 1
+
+
+def test_sentiment_share_adds_up(spark):
+    frame = spark.createDataFrame([signal(str(i)) for i in range(7)], SCHEMA)
+    enriched = frame.selectExpr(
+        "signal_id", "if(signal_id = '6', 'error', 'Web') as category",
+        "if(signal_id < '2', 'positive', 'neutral') as sentiment",
+    )
+    rows = analytics.sentiment_share(enriched, frame).collect()
+    assert [(r.sentiment, r.signal_count, r.pct) for r in rows] == [
+        ("neutral", 4, 66.7), ("positive", 2, 33.3),
+    ]

@@ -62,10 +62,14 @@ def test_log_rows_are_repeatable(spark, tmp_path):
     )
     rows = quality.log_rows(gated, "batch", "2024-01-11")
     assert rows.first() == quality.log_rows(gated, "batch", "2024-01-11").first()
-    quality.append_log(rows, str(tmp_path / "log"))
-    quality.append_log(rows, str(tmp_path / "log"))
-    saved = spark.read.parquet(str(tmp_path / "log"))
-    assert saved.count() == 2 and saved.first()["null_counts"] == '{"title":0}'
+    path = str(tmp_path / "log")
+    quality.append_log(rows, path)
+    quality.append_log(rows, path)
+    quality.append_log(quality.log_rows(gated, "007", "2024-01-12"), path)
+    saved = quality.read_log(spark, path)
+    assert saved.columns == rows.columns
+    assert sorted(r.batch_id for r in saved.collect()) == ["007", "batch"]
+    assert {r["null_counts"] for r in saved.collect()} == {'{"title":0}'}
 
 
 def test_freshness_of_text_times(spark):

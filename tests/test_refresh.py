@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from trendmill import constants as c
 from trendmill.functions.scalars import ntz
-from trendmill.operators import enrichment, versions
+from trendmill.operators import enrichment, quality, versions
 from trendmill.plans import refresh
 from trendmill.sources import catalog, feeds, landing
 
@@ -170,8 +170,13 @@ def test_ingest(spark, tmp_path):
     assert (mark["last_id"], mark["last_timestamp"], mark["last_batch_id"]) == ("9", None, "b2")
     mark = refresh.read_checkpoint(spark, path("checkpoints"), c.QUESTIONS)
     assert (mark["last_id"], mark["last_timestamp"]) == (None, "1704067200")
-    log = {r.batch_id: r for r in spark.read.parquet(path("quality")).collect()}
+    log = {r.batch_id: r for r in quality.read_log(spark, path("quality")).collect()}
     assert log["b1"].quality_passed and log["b1"].is_fresh and log["b1"].total_rows == 2
     assert (log["b2"].duplicate_count, log["b2"].quality_passed) == (1, False)
     assert log["b1"].null_counts == '{"id":0,"title":0,"score":0,"time":0}'
     assert not log["b3"].quality_passed, "an empty batch does not pass"
+
+    # A run repeated after a failure leaves one copy of its batch and its check.
+    ingest(c.QUESTIONS, questions(spark, 7), "q1", "2024-01-05")
+    assert spark.read.parquet(path(c.QUESTIONS)).count() == 1
+    assert quality.read_log(spark, path("quality")).where("batch_id = 'q1'").count() == 1

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from trendmill import constants as c
 from trendmill.functions.scalars import age_hours, as_column, iso_to_timestamp, ntz
+from trendmill.schemas import QUALITY_LOG
 
 
 def quality_metrics(
@@ -112,4 +113,14 @@ def log_rows(gated, batch_id, checked_at):
 
 
 def append_log(rows, path):
-    rows.write.mode("append").parquet(path)
+    """Adds checks to the log; the checks of a batch written again replace the earlier ones."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def read_log(spark, path):
+    return spark.read.schema(QUALITY_LOG).parquet(path).select(*QUALITY_LOG.fieldNames())

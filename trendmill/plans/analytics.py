@@ -151,17 +151,30 @@ def sentiment_share(enriched, signals, source=None):
 
 
 def author_leaderboard(signals, source=None, min_signals=3, k=20):
-    """Named authors with several signals, best average score first."""
+    """Named authors with several signals, best average score first.
+
+    Counted per author and source first, which Spark does by hashing on the map side; collecting
+    sources straight from the signals would sort all of them.
+    """
     named = F.col("author").isNotNull() & ~F.col("author").isin("anonymous", "unknown")
-    return (
+    per_source = (
         only_source(signals, source)
         .where(named)
-        .groupBy("author")
+        .groupBy("author", "source")
+        .agg(
+            F.count(F.lit(1)).alias("signals"),
+            F.sum("score").alias("points"),
+            F.count("score").alias("scored"),
+            F.max("created_at").alias("latest"),
+        )
+    )
+    return (
+        per_source.groupBy("author")
         .agg(
-            F.count(F.lit(1)).alias("signal_count"),
-            F.round(F.avg("score"), 1).alias("avg_score"),
-            F.array_sort(F.collect_set("source")).alias("active_sources"),
-            F.max("created_at").alias("latest_signal"),
+            F.sum("signals").alias("signal_count"),
+            F.round(F.try_divide(F.sum("points"), F.sum("scored")), 1).alias("avg_score"),
+            F.array_sort(F.collect_list("source")).alias("active_sources"),
+            F.max("latest").alias("latest_signal"),
         )
         .where(F.col("signal_count") >= min_signals)
         .orderBy(F.col("avg_score").desc(), "author")

@@ -70,12 +70,17 @@ def with_ingestion_columns(df, source, batch, ingested_at=None):
 
 
 def append_bronze(df, path, source, batch, ingested_at=None):
-    """Appends one batch and returns its row count, counted during the write itself."""
+    """Adds one batch and returns its row count, counted during the write itself.
+
+    Batches already there stay as they are. A batch written again after a failure replaces its first
+    attempt instead of doubling it.
+    """
     seen = Observation(f"append-{batch}")
     rows = with_ingestion_columns(df, source, batch, ingested_at)
     (
         rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_batch_id")
         .parquet(path)
     )
