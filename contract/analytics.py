@@ -32,7 +32,9 @@ SELECT rank_in_source AS rank, source, title, score AS raw_score,
 FROM (SELECT * FROM trending WHERE date >= DATE '2024-02-01' - 7
       ORDER BY composite_score DESC, signal_id LIMIT 20)""")
 def q01_trending(spark, folder):
-    return analytics.trending(gold.trending_signals(dated(spark, folder), s.AS_OF), s.AS_OF)
+    """Days are ranked by themselves, so only those of the past week are built."""
+    recent = dated(spark, folder, first="2024-01-25")
+    return analytics.trending(gold.trending_signals(recent, s.AS_OF), s.AS_OF)
 
 
 @query("q02_accelerating", f"""WITH {VELOCITY}

@@ -145,7 +145,8 @@ def enrich_default(spark, folder):
 
 @query("enrich_apply", f"WITH {SIGNALS}, {SCORED} SELECT * FROM scored")
 def enrich_apply(spark, folder):
-    return enrichment.apply_scorer(s.signals(spark, folder), SCORER, MODEL, RUN_AT)
+    signals = s.signals(spark, folder, s.text_table)
+    return enrichment.apply_scorer(signals, SCORER, MODEL, RUN_AT)
 
 
 @query("enrich_resume", f"""WITH {CANDIDATES}, {SCORED}

@@ -19,8 +19,8 @@ from trendmill.plans import gold
 from trendmill.sources import standins as s
 
 
-def dated(spark, folder):
-    return gold.in_range(s.signals(spark, folder), s.FIRST_DAY, s.LAST_DAY)
+def dated(spark, folder, first=s.FIRST_DAY):
+    return gold.in_range(s.signals(spark, folder), first, s.LAST_DAY)
 
 
 def dated_texts(spark, folder):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from trendmill import constants as c
@@ -130,7 +131,7 @@ def test_enrichment_commits_by_batch(spark, tmp_path):
     log_path = str(tmp_path / "log")
     chosen = enrichment.candidates(frame, None, 20)
     done = enrichment.commit_in_batches(
-        spark, chosen, log_path, 1, enrichment.keyword_scorer({"Cloud": ["cloud"]}), "m",
+        spark, chosen, log_path, enrichment.keyword_scorer({"Cloud": ["cloud"]}), "m",
         lambda: dt.datetime(2024, 1, 1), 4,
     )
     assert done.count() == 20
@@ -141,6 +142,36 @@ def test_enrichment_commits_by_batch(spark, tmp_path):
     assert left.count() == 10
 
 
+def test_broken_off_enrichment_is_continued(spark, tmp_path):
+    frame = spark.range(30).select(
+        F.md5(F.col("id").cast("string")).alias("signal_id"), F.lit("s").alias("source"),
+        F.lit("t").alias("title"), F.lit("b").alias("body"),
+        F.lit(None).cast("array<string>").alias("tags"), F.lit(1).alias("score"),
+    )
+    log_path = str(tmp_path / "log")
+    scorer = enrichment.keyword_scorer({})
+    calls = iter([dt.datetime(2024, 1, 1)] * 2)
+
+    def breaks_in_the_third_batch():
+        return next(calls)
+
+    def run(clock):
+        done = versions.read_log(spark, log_path) if versions.last_version(spark, log_path) else None
+        enriched = versions.as_of(done, ["signal_id"]) if done is not None else None
+        chosen = enrichment.candidates(frame, enriched, 100)
+        enrichment.commit_in_batches(spark, chosen, log_path, scorer, "m", clock, 4)
+
+    with pytest.raises(StopIteration):
+        run(breaks_in_the_third_batch)
+    kept = versions.read_log(spark, log_path).count()
+    assert 0 < kept < 30
+    run(lambda: dt.datetime(2024, 1, 2))
+    log = versions.read_log(spark, log_path)
+    assert log.count() == 30, "no signal was scored twice"
+    assert versions.as_of(log, ["signal_id"]).where("enriched_at < '2024-01-02'").count() == kept
+    assert {r.category for r in log.collect()} == {"Other"}
+
+
 def test_range_of_a_log_uses_the_current_version(spark):
     """A key that moved out of the range is gone from it; one that moved in is there."""
     day = lambda n: dt.datetime(2024, 1, n)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from trendmill import constants as c
 from trendmill.functions.scalars import as_column, ntz
 from trendmill.operators.merge import merge_upsert
-from trendmill.operators.versions import write_commit
+from trendmill.operators.versions import last_version, write_commit
+from trendmill.schemas import ENRICHED
 from trendmill.session import written
 
 # Ids broadcast to fetch candidate texts; beyond this number Spark picks the join itself.
@@ -134,7 +135,8 @@ def keyword_scorer(rules, positive=(), negative=(), emerging=()):
     other, neutral = c.DEFAULT_CATEGORY, c.DEFAULT_SENTIMENT
 
     def score(batch):
-        text = (batch["title"].fillna("") + " " + batch["tags"].map(" ".join)).str.lower()
+        tags = batch["tags"].map(lambda words: "" if words is None else " ".join(words))
+        text = (batch["title"].fillna("") + " " + tags).str.lower()
 
         def has(pattern):
             return text.str.contains(pattern, regex=True, flags=re.ASCII)
@@ -159,12 +161,13 @@ def apply_scorer(chosen, scorer, model, enriched_at, batches=None):
     """Enrichment rows of the chosen signals.
 
     ``scorer`` maps a pandas frame (signal_id, source, title, body, tags, prompt) to one response
-    text per row. A row whose call fails gets the error record. Scoring costs far more than moving a
-    row, so rows are spread evenly by signal id; ``batches`` fixes the number of parts, which
-    matters after a top-k that leaves few rows.
+    text per row. A row whose call fails gets the error record. ``batches`` spreads the rows over that
+    many tasks, for choices that sit in few partitions, such as a top-k; without it rows are scored
+    where they are.
     """
     rows = chosen.select("signal_id", "source", "title", "body", "tags", prompt().alias("prompt"))
-    rows = rows.repartition(*([batches] if batches else []), "signal_id")
+    if batches:
+        rows = rows.repartition(batches, "signal_id")
 
     # Nested functions travel to the executors by value, so these need no installed package there.
     def score_rows(batch):
@@ -191,16 +194,17 @@ def resume(signals, enriched, scorer, model, enriched_at, max_signals, batches=N
     return merge_upsert(enriched, fresh, ["signal_id"])
 
 
-def commit_in_batches(spark, chosen, log_path, first_version, scorer, model, clock, batches):
+def commit_in_batches(spark, chosen, log_path, scorer, model, clock, batches):
     """Enriches the chosen signals in ``batches`` commits to a change log.
 
     A run that breaks off keeps the commits made so far, and the next run's candidates leave their
     signals out. The choice is written first, so that every batch sees the same one.
     """
     numbered = written(chosen.withColumn("_batch", batch_number(batches)), "enrich-candidates")
+    first = last_version(spark, log_path, ENRICHED) + 1
     for number in range(batches):
         batch = numbered.where(F.col("_batch") == number).drop("_batch")
         now = clock()
         rows = apply_scorer(batch, scorer, model, now)
-        write_commit(rows, log_path, first_version + number, now, "ENRICH")
+        write_commit(rows, log_path, first + number, now, "ENRICH")
     return numbered.drop("_batch")

@@ -9,6 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from trendmill.functions.scalars import ntz
 from trendmill.operators.dedup import keep_one
+from trendmill.session import read_if_written
 
 LOG_COLUMNS = ["_version", "_committed_at", "_operation"]
 
@@ -54,6 +55,12 @@ def read_log(spark, path, schema=None):
     return log.withColumn("_version", F.col("_version").cast("bigint"))
 
 
+def last_version(spark, path, schema=None):
+    """Number of the last commit, 0 before the first one."""
+    log = read_if_written(lambda p: read_log(spark, p, schema), path)
+    return 0 if log is None else log.agg(F.max("_version")).first()[0] or 0
+
+
 def as_of(log, keys, version=None, timestamp=None, within=None):
     """Table content at a version or a time; by default the current one.
 

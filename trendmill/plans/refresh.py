@@ -6,7 +6,6 @@ Every step may be run again after a failure: it finishes or redoes what it began
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -16,7 +15,7 @@ from trendmill.functions.scalars import ntz
 from trendmill.operators import quality, versions
 from trendmill.operators.dedup import split_null_keys
 from trendmill.plans import gold, silver
-from trendmill.session import written
+from trendmill.session import read_if_written, written
 from trendmill.sources.landing import (
     append_bronze,
     bronze_schema,
@@ -80,16 +79,11 @@ def ingest(spark, source, rows, bronze_path, log_path, checkpoints_path, batch,
             }
         )
         marks = high_water_mark(with_marks, "_mark_id", "_mark_time", now)
-        version = _last_version(spark, checkpoints_path) + 1
+        version = versions.last_version(spark, checkpoints_path, schemas.CHECKPOINTS) + 1
         versions.write_commit(marks, checkpoints_path, version, now, "MERGE")
     return count
 
 
-def _last_version(spark, path):
-    log = read_if_written(lambda p: versions.read_log(spark, p, schemas.CHECKPOINTS), path)
-    return 0 if log is None else log.agg(F.max("_version")).first()[0] or 0
-
-
 def read_checkpoint(spark, checkpoints_path, source):
     """The newest mark of a source as a dict, empty when it has none."""
     log = read_if_written(
@@ -98,16 +92,6 @@ def read_checkpoint(spark, checkpoints_path, source):
     return {} if log is None else read_mark(versions.as_of(log, ["source"]), source)
 
 
-def read_if_written(read, path):
-    """``read(path)``, or None when nothing has been written there yet."""
-    try:
-        return read(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
-
-
 def read_marks(spark, path):
     """(mark per source, last version) of a marks log; the log holds one row per source and run."""
     log = read_if_written(lambda p: versions.read_log(spark, p, MARKS), path)

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -60,3 +61,13 @@ def written(df, label):
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_if_written(read, path):
+    """``read(path)``, or None when nothing has been written there yet."""
+    try:
+        return read(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
