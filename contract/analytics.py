@@ -65,7 +65,7 @@ def q04_daily_volume(spark, folder):
 SELECT source, term, frequency, rank_in_source FROM term_frequency
 WHERE rank_in_source <= 10 AND date = (SELECT max(date) FROM term_frequency)""")
 def q05_top_terms(spark, folder):
-    return analytics.top_terms(gold.top_term_frequency(dated_texts(spark, folder), 10))
+    return analytics.top_terms(gold.newest_top_terms(dated(spark, folder), 10))
 
 
 @query("q06_overlap", f"""WITH {TERM_COUNTS}

@@ -163,3 +163,18 @@ def test_sentiment_share_adds_up(spark):
     assert [(r.sentiment, r.signal_count, r.pct) for r in rows] == [
         ("neutral", 4, 66.7), ("positive", 2, 33.3),
     ]
+
+
+def test_newest_day_without_terms_is_passed_over(spark):
+    rows = dated(
+        spark, signal("1", title="alpha beta", day=3), signal("2", title="gamma", day=2),
+        signal("3", title="a b c", day=5), signal("4", title=None, day=9),
+    )
+    assert gold.newest_term_day(rows) == dt.date(2024, 1, 3)
+    newest = analytics.top_terms(gold.newest_top_terms(rows, 1)).collect()
+    assert [(r.term, r.rank_in_source) for r in newest] == [("alpha", 1)]
+    by_table = analytics.top_terms(gold.term_frequency(rows), k=1).collect()
+    assert by_table == newest
+    nothing = rows.where("signal_id > '2'")
+    assert gold.newest_term_day(nothing) is None
+    assert analytics.top_terms(gold.newest_top_terms(nothing, 1)).collect() == []

@@ -64,6 +64,24 @@ def top_term_frequency(dated, k):
     return top_k(term_counts(dated), _DAY, _by_frequency(), k, "rank_in_source")
 
 
+def newest_term_day(dated):
+    """Newest day with any term, None without one.
+
+    The newest day is known from the dates alone and nearly always has terms; only if it has none is
+    the day before it looked at. So no texts but those of one day are read.
+    """
+    day = dated.agg(F.max("date")).first()[0]
+    while day is not None and all_terms(dated.where(F.col("date") == F.lit(day)), "date").isEmpty():
+        day = dated.where(F.col("date") < F.lit(day)).agg(F.max("date")).first()[0]
+    return day
+
+
+def newest_top_terms(dated, k):
+    """As ``top_term_frequency`` for the newest day with terms."""
+    day = newest_term_day(dated)
+    return top_term_frequency(dated if day is None else in_range(dated, day, day), k)
+
+
 def trending_signals(dated, as_of, k=c.TRENDING_PER_GROUP):
     """Top signals of each source and day by composite score."""
     scored = dated.select(
