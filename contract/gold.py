@@ -1,5 +1,7 @@
 """Gold tables."""
 
+from pyspark.sql import functions as F
+
 from contract import query
 from contract.sql import (
     COMPOSITE,
@@ -12,7 +14,6 @@ from contract.sql import (
     TRENDING,
     VELOCITY,
 )
-from pyspark.sql import functions as F
 from trendmill.functions.scoring import composite_score as score_of
 from trendmill.functions.terms import all_terms
 from trendmill.plans import gold
@@ -43,7 +44,8 @@ def title_tokens(spark, folder):
     return terms.groupBy("source", "term").agg(F.count(F.lit(1)).alias("mentions"))
 
 
-@query("composite_score", f"WITH {SIGNALS} SELECT signal_id, {COMPOSITE} AS composite_score FROM signals")
+@query("composite_score", f"""WITH {SIGNALS}
+SELECT signal_id, {COMPOSITE} AS composite_score FROM signals""")
 def composite_score(spark, folder):
     value = score_of("score", "tags", "created_at", s.AS_OF)
     return s.signals(spark, folder).select("signal_id", value.alias("composite_score"))

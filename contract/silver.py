@@ -113,7 +113,7 @@ def silver_questions(spark, folder):
     return silver.questions_to_signals(bronze_questions(spark, folder), ntz(_DONE))
 
 
-@query("unified_signals", f"{_STORIES} UNION ALL {_REPOS} UNION ALL {_PAPERS} UNION ALL {_QUESTIONS}")
+@query("unified_signals", " UNION ALL ".join([_STORIES, _REPOS, _PAPERS, _QUESTIONS]))
 def unified_signals(spark, folder):
     bronze = {
         c.STORIES: bronze_stories(spark, folder),

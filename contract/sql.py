@@ -53,8 +53,9 @@ DATED = f"""{SIGNALS}, dated AS (
   WHERE created_at::DATE BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
 )"""
 
-STOP_WORDS = """'that','this','with','from','what','have','your','will','about','they','been','more',
-'when','than','just','like','does','into','some','only','other','also','there','which'"""
+STOP_WORDS = """'that','this','with','from','what','have','your','will',
+'about','they','been','more','when','than','just','like',
+'does','into','some','only','other','also','there','which'"""
 
 TITLE_WORDS = f"""title_words AS (
   SELECT source, date, regexp_replace(word, '[^a-z0-9+#]', '', 'g') AS term

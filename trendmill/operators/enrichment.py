@@ -161,9 +161,9 @@ def apply_scorer(chosen, scorer, model, enriched_at, batches=None):
     """Enrichment rows of the chosen signals.
 
     ``scorer`` maps a pandas frame (signal_id, source, title, body, tags, prompt) to one response
-    text per row. A row whose call fails gets the error record. ``batches`` spreads the rows over that
-    many tasks, for choices that sit in few partitions, such as a top-k; without it rows are scored
-    where they are.
+    text per row. A row whose call fails gets the error record. ``batches`` spreads the rows over
+    that many tasks, for choices that sit in few partitions, such as a top-k; without it rows are
+    scored where they are.
     """
     rows = chosen.select("signal_id", "source", "title", "body", "tags", prompt().alias("prompt"))
     if batches:
