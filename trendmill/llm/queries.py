@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from trendmill.llm import sharding
+from trendmill.llm import quality, sharding
 from trendmill.llm.registry import query
-from trendmill.llm.shared import table
+from trendmill.llm.shared import crc_part, table
 
 
 @query("op7_hilbert_shards")
@@ -15,3 +15,14 @@ def op7_hilbert_shards(spark, folder):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "along",
     )
+
+
+@query("op1_byte_cnn_quality")
+def op1_byte_cnn_quality(spark, folder):
+    """Quality of every document, learned from the labelled rows outside the held-out fifth."""
+    docs = table(spark, folder, "documents")
+    net = quality.train(docs, table(spark, folder, "labels"))
+    held_out = crc_part(F.col("doc_id"), quality.HELD_OUT_PARTS) == 0
+    return quality.score(docs, net).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted"
+    )

@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -38,7 +39,7 @@ def id_and_text(docs):
 def slabs(texts, most=SLAB_CHARS):
     """``(start, end)`` runs of an Arrow string column that hold about ``most`` bytes or one text."""
     start, held = 0, 0
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_pylist()
+    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     for i, n in enumerate(sizes):
         if i > start and held + n > most:
             yield start, i
