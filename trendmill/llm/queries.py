@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trendmill.llm import quality, sharding
+from trendmill.llm import pii, quality, sharding
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -26,3 +26,20 @@ def op1_byte_cnn_quality(spark, folder):
     return quality.score(docs, net).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted"
     )
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark, folder):
+    """Personal data in every document; counts and ``spans`` hold disguised identifiers as well."""
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+    spans = F.col("spans")
+    counts = [
+        F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    base = pii.joined_spans(F.filter(spans, lambda s: s["base"]))
+    return found.select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
+        pii.joined_spans(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: ~s["base"])).cast("long").alias("n_disguised"),
+    )
