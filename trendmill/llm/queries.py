@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trendmill.llm import pii, quality, sharding
+from trendmill.llm import pii, quality, sharding, simhash
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -43,3 +43,12 @@ def op2_personal_data(spark, folder):
         pii.joined_spans(spans).alias("spans"),
         F.size(F.filter(spans, lambda s: ~s["base"])).cast("long").alias("n_disguised"),
     )
+
+
+@query("op4_simhash_near_duplicates")
+def op4_simhash_near_duplicates(spark, folder):
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
