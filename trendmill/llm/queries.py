@@ -1,8 +1,9 @@
 """The ten operators over their whole tables, and the pipeline."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from trendmill.llm import pii, quality, sharding, simhash
+from trendmill.llm import bpe, pii, quality, sharding, simhash
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -52,3 +53,9 @@ def op4_simhash_near_duplicates(spark, folder):
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op8_speculative_bpe")
+def op8_speculative_bpe(spark, folder):
+    """Tokens of every document, and the text they decode to."""
+    return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -36,10 +36,17 @@ def id_and_text(docs):
     )
 
 
-def slabs(texts, most=SLAB_CHARS):
-    """``(start, end)`` runs of an Arrow string column that hold about ``most`` bytes or one text."""
+def _weights(values):
+    """Bytes of each string, or items of each list, of an Arrow column."""
+    if pa.types.is_list(values.type):
+        return pc.multiply(pc.list_value_length(values), 8)
+    return pc.binary_length(values)
+
+
+def slabs(values, most=SLAB_CHARS):
+    """``(start, end)`` runs of an Arrow column that hold about ``most`` bytes or one value."""
     start, held = 0, 0
-    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
+    sizes = _weights(values).fill_null(0).to_pylist()
     for i, n in enumerate(sizes):
         if i > start and held + n > most:
             yield start, i
@@ -49,36 +56,37 @@ def slabs(texts, most=SLAB_CHARS):
         yield start, len(sizes)
 
 
-def map_texts(docs, make, schema):
-    """Applies a function of texts to a table of narrow columns and ``text``.
+def map_column(df, name, make, schema):
+    """Replaces the column ``name`` by columns made from its values in batches.
 
-    ``make()`` is called once in a task and gives ``function(texts)``, which takes a list of strings
-    and returns a dict of columns as long as the list. The result has the columns of ``docs``
-    without ``text``, followed by ``schema`` (a DDL string).
+    ``make()`` is called once in a task and gives ``function(values)``, which takes a list and returns a
+    dict of columns as long as the list. The result has the other columns of ``df``, followed by
+    ``schema`` (a DDL string).
     """
-    on_workers(docs.sparkSession)
-    kept = [n for n in docs.columns if n != "text"]
-    full = StructType(
-        [docs.schema[n] for n in kept] + StructType.fromDDL(schema).fields
-    )
+    on_workers(df.sparkSession)
+    kept = [n for n in df.columns if n != name]
+    full = StructType([df.schema[n] for n in kept] + StructType.fromDDL(schema).fields)
     arrow = to_arrow_schema(full)
 
     def run(batches):
         function = make()
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            for start, end in slabs(texts):
+            values = batch.column(batch.schema.get_field_index(name))
+            for start, end in slabs(values):
                 part = batch.slice(start, end - start)
-                made = function(texts.slice(start, end - start).to_pylist())
+                made = function(values.slice(start, end - start).to_pylist())
                 columns = [part.column(part.schema.get_field_index(n)) for n in kept]
-                columns += [
-                    pa.array(made[f.name], type=f.type) for f in list(arrow)[len(kept):]
-                ]
+                columns += [pa.array(made[f.name], type=f.type) for f in list(arrow)[len(kept):]]
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow
                 )
 
-    return docs.mapInArrow(run, full)
+    return df.mapInArrow(run, full)
+
+
+def map_texts(docs, make, schema):
+    """:func:`map_column` of the column ``text``."""
+    return map_column(docs, "text", make, schema)
 
 
 def crc_part(column, parts):
