@@ -60,6 +60,13 @@ class Merges:
         self.merged = {
             (ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)
         }
+        #: token -> rank of the merge that makes it (-1: a single byte), and its two halves
+        self.rank = dict.fromkeys(ids.values(), -1)
+        self.halves = {}
+        for pair, (rank, new) in self.merged.items():
+            if new in self.halves or rank <= max(self.rank[pair[0]], self.rank[pair[1]]):
+                raise ValueError("merges that repeat a token or come before their parts")
+            self.rank[new], self.halves[new] = rank, pair
         symbols = byte_symbols()
         self.first_inner = [ids[symbols[b]] for b in range(256)]
         self.first_ended = [ids[symbols[b] + WORD_END] for b in range(256)]
@@ -83,8 +90,12 @@ class Merges:
 
     def _keep_exact(self):
         """Drops tokens that merging their own bytes doesn't give; no encoding contains them."""
-        for table, end in ((self.inner, False), (self.ended, True)):
-            for data in [d for d, i in table.items() if len(d) > 1 and self.merge(d, end) != [i]]:
+        exact = set(self.first_inner) | set(self.first_ended)
+        for (left, right), (_, new) in self.merged.items():
+            if left in exact and right in exact and self._stay_apart(left, right, joined=True):
+                exact.add(new)
+        for table in (self.inner, self.ended):
+            for data in [d for d, i in table.items() if i not in exact]:
                 del table[data]
 
     def merge(self, data, ended=True):
@@ -121,8 +132,28 @@ class Merges:
 
     def compatible(self, left, right):
         """Whether merging the joined bytes of two tokens gives these two again."""
-        data = self.bytes_of[left] + self.bytes_of[right]
-        return self.merge(data, right in self.ended_ids) == [left, right]
+        return self._stay_apart(left, right)
+
+    def _stay_apart(self, a, b, joined=False):
+        """Whether no merge crosses the border of two tokens while they are put together.
+
+        The later of the two tokens at the border is taken apart step by step. Each step shows the
+        pair that once met there; if its merge comes before the one that took either away, it is
+        taken first. Among equal ranks the leftmost goes first. ``joined`` leaves out the pair itself.
+        """
+        merged, rank, halves = self.merged, self.rank, self.halves
+        a_taken = b_taken = len(merged)
+        while True:
+            found = merged.get((a, b))
+            if found and not joined and found[0] < a_taken and found[0] <= b_taken:
+                return False
+            joined = False
+            if rank[a] > rank[b]:
+                a_taken, a = rank[a], halves[a][1]
+            elif rank[b] >= 0:
+                b_taken, b = rank[b], halves[b][0]
+            else:
+                return True
 
     def parts(self, text):
         """Words of a text between white space, and its special tokens as ids, in order.
