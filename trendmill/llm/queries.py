@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from trendmill.llm import bpe, pii, quality, sharding, simhash
+from trendmill.llm import bpe, pii, quality, sharding, simhash, token_counts
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -59,3 +59,10 @@ def op4_simhash_near_duplicates(spark, folder):
 def op8_speculative_bpe(spark, folder):
     """Tokens of every document, and the text they decode to."""
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_prefix_token_counts")
+def op9_prefix_token_counts(spark, folder):
+    """Bytes and tokens of every document, and how much of it fits into 2,048 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count_tokens(table(spark, folder, "documents"), path)
