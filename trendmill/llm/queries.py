@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from trendmill.llm import bpe, pii, quality, sharding, simhash, token_counts
+from trendmill.llm import bpe, language, pii, quality, sharding, simhash, token_counts
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -66,3 +66,13 @@ def op9_prefix_token_counts(spark, folder):
     """Bytes and tokens of every document, and how much of it fits into 2,048 tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(table(spark, folder, "documents"), path)
+
+
+@query("op6_language_families")
+def op6_language_families(spark, folder):
+    """Language of every document, learned from the rows outside the held-out quarter."""
+    docs = table(spark, folder, "documents")
+    held_out = crc_part(F.col("doc_id"), language.HELD_OUT_PARTS) == language.HELD_OUT
+    return language.identify(docs, language.train(docs)).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
