@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from trendmill.llm import bpe, language, pii, quality, sharding, simhash, token_counts
+from trendmill.llm import bpe, language, neighbours, pii, quality, sharding, simhash, token_counts
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -76,3 +76,10 @@ def op6_language_families(spark, folder):
     return language.identify(docs, language.train(docs)).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op10_projected_neighbours")
+def op10_projected_neighbours(spark, folder):
+    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
