@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from trendmill.llm.shared import on_workers
 from trendmill.session import written
 
-K, PROJECTED, LEAF, CERTAINTY, SEED = 20, 8, 128, 0.95, 11
+K, PROJECTED, LEAF, CERTAINTY, SEED = 20, 8, 512, 0.9, 11
 #: Rows and queries of a block.
 ROWS, QUERIES = 8192, 4096
-#: Leaves verified between two tests, and queries whose leaf distances are held at a time.
-_LEAVES, _BATCH = 4, 256
+#: Queries whose leaf distances are held at a time.
+_BATCH = 256
 
 
 def chi_square_quantile(share, freedom):
@@ -100,25 +100,23 @@ class KdTree:
         return [np.concatenate(c) for c in out]
 
     def _nearest(self, own, query, order, gaps, offset, k, reach):
-        rows, scores = np.empty(0, np.int64), np.empty(0)
-        for at in range(0, len(order), _LEAVES):
+        rows, scores, kth = np.empty(0, np.int64), np.empty(0), -np.inf
+        for leaf in order:
+            # Equal rows are projected alike up to rounding, so the test leaves some room.
+            if gaps[leaf] > reach * max(0.0, offset - 2 * kth) + 1e-9:
+                break
+            start, end = self.starts[leaf], self.ends[leaf]
+            new = self.vectors[start:end] @ query
+            near = np.flatnonzero((new >= kth - 1e-9) & (self.ids[start:end] != own))
+            if not len(near):
+                continue
+            old = scores >= kth - 1e-9
+            rows = np.concatenate([rows[old], near + start])
+            scores = np.concatenate([scores[old], new[near]])
             if len(rows) >= k:
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                squared = max(0.0, offset - 2 * kth)
-                # Equal rows are projected alike up to rounding, so the test leaves some room.
-                if gaps[order[at]] > reach * squared + 1e-9:
-                    break
-                near = scores >= kth - 1e-9
-                rows, scores = rows[near], scores[near]
-            parts = [np.arange(self.starts[i], self.ends[i]) for i in order[at : at + _LEAVES]]
-            new = np.concatenate(parts)
-            new = new[self.ids[new] != own]
-            rows = np.concatenate([rows, new])
-            scores = np.concatenate([scores, self.vectors[new] @ query])
+        rows = rows[scores >= kth - 1e-9]
         # Products of the best are taken anew, row by row, so that equal rows get equal values.
-        if len(rows) > k:
-            kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-            rows = rows[scores >= kth - 1e-9]
         exact = (self.vectors[rows] * query).sum(axis=1)
         best = np.lexsort((self.ids[rows], -exact))[:k]
         return rows[best], exact[best]
