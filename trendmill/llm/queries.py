@@ -34,13 +34,13 @@ def op2_personal_data(spark, folder):
     """Personal data in every document; counts and ``spans`` hold disguised identifiers as well."""
     found = pii.find_personal_data(table(spark, folder, "documents"))
     spans = F.col("spans")
-    counts = [
-        F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = pii.joined_spans(F.filter(spans, lambda s: s["base"]))
     return found.select(
-        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(base, 256).alias("base_sha256"),
         pii.joined_spans(spans).alias("spans"),
         F.size(F.filter(spans, lambda s: ~s["base"])).cast("long").alias("n_disguised"),
     )
