@@ -3,7 +3,17 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from trendmill.llm import bpe, language, neighbours, pii, quality, sharding, simhash, token_counts
+from trendmill.llm import (
+    bpe,
+    language,
+    neighbours,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    token_counts,
+)
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
 
@@ -83,3 +93,37 @@ def op10_projected_neighbours(spark, folder):
     """The 20 nearest rows of every row whose vec_id is divisible by 20."""
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+_OP5_SQL = r"""
+WITH split AS (
+    SELECT doc_id, row_number() OVER () AS row_no,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+),
+windows AS (
+    SELECT row_no, doc_id, i, array_to_string(words[i : i + 12], ' ') AS w
+    FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM split WHERE len(words) >= 13)
+),
+owned AS (SELECT *, min(doc_id) OVER (PARTITION BY w) AS owner FROM windows),
+hit AS (
+    SELECT row_no, list(i) AS starts FROM owned WHERE owner < doc_id GROUP BY row_no
+),
+gone AS (
+    SELECT row_no, list_distinct(flatten(list_transform(starts, lambda s: range(s, s + 13)))) AS places FROM hit
+),
+kept AS (
+    SELECT s.doc_id, s.words, CASE WHEN g.places IS NULL THEN s.words ELSE
+        list_filter(s.words, lambda x, i: NOT list_contains(g.places, i)) END AS stay
+    FROM split s LEFT JOIN gone g USING (row_no)
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - len(stay))::BIGINT AS n_removed,
+       sha256(array_to_string(stay, ' ')) AS kept_sha256
+FROM kept
+"""
+
+
+@query("op5_recompression_repeats", _OP5_SQL)
+def op5_recompression_repeats(spark, folder):
+    """Every document without the words of passages that start in an earlier document."""
+    return substrings.remove_repeats(table(spark, folder, "documents"), texts=False)

@@ -37,7 +37,9 @@ def id_and_text(docs):
 
 
 def _weights(values):
-    """Bytes of each string, or items of each list, of an Arrow column."""
+    """Bytes of each value of an Arrow column of strings, lists of longs, or structs with a ``text``."""
+    if pa.types.is_struct(values.type):
+        return _weights(pc.struct_field(values, "text"))
     if pa.types.is_list(values.type):
         return pc.multiply(pc.list_value_length(values), 8)
     return pc.binary_length(values)
