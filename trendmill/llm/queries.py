@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from trendmill.llm import (
     bpe,
+    contamination,
     language,
     neighbours,
     pii,
@@ -127,3 +128,11 @@ FROM kept
 def op5_recompression_repeats(spark, folder):
     """Every document without the words of passages that start in an earlier document."""
     return substrings.remove_repeats(table(spark, folder, "documents"), texts=False)
+
+
+@query("op3_simhash_decontamination")
+def op3_simhash_decontamination(spark, folder):
+    """Documents that hold a passage of the benchmark, with the item and the window."""
+    return contamination.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
