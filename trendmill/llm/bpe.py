@@ -20,7 +20,7 @@ import numpy as np
 import regex
 from pyspark.sql import functions as F
 
-from trendmill.llm.shared import id_and_text, map_column, map_texts
+from trendmill.llm.shared import map_column, map_texts
 
 WORD_END = "</w>"
 #: Words a worker remembers in each of two generations.
@@ -340,10 +340,10 @@ def decode(tokens, path):
     return map_column(rows, "ids", make, "text string")
 
 
-def digests(docs, path):
+def digests(docs, path, keep=(), ids=False):
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every row in one pass over the texts.
 
-    The digests are those of the decimal ids joined by blanks and of the decoded text; both are put
+    Columns named in ``keep`` follow ``doc_id``; with ``ids`` the tokens are returned as well. The digests are those of the decimal ids joined by blanks and of the decoded text; both are put
     together from remembered strings of each word.
     """
     def make():
@@ -361,18 +361,24 @@ def digests(docs, path):
 
         def run(texts):
             parts, known = parts_and_values(encoder, texts, remembered)
-            out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for words in parts:
                 values = [known[w] if type(w) is str else special[w] for w in words]
                 values = [v for v in values if v[0]]
-                counts, ids, names = zip(*values) if values else ((), (), ())
+                counts, numbers, names = zip(*values) if values else ((), (), ())
+                joined = " ".join(numbers)
                 out["n_tokens"].append(sum(counts))
-                out["ids_sha256"].append(sha256(" ".join(ids).encode()).hexdigest())
+                out["ids_sha256"].append(sha256(joined.encode()).hexdigest())
                 out["decoded_sha256"].append(sha256(" ".join(names).encode()).hexdigest())
+                if ids:
+                    out["ids"].append(np.array(joined.split(), np.int32))
             return out
 
         return run
 
-    return map_texts(
-        id_and_text(docs), make, "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), *keep,
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
+    return map_texts(rows, make, schema)

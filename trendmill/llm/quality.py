@@ -234,3 +234,21 @@ def score(docs, net, threshold=THRESHOLD):
 
         scored = map_texts(rows, make, "score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs, net, threshold=THRESHOLD):
+    """``docs`` without the rows whose score is below ``threshold``; columns are kept as they are."""
+    if net is None:
+        return docs
+    names = docs.columns
+    rows = docs.select(
+        *[F.col(n).alias(f"_{i}") for i, n in enumerate(names)],
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+
+    def make():
+        give = scorer(net)
+        return lambda texts: {"_score": give(texts)}
+
+    scored = map_texts(rows, make, "_score double").where(F.col("_score") >= threshold)
+    return scored.select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])

@@ -1,5 +1,6 @@
 """The ten operators over their whole tables, and the pipeline."""
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -136,3 +137,9 @@ def op3_simhash_decontamination(spark, folder):
     return contamination.find_leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+@query("pipeline")
+def pipeline(spark, folder):
+    """All stages of the corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, folder)
