@@ -45,10 +45,10 @@ def _weights(values):
     return pc.binary_length(values)
 
 
-def slabs(values, most=SLAB_CHARS):
-    """``(start, end)`` runs of an Arrow column that hold about ``most`` bytes or one value."""
+def slabs(sizes, most=SLAB_CHARS):
+    """``(start, end)`` runs of values that hold about ``most`` bytes or one value."""
     start, held = 0, 0
-    sizes = _weights(values).fill_null(0).to_pylist()
+    sizes = sizes.to_pylist()
     for i, n in enumerate(sizes):
         if i > start and held + n > most:
             yield start, i
@@ -58,12 +58,20 @@ def slabs(values, most=SLAB_CHARS):
         yield start, len(sizes)
 
 
-def map_column(df, name, make, schema):
+def _rows(values, rows):
+    """Rows of an Arrow column, given as a slice or as places."""
+    if isinstance(rows, slice):
+        return values.slice(rows.start, rows.stop - rows.start)
+    return values.take(rows)
+
+
+def map_column(df, name, make, schema, most=SLAB_CHARS, pick=None):
     """Replaces the column ``name`` by columns made from its values in batches.
 
     ``make()`` is called once in a task and gives ``function(values)``, which takes a list and returns a
-    dict of columns as long as the list. The result has the other columns of ``df``, followed by
-    ``schema`` (a DDL string).
+    dict of columns (lists or Arrow arrays) as long as the list. The result has the other columns of
+    ``df``, followed by ``schema`` (a DDL string). ``most`` bytes of values are handed over at a time;
+    ``pick(batch)``, if given, returns the places of the rows of an Arrow batch to go on with.
     """
     on_workers(df.sparkSession)
     kept = [n for n in df.columns if n != name]
@@ -73,22 +81,30 @@ def map_column(df, name, make, schema):
     def run(batches):
         function = make()
         for batch in batches:
+            at = None if pick is None else pa.array(pick(batch), pa.int64())
             values = batch.column(batch.schema.get_field_index(name))
-            for start, end in slabs(values):
-                part = batch.slice(start, end - start)
-                made = function(values.slice(start, end - start).to_pylist())
-                columns = [part.column(part.schema.get_field_index(n)) for n in kept]
-                columns += [pa.array(made[f.name], type=f.type) for f in list(arrow)[len(kept):]]
+            sizes = _weights(values).fill_null(0)
+            for start, end in slabs(sizes if at is None else sizes.take(at), most):
+                rows = slice(start, end) if at is None else at.slice(start, end - start)
+                made = function(_rows(values, rows).to_pylist())
+                columns = [_rows(batch.column(batch.schema.get_field_index(n)), rows) for n in kept]
+                columns += [
+                    v if isinstance(v := made[f.name], pa.Array) else pa.array(v, type=f.type)
+                    for f in list(arrow)[len(kept):]
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow
                 )
+                # What a slab took is given back before the next one, as workers live long.
+                del made, columns
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, full)
 
 
-def map_texts(docs, make, schema):
+def map_texts(docs, make, schema, **options):
     """:func:`map_column` of the column ``text``."""
-    return map_column(docs, "text", make, schema)
+    return map_column(docs, "text", make, schema, **options)
 
 
 def crc_part(column, parts):

@@ -23,19 +23,24 @@ from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from trendmill.llm import filters
-from trendmill.llm.bpe import Remembered
 from trendmill.llm.shared import id_and_text, map_column, map_texts, on_workers
 from trendmill.session import written
 
 WINDOW, CONTEXT, ROUNDS = 13, 3, 2
 #: Places of a window where a border has its context inside.
 _PLACES = WINDOW - 2 * CONTEXT + 1
+#: Bytes of texts that a worker takes apart at a time.
+SLAB = 1_000_000
+#: Bits of the bitmaps of rows, 4 MB each.
+ROW_BITS = 2**25
 _BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _MOST = np.uint64(2**64 - 1)
+#: Bits of a border name that are grouped; a chance meeting only lets more windows be named whole.
+_NAME_BITS = np.int64(2**40 - 1)
 
 
 def _mixed(x):
@@ -47,97 +52,158 @@ def _mixed(x):
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=1)
-def _word_names():
-    digest = xxhash.xxh64_intdigest
-    return Remembered(lambda words: [digest(w) >> 1 for w in words])
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A random 64-bit number for each byte; the name of a word is their polynomial.
+_BYTES = np.random.default_rng(5).integers(0, 2**64, 256, np.uint64)
+_INVERSE = np.uint64(pow(int(_BASES[0]), -1, 2**64))
 
 
-def split_texts(texts):
-    """Words of each text between ASCII white space, as bytes."""
-    return [t.encode("utf-8", "surrogatepass").split() for t in texts]
+@lru_cache(maxsize=8)
+def _powers(base, count):
+    out = np.full(count, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def named(splits):
-    """Names of the words of each text, as arrays."""
-    known = _word_names().of({w for words in splits for w in words})
-    return [
-        _mixed(np.array([known[w] for w in words], np.int64).view(np.uint64)) for words in splits
-    ]
+class Words:
+    """The words of many texts in one row, split at ASCII white space and named by their bytes.
+
+    ``names``, ``starts`` and ``ends`` (in ``data``, the texts with a blank after each) and ``text`` belong to
+    words; ``left`` tells how many words of the text there are from each word on.
+    """
+
+    def __init__(self, texts):
+        encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        self.data = np.frombuffer(b" ".join([*encoded, b""]), np.uint8).copy()
+        self.space = _SPACE[self.data]
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], self.space, [True]]).view(np.int8)))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        begins = np.concatenate([[0], np.cumsum([len(e) + 1 for e in encoded])])
+        self.text = np.searchsorted(begins, self.starts, "right") - 1
+        self.counts = np.bincount(self.text, minlength=len(texts)).astype(np.int64)
+        self.left = np.cumsum(self.counts)[self.text] - np.arange(len(self.starts))
+
+        size = 1 << max(1, len(self.data)).bit_length()
+        total = _BYTES[self.data] * _powers(int(_BASES[0]), size)[: len(self.data)]
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(total, dtype=np.uint64)])
+        shift = _powers(int(_INVERSE), size)[self.starts]
+        self.names = _mixed((total[self.ends] - total[self.starts]) * shift)
+
+    def window_starts(self):
+        return np.flatnonzero(self.left >= WINDOW)
+
+    def joined(self, kept):
+        """The kept words of each text, joined by one blank, as bytes."""
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[self.starts[kept]] += 1
+        edge[self.ends[kept]] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
+        # A blank follows each word; that of a text's last word is cut off.
+        inside[self.ends[kept]] = True
+        data = self.data.copy()
+        data[self.ends[kept]] = 0x20
+        out = data[inside].tobytes()
+        sizes = np.bincount(
+            self.text[kept], self.ends[kept] - self.starts[kept] + 1, len(self.counts)
+        ).astype(np.int64)
+        ends = np.cumsum(sizes)
+        return [out[e - n : max(e - n, e - 1)] for e, n in zip(ends.tolist(), sizes.tolist())]
 
 
 def recompressed(words):
-    """Starts of the symbols that ``ROUNDS`` rounds of pairing leave."""
-    names, starts = words, np.arange(len(words))
+    """Places at which the symbols start that ``ROUNDS`` rounds of pairing leave; none spans two texts."""
+    names, starts, text = words.names, np.arange(len(words.names)), words.text
     for turn in range(ROUNDS):
         left = _mixed(names + np.uint64(turn + 1)) & np.uint64(1) == 0
-        pair = left[:-1] & ~left[1:]
-        joined = names.copy()
-        joined[:-1][pair] = _mixed(names[:-1][pair] * _BASES[0] + names[1:][pair] * _BASES[1])
+        pair = np.flatnonzero(left[:-1] & ~left[1:] & (text[1:] == text[:-1]))
+        names = names.copy()
+        names[pair] = _mixed(names[pair] * _BASES[0] + names[pair + 1] * _BASES[1])
         kept = np.ones(len(names), bool)
-        kept[1:][pair] = False
-        names, starts = joined[kept], starts[kept]
+        kept[pair + 1] = False
+        names, starts, text = names[kept], starts[kept], text[kept]
     return starts
 
 
-def _spans(words, size, base):
-    """Polynomial names of all runs of ``size`` words."""
-    count = len(words) - size + 1
-    total = words[:count].copy()
+def _spans(names, size, base):
+    """Polynomial names of all runs of ``size`` words; those that span two texts mean nothing."""
+    count = max(0, len(names) - size + 1)
+    total = names[:count].copy()
     for i in range(1, size):
-        total = total * base + words[i : i + count]
+        total *= base
+        total += names[i : i + count]
     return _mixed(total)
 
 
 def standing_names(words):
-    """For each window of a text, the name of the border that stands for it."""
-    count = len(words) - WINDOW + 1
-    if count < 1:
-        return np.empty(0, np.uint64)
-    around = _spans(words, 2 * CONTEXT, _BASES[0])
+    """By the place of its first word, the name of the border that stands for each window."""
+    around = _spans(words.names, 2 * CONTEXT, _BASES[0])
     value = np.full(len(around), _MOST)
     starts = recompressed(words) - CONTEXT
     starts = starts[(starts >= 0) & (starts < len(around))]
     value[starts] = np.minimum(around[starts], _MOST - np.uint64(1))
-    best = value[: len(value) - _PLACES + 1].copy()
+    best = value[: max(0, len(value) - _PLACES + 1)].copy()
     for i in range(1, _PLACES):
         np.minimum(best, value[i : i + len(best)], out=best)
-    return best
+    return best.view(np.int64)
 
 
 def window_names(words):
-    """The name of each window by all its words; with its standing name it has 128 bits."""
-    if len(words) < WINDOW:
-        return np.empty(0, np.uint64)
-    return _spans(words, WINDOW, _BASES[1])
+    """By the place of its first word, the name of each window by all its words.
+
+    With its standing name it has 128 bits.
+    """
+    return _spans(words.names, WINDOW, _BASES[1]).view(np.int64)
+
 
+def _lists(values, text, count):
+    """An Arrow array of the values of each of ``count`` texts; ``text`` is ascending."""
+    offsets = np.searchsorted(text, np.arange(count + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
-def _signed(names):
-    return names.view(np.int64)
+
+def _changes(values, text):
+    """Which entries differ from the one before in the same text."""
+    if not len(values):
+        return np.zeros(0, bool)
+    return np.concatenate([[True], (values[1:] != values[:-1]) | (text[1:] != text[:-1])])
 
 
 def _border_names(texts):
-    return {"names": [np.unique(_signed(standing_names(w))) for w in named(split_texts(texts))]}
+    words = Words(texts)
+    at = words.window_starts()
+    # Neighbouring windows mostly stand by one border; the filter's bits are all that is asked later.
+    names, text = standing_names(words)[at] & _NAME_BITS, words.text[at]
+    new = _changes(names, text)
+    return {"names": _lists(names[new], text[new], len(texts))}
 
 
 def _windows(texts, bitmap):
-    """Standing and whole names of the windows whose standing name may be shared, once each."""
-    out = {"stand": [], "whole": []}
-    for words in named(split_texts(texts)):
-        stand, whole = _signed(standing_names(words)), _signed(window_names(words))
-        maybe = filters.may_hold(bitmap, stand)
-        whole, first = np.unique(whole[maybe], return_index=True)
-        out["whole"].append(whole)
-        out["stand"].append(stand[maybe][first])
-    return out
-
-
-def covered(words, repeated):
-    """Which words lie in a window whose name is among the sorted ``repeated``."""
-    whole = _signed(window_names(words))
-    at = np.minimum(np.searchsorted(repeated, whole), len(repeated) - 1)
-    starts = np.flatnonzero(repeated[at] == whole)
-    depth = np.zeros(len(words) + 1, np.int64)
+    """Standing and whole names of the windows whose standing name may be shared."""
+    words = Words(texts)
+    at = words.window_starts()
+    stand = standing_names(words)[at]
+    maybe = filters.may_hold(bitmap, stand)
+    at, stand = at[maybe], stand[maybe]
+    whole, text = window_names(words)[at], words.text[at]
+    new = _changes(whole, text)
+    return {
+        "stand": _lists(stand[new], text[new], len(texts)),
+        "whole": _lists(whole[new], text[new], len(texts)),
+    }
+
+
+def _covered(words, repeated):
+    """Which words lie in a window whose name is among the ``repeated`` ones of its text."""
+    def keyed(names, text):
+        return _mixed(names.view(np.uint64) + text.astype(np.uint64) * _BASES[0])
+
+    at = words.window_starts()
+    sought = [np.array(r if r is not None else [], np.int64) for r in repeated]
+    owner = np.repeat(np.arange(len(sought)), [len(r) for r in sought])
+    known = keyed(np.concatenate([*sought, np.empty(0, np.int64)]), owner)
+    starts = at[np.isin(keyed(window_names(words)[at], words.text[at]), known)]
+    depth = np.zeros(len(words.names) + 1, np.int64)
     np.add.at(depth, starts, 1)
     np.add.at(depth, starts + WINDOW, -1)
     return np.cumsum(depth[:-1]) > 0
@@ -167,12 +233,31 @@ def _is_row(doc_id, t1):
     return F.xxhash64(doc_id, t1)
 
 
+def _held(name, bitmap, wanted):
+    """Picks rows whose ``name`` may be (or, if not ``wanted``, certainly isn't) in a broadcast bitmap."""
+    def pick(batch):
+        values = batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(filters.may_hold(bitmap.value, values) == wanted)
+
+    return pick
+
+
+def _where(df, pick):
+    def run(batches):
+        for batch in batches:
+            at = pick(batch)
+            if len(at):
+                yield batch.take(pa.array(at))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _repeats(rows, copies):
     """``doc_id``, ``whole``: names of windows of rows that start in a smaller document too."""
     spark = on_workers(rows.sparkSession)
     usable = rows.where("doc_id is not null")
     names = map_texts(
-        usable.select("doc_id", "text"), lambda: _border_names, "names array<long>"
+        usable.select("doc_id", "text"), lambda: _border_names, "names array<long>", most=SLAB
     ).select("doc_id", F.explode("names").alias("name"))
     shared = (
         names.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
@@ -180,29 +265,24 @@ def _repeats(rows, copies):
     )
     shared_bits = spark.sparkContext.broadcast(filters.build(shared, "name"))
     copy_bits = spark.sparkContext.broadcast(
-        filters.build(copies.select(_is_row("doc_id", "t1").alias("row")), "row")
+        filters.build(copies.select(_is_row("doc_id", "t1").alias("row")), "row", ROW_BITS)
     )
 
+    def named_whole(df, pick=None):
+        return map_texts(
+            df.select("doc_id", "row", "text"), lambda: lambda t: _windows(t, shared_bits.value),
+            "stand array<long>, whole array<long>", most=SLAB, pick=pick,
+        )
+
     # Rows that are no copies for certain go on where they are; only the others are joined.
     hashed = usable.select("doc_id", "t1", _is_row("doc_id", "t1").alias("row"), "text")
-
-    def copied(frames, wanted):
-        for batch in frames:
-            held = filters.may_hold(copy_bits.value, batch.column("row").to_numpy(zero_copy_only=False))
-            picked = np.flatnonzero(held == wanted)
-            if len(picked):
-                yield batch.take(picked)
-
-    sure = hashed.mapInArrow(lambda frames: copied(frames, False), hashed.schema)
-    unsure = hashed.mapInArrow(lambda frames: copied(frames, True), hashed.schema)
-    firsts = sure.select("doc_id", "text").unionAll(
-        unsure.join(copies, ["doc_id", "t1"], "left_anti").select("doc_id", "text")
+    unsure = _where(hashed, _held("row", copy_bits, True)).join(
+        copies, ["doc_id", "t1"], "left_anti"
     )
-    windows = map_texts(
-        firsts, lambda: lambda texts: _windows(texts, shared_bits.value),
-        "stand array<long>, whole array<long>",
-    ).select("doc_id", F.explode(F.arrays_zip("stand", "whole")).alias("w")).select(
-        "doc_id", F.col("w.stand").alias("stand"), F.col("w.whole").alias("whole")
+    windows = (
+        named_whole(hashed, _held("row", copy_bits, False)).unionAll(named_whole(unsure))
+        .select("doc_id", F.explode(F.arrays_zip("stand", "whole")).alias("w"))
+        .select("doc_id", "w.*")
     )
     owners = written(
         windows.groupBy("stand", "whole")
@@ -213,18 +293,6 @@ def _repeats(rows, copies):
     return windows.join(owners, ["stand", "whole"]).where("doc_id > owner").select("doc_id", "whole")
 
 
-def _kept_words(splits, wholes, copied):
-    """The words that stay of each text."""
-    for words, names, repeated, copy in zip(splits, named(splits), wholes, copied):
-        if copy and len(words) >= WINDOW:
-            yield []
-        elif repeated is not None and len(repeated):
-            gone = covered(names, np.sort(np.array(repeated, np.int64)))
-            yield [w for w, g in zip(words, gone.tolist()) if not g]
-        else:
-            yield words
-
-
 def remove_repeats(docs, texts=True):
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and, if asked for, ``kept_text`` of every row.
 
@@ -234,35 +302,44 @@ def remove_repeats(docs, texts=True):
     null id neither lose words nor make others lose any. Rows repeated with their id lose the same
     words each.
     """
+    spark = on_workers(docs.sparkSession)
     rows = _keyed(docs)
     copies = _copies(rows)
     found = _repeats(rows, copies).groupBy("doc_id").agg(F.collect_set("whole").alias("wholes"))
     copied = copies.groupBy("doc_id").agg(F.collect_set("t1").alias("copied"))
-    marks = written(found.join(copied, "doc_id", "full_outer"), "repeats")
-    joined = rows.join(marks, "doc_id", "left").select(
-        "doc_id",
-        F.struct(
-            "text", "wholes",
-            F.coalesce(F.array_contains("copied", F.col("t1")), F.lit(False)).alias("copy"),
-        ).alias("row"),
+    marks = written(
+        found.join(copied, "doc_id", "full_outer").withColumn("row", F.xxhash64("doc_id")), "repeats"
+    )
+    # Rows without a repeat for certain are finished where they are; only the others are joined.
+    marked = spark.sparkContext.broadcast(filters.build(marks.select("row"), "row", ROW_BITS))
+    hashed = rows.select("doc_id", "t1", F.xxhash64("doc_id").alias("row"), "text")
+    joined = _where(hashed, _held("row", marked, True)).join(marks.drop("row"), "doc_id", "left").select(
+        "doc_id", "row", "text", "wholes",
+        F.coalesce(F.array_contains("copied", F.col("t1")), F.lit(False)).alias("copy"),
+    )
+    plain = hashed.select(
+        "doc_id", "row", "text", F.lit(None).cast("array<bigint>").alias("wholes"),
+        F.lit(False).alias("copy"),
     )
 
-    def make():
-        def run(frame):
-            splits = split_texts([r["text"] for r in frame])
-            kept = list(_kept_words(
-                splits, [r["wholes"] for r in frame], [r["copy"] for r in frame]
-            ))
-            out = {
-                "n_words": [len(w) for w in splits],
-                "n_removed": [len(w) - len(k) for w, k in zip(splits, kept)],
-                "kept_sha256": [sha256(b" ".join(k)).hexdigest() for k in kept],
-            }
-            if texts:
-                out["kept_text"] = [b" ".join(k).decode("utf-8", "replace") for k in kept]
-            return out
-
-        return run
+    def finish(frame):
+        words = Words([r["text"] for r in frame])
+        copy = np.array([r["copy"] for r in frame], bool) & (words.counts >= WINDOW)
+        kept = ~(_covered(words, [r["wholes"] for r in frame]) | copy[words.text])
+        joined = words.joined(kept)
+        out = {
+            "n_words": words.counts,
+            "n_removed": words.counts - np.bincount(words.text[kept], minlength=len(frame)),
+            "kept_sha256": [sha256(t).hexdigest() for t in joined],
+        }
+        if texts:
+            out["kept_text"] = [t.decode("utf-8", "replace") for t in joined]
+        return out
 
     schema = "n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if texts else "")
-    return map_column(joined, "row", make, schema)
+
+    def finished(df, pick=None):
+        rows = df.select("doc_id", "row", F.struct("text", "wholes", "copy").alias("rows"))
+        return map_column(rows, "rows", lambda: finish, schema, most=SLAB, pick=pick).drop("row")
+
+    return finished(plain, _held("row", marked, False)).unionAll(finished(joined))
