@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from contract import query
-from contract.gold import dated, dated_texts
+from contract.gold import dated
 from contract.quality import log as quality_log_rows
 from contract.quality import LOG as QUALITY_LOG
 from contract.sql import (
@@ -52,13 +52,13 @@ SELECT source, sum(signal_count)::BIGINT AS total_signals,
   sum(unique_authors)::BIGINT AS total_authors
 FROM summary WHERE date >= DATE '2024-02-01' - 30 GROUP BY source""")
 def q03_source_activity(spark, folder):
-    return analytics.source_activity(gold.source_summary(dated(spark, folder)), s.AS_OF)
+    return analytics.source_activity(gold.daily_figures(dated(spark, folder)), s.AS_OF)
 
 
 @query("q04_daily_volume", f"""WITH {SUMMARY}
 SELECT date, source, signal_count FROM summary WHERE date >= DATE '2024-02-01' - 30""")
 def q04_daily_volume(spark, folder):
-    return analytics.daily_volume(gold.source_summary(dated(spark, folder)), s.AS_OF)
+    return analytics.daily_volume(gold.daily_counts(dated(spark, folder)), s.AS_OF)
 
 
 @query("q05_top_terms", f"""WITH {TERM_FREQUENCY}
@@ -75,13 +75,13 @@ FROM term_counts WHERE date >= DATE '2024-02-01' - 7
 GROUP BY term HAVING count(DISTINCT source) >= 3
 ORDER BY total_mentions DESC, term LIMIT 20""")
 def q06_overlap(spark, folder):
-    return analytics.term_overlap(gold.term_counts(dated_texts(spark, folder)), s.AS_OF)
+    return analytics.term_overlap(gold.term_counts(dated(spark, folder)), s.AS_OF)
 
 
 @query("q07_emerging", f"""WITH {SIGNALS}, {ENRICHED}
-SELECT category, 0 AS part, count(*) AS emerging_count, list_sort(list(title)) AS sample_titles
+SELECT category, signal_id, title, count(*) OVER (PARTITION BY category) AS emerging_count
 FROM enriched JOIN signals USING (signal_id)
-WHERE is_emerging AND enriched_at >= DATE '2024-02-01' - 7 GROUP BY category""")
+WHERE is_emerging AND enriched_at >= DATE '2024-02-01' - 7""")
 def q07_emerging(spark, folder):
     return analytics.emerging_radar(enriched(spark, folder), s.signals(spark, folder), s.AS_OF)
 
@@ -118,8 +118,8 @@ def q10_quality(spark, folder):
 SELECT date, source, signal_count FROM summary
 WHERE date >= DATE '2024-02-01' - 30 AND source = 'documents'""")
 def source_filter(spark, folder):
-    summary = gold.source_summary(dated(spark, folder))
-    return analytics.daily_volume(summary, s.AS_OF, source="documents")
+    counts = gold.daily_counts(dated(spark, folder))
+    return analytics.daily_volume(counts, s.AS_OF, source="documents")
 
 
 @query("category_histogram", f"""WITH {ENRICHED}
@@ -155,9 +155,9 @@ def run_log(spark, folder):
 
 
 @query("run_log_summary", f"""
-SELECT event_type || ' ' || event_id AS step, {_STATUS} AS status, substr(props, 1, 100) AS result,
+SELECT event_type || ' ' || event_id AS step, {_STATUS} AS status, props AS result,
   {rounded('value', 1)} AS duration_sec FROM events
-UNION ALL SELECT 'document ' || doc_id, 'SUCCESS', substr(text, 1, 100),
+UNION ALL SELECT 'document ' || doc_id, 'SUCCESS', text,
   {rounded('n_chars / 4.0', 1)} FROM documents""")
 def run_log_summary(spark, folder):
     return analytics.run_report(run_log(spark, folder))

@@ -25,15 +25,15 @@ def stories(spark, folder):
 
 
 def repos(spark, folder):
-    return feeds.repos(s.repo_records(s.text_table(spark, folder, "documents")))
+    return feeds.repos(s.repo_records(s.table(spark, folder, "documents")))
 
 
 def questions(spark, folder):
-    return feeds.questions(s.question_records(s.text_table(spark, folder, "pages")))
+    return feeds.questions(s.question_records(s.table(spark, folder, "pages")))
 
 
 def papers(spark, folder):
-    return feeds.papers(s.document_entries(s.text_table(spark, folder, "documents")))
+    return feeds.papers(s.document_entries(s.table(spark, folder, "documents")))
 
 
 @query("bronze_stories", _STORY_SQL)
@@ -55,13 +55,16 @@ def bronze_repos(spark, folder):
     return repos(spark, folder).drop("_raw_json")
 
 
-@query("bronze_papers_xml", f"""
+PAPERS_SQL = f"""
 SELECT doc_id::VARCHAR AS arxiv_id, trim(regexp_replace(text, '{SPACE}', ' ', 'g'), ' ') AS title,
   trim(regexp_replace(text, '{SPACE}', ' ', 'g'), ' ') AS summary,
   '["' || source || '","co-' || source || '"]' AS authors,
   {iso(spread('doc_id'))} AS published, {iso(spread('doc_id'))} AS updated,
   '["' || lang || '"]' AS categories, 'doc://' || doc_id AS link
-FROM documents""")
+FROM documents"""
+
+
+@query("bronze_papers_xml", PAPERS_SQL)
 def bronze_papers_xml(spark, folder):
     return papers(spark, folder).drop("_raw_json")
 
@@ -120,14 +123,12 @@ def dedup_first_wins(spark, folder):
     return first.select("user_id", "query_no", "event_id")
 
 
-@query("incremental_by_id", f"""
-SELECT event_id, event_type, value FROM events WHERE event_id > 499
-ORDER BY event_id LIMIT {c.STORY_BATCH_SIZE}""")
+@query(
+    "incremental_by_id", "SELECT event_id, event_type, value FROM events WHERE event_id > 499"
+)
 def incremental_by_id(spark, folder):
-    """The next batch of a capped pull."""
-    rows = landing.newer_ids(
-        table(spark, folder, "events"), "event_id", "499", c.STORY_BATCH_SIZE
-    )
+    """Everything past the mark."""
+    rows = landing.newer_ids(table(spark, folder, "events"), "event_id", "499")
     return rows.select("event_id", "event_type", "value")
 
 

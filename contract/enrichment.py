@@ -1,11 +1,17 @@
 """Enrichment of signals."""
 
+import json
+from contextlib import suppress
+
 from pyspark.sql import functions as F
 
 from contract import query
 from contract.sql import ENRICHED, SIGNALS
 from trendmill import constants as c
-from trendmill.operators import enrichment
+from trendmill.operators import enrichment, versions
+from trendmill.operators.merge import merge_upsert
+from trendmill.schemas import ENRICHED as ENRICHED_SCHEMA
+from trendmill.session import work_path
 from trendmill.sources import standins as s
 from trendmill.sources.standins import table
 
@@ -17,11 +23,15 @@ RULES = {
     "Cloud": ["fr", "es"],
     "AI/ML": ["src1", "src2", "src3"],
 }
-SCORER = enrichment.keyword_scorer(
-    RULES, positive=["purchase", "signup"], negative=["error"], emerging=["k1", "k2", "de"]
-)
 
-_TEXT = "lower(title || ' ' || array_to_string(tags, ' '))"
+
+def scorer_of_words():
+    return enrichment.keyword_scorer(
+        RULES, positive=["purchase", "signup"], negative=["error"], emerging=["k1", "k2", "de"]
+    )
+
+
+_TEXT = "lower(concat_ws(' ', title, array_to_string(tags, ' '), body))"
 
 
 def _has(*words):
@@ -40,7 +50,6 @@ SCORED = f"""scored AS (
 
 CANDIDATES = f"""{SIGNALS}, {ENRICHED}, candidates AS (
   SELECT * FROM signals WHERE signal_id NOT IN (SELECT signal_id FROM enriched)
-  ORDER BY score DESC, signal_id LIMIT {c.ENRICH_MAX_SIGNALS}
 )"""
 
 
@@ -57,7 +66,7 @@ def enrich_candidates(spark, folder):
 @query("enrich_prompt", f"""WITH {SIGNALS}
 SELECT signal_id, 'Analyse this tech signal:' || chr(10) || 'Source: ' || source || chr(10)
   || 'Title: ' || title || chr(10) || 'Tags: ' || array_to_string(tags, ', ') || chr(10)
-  || 'Body: ' || substr(coalesce(body, ''), 1, 500) || chr(10) || chr(10)
+  || 'Body: ' || coalesce(body, '') || chr(10) || chr(10)
   || 'Respond with JSON: {{"category": "...", "summary": "...", "sentiment": "...", '
   || '"is_emerging": true/false}}' AS prompt
 FROM signals""")
@@ -145,15 +154,49 @@ def enrich_default(spark, folder):
 
 @query("enrich_apply", f"WITH {SIGNALS}, {SCORED} SELECT * FROM scored")
 def enrich_apply(spark, folder):
-    signals = s.signals(spark, folder, s.text_table)
-    return enrichment.apply_scorer(signals, SCORER, MODEL, RUN_AT)
+    return enrichment.apply_scorer(s.signals(spark, folder), scorer_of_words(), MODEL, RUN_AT)
+
+
+@query("enrich_python", f"""WITH {SIGNALS}
+SELECT signal_id, CASE WHEN source = 'pages' THEN 'Web' ELSE 'Other' END AS category,
+  source AS summary, 'neutral' AS sentiment, length(title) > 40 AS is_emerging,
+  'python' AS model_used, TIMESTAMP '{RUN_AT}' AS enriched_at FROM signals""")
+def enrich_python(spark, folder):
+    """A scorer that is a Python function, asked for a batch of signals at a time."""
+
+    @enrichment.scorer_columns("source", "title")
+    def scorer(batch):
+        assert len(batch) <= c.ENRICH_BATCH_SIZE
+        return [
+            json.dumps({
+                "category": "Web" if source == "pages" else "Other", "summary": source,
+                "sentiment": "neutral", "is_emerging": len(title) > 40,
+            })
+            for source, title in zip(batch["source"], batch["title"])
+        ]
+
+    return enrichment.apply_scorer(s.signals(spark, folder), scorer, "python", RUN_AT)
 
 
 @query("enrich_resume", f"""WITH {CANDIDATES}, {SCORED}
 SELECT * FROM enriched
 UNION ALL SELECT scored.* FROM scored JOIN candidates USING (signal_id)""")
 def enrich_resume(spark, folder):
-    return enrichment.resume(
-        s.signals(spark, folder), enriched(spark, folder), SCORER, MODEL, RUN_AT,
-        c.ENRICH_MAX_SIGNALS, c.ENRICH_MAX_SIGNALS // c.ENRICH_BATCH_SIZE,
-    )
+    """Every missing signal in batches; the first run breaks off and a second one goes on."""
+    signals, before = s.signals(spark, folder), enriched(spark, folder)
+    log_path = work_path(spark, "enriched-log")
+
+    def run(clock):
+        done = before
+        if versions.last_version(spark, log_path, ENRICHED_SCHEMA):
+            log = versions.read_log(spark, log_path, ENRICHED_SCHEMA)
+            done = merge_upsert(before, versions.as_of(log, ["signal_id"]), ["signal_id"])
+        chosen = enrichment.candidates(signals, done)
+        enrichment.commit_in_batches(spark, chosen, log_path, scorer_of_words(), MODEL, clock, 4)
+
+    stops = iter([RUN_AT, RUN_AT])
+    with suppress(StopIteration):
+        run(lambda: next(stops))
+    run(lambda: RUN_AT)
+    log = versions.read_log(spark, log_path, ENRICHED_SCHEMA)
+    return merge_upsert(before, versions.as_of(log, ["signal_id"]), ["signal_id"])

@@ -33,7 +33,7 @@ def bronze_stories(spark, folder):
 
 
 def bronze_repos(spark, folder):
-    documents = s.text_table(spark, folder, "documents")
+    documents = s.table(spark, folder, "documents")
     return _twice(
         feeds.repos(s.repo_records(documents)),
         feeds.repos(s.repo_records(documents, more_stars=1)),
@@ -42,14 +42,14 @@ def bronze_repos(spark, folder):
 
 
 def bronze_papers(spark, folder):
-    turns = s.text_table(spark, folder, "conversations")
+    turns = s.table(spark, folder, "conversations")
     first = feeds.papers(s.turn_entries(turns))
     again = first.withColumn("link", F.concat("link", F.lit("?v2")))
     return _twice(first, again, c.PAPERS)
 
 
 def bronze_questions(spark, folder):
-    pages = s.text_table(spark, folder, "pages")
+    pages = s.table(spark, folder, "pages")
     first = feeds.questions(s.question_records(pages))
     again = first.withColumn("score", F.when(F.col("is_answered"), F.col("score") + 1).otherwise(0))
     return _twice(first, again, c.QUESTIONS)

@@ -53,6 +53,7 @@ DATED = f"""{SIGNALS}, dated AS (
   WHERE created_at::DATE BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
 )"""
 
+# --- fixed values: words never counted as title terms ---
 STOP_WORDS = """'that','this','with','from','what','have','your','will',
 'about','they','been','more','when','than','just','like',
 'does','into','some','only','other','also','there','which'"""
@@ -124,6 +125,7 @@ VELOCITY = f"""{DATED}, {TAG_WORDS}, weekly AS (
   FROM weekly a LEFT JOIN weekly b ON a.term = b.term AND a.week_start = b.week_start + 7
 )"""
 
+# The categories are fixed values of the taxonomy.
 ENRICHED = f"""enriched AS (
   SELECT md5('documents' || doc_id) AS signal_id,
     CASE WHEN doc_id % 17 = 0 THEN 'error'

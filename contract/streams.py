@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from contract import query
-from contract.bronze import _STORY_SQL
+from contract.bronze import _STORY_SQL, PAPERS_SQL
 from trendmill.functions.scalars import ntz
+from trendmill.operators.dedup import keep_one
 from trendmill.operators.versions import read_log
 from trendmill.plans.silver import stories_to_signals
 from trendmill.session import work_path
@@ -15,17 +16,30 @@ from trendmill.sources.standins import table
 from trendmill.streaming import loads
 
 
-def _events(spark, folder):
-    # As a pattern the path may be one file or a folder of files.
-    return loads.landed_parquet(spark, f"{folder}/events.parque[t]")
+_FILES = 4
+
+
+def _land(rows, path, n=0):
+    """Lands rows as one more file set; streams take them in the order they land."""
+    rows.write.mode("append").parquet(f"{path}/{n}")
+
+
+def _stream(spark, path, like):
+    return loads.landed_parquet(spark, f"{path}/*", like.schema, files_per_batch=1)
+
+
+def _share(events, n):
+    return events.where(F.pmod(F.col("event_id"), F.lit(_FILES)) == n)
 
 
 @query("stream_incremental", "SELECT event_id, event_type, value, props FROM events")
 def stream_incremental(spark, folder):
-    """Two runs over the landed events; the second finds nothing new."""
-    work = work_path(spark, "stream-append")
-    for _ in range(2):
-        loads.append_new(_events(spark, folder), f"{work}/data", f"{work}/progress")
+    """Events land in several goes with a run after each; a last run finds nothing new."""
+    work, events = work_path(spark, "stream-append"), table(spark, folder, "events")
+    for n in range(_FILES):
+        _land(_share(events, n), f"{work}/landed", n)
+        loads.append_new(_stream(spark, f"{work}/landed", events), f"{work}/data", f"{work}/progress")
+    loads.append_new(_stream(spark, f"{work}/landed", events), f"{work}/data", f"{work}/progress")
     return spark.read.parquet(f"{work}/data").select("event_id", "event_type", "value", "props")
 
 
@@ -33,10 +47,12 @@ def stream_incremental(spark, folder):
 SELECT user_id, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) = 1""")
 def stream_upsert(spark, folder):
-    """Best event of each user across all micro-batches."""
-    work = work_path(spark, "stream-upsert")
+    """Best event of each user across micro-batches of one file each; users occur in many."""
+    work, events = work_path(spark, "stream-upsert"), table(spark, folder, "events")
+    for n in range(_FILES):
+        _land(_share(events, n), f"{work}/landed", n)
     order = [F.col("value").desc(), F.col("event_id").asc()]
-    rows = _events(spark, folder).select("user_id", "event_id", "value")
+    rows = _stream(spark, f"{work}/landed", events).select("user_id", "event_id", "value")
     loads.upsert_new(rows, f"{work}/log", f"{work}/progress", ["user_id"], order)
     log = spark.read.parquet(f"{work}/log")
     return loads.current_rows(log, ["user_id"], order).select("user_id", "event_id", "value")
@@ -44,37 +60,58 @@ def stream_upsert(spark, folder):
 
 @query("stream_dedup", "SELECT event_id, event_type FROM events")
 def stream_dedup(spark, folder):
-    """Every event landed twice; repeats are recognised over the whole span of the data."""
+    """Every event lands again one file later; state covers two files' time, not the whole span."""
     work = work_path(spark, "stream-dedup")
-    span = (
-        table(spark, folder, "events")
-        .agg(F.timestamp_diff("HOUR", F.min("ts"), F.max("ts")).alias("hours"))
-        .first()["hours"]
-    )
-    landed = _events(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    twice = landed.unionByName(landed)
-    unique = loads.drop_repeats(twice, ["event_id"], "ts", f"{(span or 0) + 1} hours")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    span = events.agg(
+        F.unix_seconds(F.min("ts")).alias("first"), F.unix_seconds(F.max("ts")).alias("last")
+    ).first()
+    width = ((span["last"] or 0) - (span["first"] or 0)) // _FILES + 1
+    place = F.expr(f"(unix_seconds(ts) - {span['first'] or 0}) div {width}")
+    for n in range(_FILES + 1):
+        _land(events.where(place.between(n - 1, n)).coalesce(1), f"{work}/landed", n)
+    stream = _stream(spark, f"{work}/landed", events)
+    unique = loads.drop_repeats(stream, ["event_id"], "ts", f"{2 * width} seconds")
     loads.append_new(unique, f"{work}/data", f"{work}/progress")
     return spark.read.parquet(f"{work}/data").select("event_id", "event_type")
 
 
+@query("stream_papers", PAPERS_SQL)
+def stream_papers(spark, folder):
+    """Atom files landed in several goes, parsed as a stream."""
+    work, documents = work_path(spark, "stream-papers"), table(spark, folder, "documents")
+    for n in range(_FILES):
+        entries = s.document_entries(documents.where(F.pmod("doc_id", F.lit(_FILES)) == n))
+        # The first entry of each file opens its root.
+        first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
+        feed = F.concat(F.when(first, "<feed>").otherwise(""), "value")
+        entries.select(feed.alias("value")).write.text(f"{work}/landed/{n}")
+    papers = loads.landed_feed(spark, "papers", f"{work}/landed/*", files_per_batch=1)
+    loads.append_new(papers, f"{work}/data", f"{work}/progress")
+    return spark.read.parquet(f"{work}/data").drop("_raw_json")
+
+
 @query("reprocess_equals_incremental", f"""
 SELECT 'both' AS found_in, count(*) AS signals FROM ({_STORY_SQL}) HAVING count(*) > 0""")
 def reprocess_equals_incremental(spark, folder):
-    """Signals of the incremental load compared with those of a full batch read."""
+    """Stories fetched twice: best rows of the incremental load against those of a full batch read."""
 
     def signals(rows):
         bronze = with_ingestion_columns(rows, "stories", "b1", ntz(s.AS_OF))
         return stories_to_signals(bronze, ntz(s.AS_OF))
 
-    work = work_path(spark, "stream-signals")
-    landed = feeds.stories(s.story_records(_events(spark, folder)))
-    order = [F.col("score").desc()]
+    work, events = work_path(spark, "stream-signals"), table(spark, folder, "events")
+    fetches = [s.story_records(events), s.story_records_again(events)]
+    for n, records in enumerate(fetches):
+        _land(records, f"{work}/landed", n)
+    landed = feeds.stories(_stream(spark, f"{work}/landed", fetches[0]))
+    order = [F.col("score").desc(), F.col("body")]
     loads.upsert_new(
         landed, f"{work}/log", f"{work}/progress", ["signal_id"], order, prepare=signals
     )
-    incremental = loads.current_rows(read_log(spark, f"{work}/log"), ["signal_id"])
-    full = signals(feeds.stories(s.story_records(table(spark, folder, "events"))))
+    log = read_log(spark, f"{work}/log")
+    incremental = loads.current_rows(log, ["signal_id"], order)
+    full = keep_one(signals(feeds.stories(fetches[0].unionByName(fetches[1]))), ["signal_id"], order)
     names = full.columns
     sides = full.withColumn("_side", F.lit(1)).unionByName(
         incremental.select(*names, F.lit(-1).alias("_side"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from contract import query
 from trendmill.operators import layout, versions
-from trendmill.operators.merge import merge_upsert
+from trendmill.operators.merge import merge_upsert, upsert_table
 from trendmill.session import work_path
 from trendmill.sources.standins import table
 
@@ -53,6 +53,24 @@ def merge_partial(spark, folder):
     )
 
 
+@query("upsert_table", """
+SELECT event_id, CASE WHEN event_id % 5 = 0 THEN value + 1 ELSE value END AS value,
+  CASE WHEN event_id % 10 = 0 THEN ts::DATE + 1 ELSE ts::DATE END AS day
+FROM events WHERE event_id % 2 = 0 OR event_id % 5 = 0""")
+def upsert_of_days(spark, folder):
+    """First write, an empty source, then new and changed rows, some of which move to another day."""
+    path = work_path(spark, "upsert-table")
+    events = table(spark, folder, "events").select(
+        "event_id", "value", F.to_date("ts").alias("day")
+    )
+    upsert_table(spark, events.where("event_id % 2 = 0"), path, ["event_id"], "day")
+    upsert_table(spark, events.where("false"), path, ["event_id"], "day")
+    moved = F.expr("if(event_id % 2 = 0, date_add(day, 1), day)")
+    changed = events.where("event_id % 5 = 0").withColumns({"value": F.col("value") + 1, "day": moved})
+    upsert_table(spark, changed, path, ["event_id"], "day")
+    return spark.read.schema(events.schema).parquet(path)
+
+
 def change_log(spark, folder):
     """Three commits on three days, written to and read back from a change log."""
     path = work_path(spark, "customer-log")

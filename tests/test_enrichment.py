@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from trendmill import constants as c
@@ -53,13 +54,13 @@ def test_unusable_responses(spark):
     assert got == [ERROR] * 8
 
 
-def test_prompt_takes_500_characters_of_the_body(spark):
+def test_prompt_takes_the_whole_body(spark):
     frame = spark.createDataFrame(
         [("1", "src", "T", "b" * 900, ["x", "y"], 1), ("2", "src", "T", None, None, 1)], SIGNALS
     )
     first, second = [r[0] for r in frame.select(enrichment.prompt()).collect()]
     assert first == (
-        "Analyse this tech signal:\nSource: src\nTitle: T\nTags: x, y\nBody: " + "b" * 500
+        "Analyse this tech signal:\nSource: src\nTitle: T\nTags: x, y\nBody: " + "b" * 900
         + '\n\nRespond with JSON: {"category": "...", "summary": "...", "sentiment": "...", '
         '"is_emerging": true/false}'
     )
@@ -100,6 +101,37 @@ def test_scorer_failures_stay_with_their_row(spark):
     }
 
 
+def test_batches_have_the_configured_size_and_columns(spark):
+    sizes, failed = spark.sparkContext.accumulator(0), Observation()
+
+    @enrichment.scorer_columns("title")
+    def scorer(batch):
+        assert list(batch.columns) == ["signal_id", "title"] and len(batch) <= 3
+        sizes.add(1)
+        return ["{}"] * (len(batch) - (batch["title"] == "cloud 4").sum())
+
+    rows = enrichment.apply_scorer(
+        frame_of(spark, 10).coalesce(1), scorer, "m", "2024-01-01", batch_rows=3, seen=failed
+    ).collect()
+    assert [int(r.signal_id, 16) for r in rows if r.category == "error"] == [4]
+    assert failed.get["failed"] == 1 and sizes.value >= 4
+
+
+def test_words_of_the_built_in_scorer_are_literal(spark):
+    def category(title, body=None):
+        frame = spark.createDataFrame([("1", "s", title, body, None, 1)], SIGNALS)
+        scorer = enrichment.keyword_scorer({"Systems": ["c++", "c#"], "Cloud": ["cloud"]})
+        return enrichment.apply_scorer(frame, scorer, "m", "2024-01-01").first().category
+
+    assert category("modern C++ tips") == category("c# today") == "Systems"
+    assert category("learning c today") == category("clouds", "x") == "Other"
+    assert category("plain", "all about cloud") == "Cloud"
+
+
+def test_all_missing_signals_are_candidates_by_default(spark):
+    assert enrichment.candidates(frame_of(spark, 450)).count() == 450
+
+
 def test_resume_reaches_every_signal_once(spark):
     signals = frame_of(spark, 7)
     scorer = enrichment.keyword_scorer({"Cloud": ["cloud"]}, emerging=["3"])

@@ -93,23 +93,28 @@ def test_trending_report(spark):
     assert analytics.trending(gold_rows, "2024-06-01").count() == 0
 
 
-def test_emerging_radar_splits_large_categories(spark):
-    """A large category is spread over rows, and no title is lost."""
-    frame = spark.createDataFrame(
-        [signal(f"{i * 2654435761 % 2**32:08x}", title=f"t{i:03d}") for i in range(100)], SCHEMA
-    )
+def test_emerging_radar_has_a_row_for_each_title(spark):
+    frame = spark.createDataFrame([signal(f"{i:08x}", title=f"t{i:03d}") for i in range(100)], SCHEMA)
     enriched = frame.selectExpr(
-        "signal_id", "if(score > 0 and signal_id < 'f', 'Web', 'Cloud') as category",
+        "signal_id", "if(signal_id < '0000001e', 'Web', 'Cloud') as category",
         "true as is_emerging", "created_at as enriched_at",
     )
-    whole = analytics.emerging_radar(enriched, frame, "2024-01-01").collect()
-    assert {r.part for r in whole} == {0} and len(whole) == 2
-    split = analytics.emerging_radar(enriched, frame, "2024-01-01", titles_per_row=10).collect()
-    assert len(split) > 8
-    for row in whole:
-        parts = [r for r in split if r.category == row.category]
-        assert {r.emerging_count for r in parts} == {row.emerging_count}
-        assert sorted(t for r in parts for t in r.sample_titles) == row.sample_titles
+    rows = analytics.emerging_radar(enriched, frame, "2024-01-01").collect()
+    assert sorted(r.title for r in rows) == [f"t{i:03d}" for i in range(100)]
+    assert {(r.category, r.emerging_count) for r in rows} == {("Web", 30), ("Cloud", 70)}
+
+
+def test_reports_without_an_enrichment_table_are_empty(spark):
+    frame = spark.createDataFrame([signal("1")], SCHEMA)
+    enriched = frame.selectExpr(
+        "signal_id", "'Web' as category", "'neutral' as sentiment", "true as is_emerging",
+        "created_at as enriched_at",
+    )
+    for report in (
+        lambda e: analytics.emerging_radar(e, frame, "2024-01-01"),
+        lambda e: analytics.sentiment_share(e, frame),
+    ):
+        assert report(None).collect() == [] and report(None).dtypes == report(enriched).dtypes
 
 
 def test_run_report(spark):
@@ -118,7 +123,7 @@ def test_run_report(spark):
         "step string, status string, result string, duration double",
     )
     rows = {r.step: r for r in analytics.run_report(log).collect()}
-    assert len(rows["a"].result) == 100 and rows["a"].duration_sec == 1.3
+    assert len(rows["a"].result) == 300 and rows["a"].duration_sec == 1.3
     assert tuple(analytics.run_totals(log).first()) == (3, 1, 1, 1, 3.3)
 
 
@@ -170,11 +175,9 @@ def test_newest_day_without_terms_is_passed_over(spark):
         spark, signal("1", title="alpha beta", day=3), signal("2", title="gamma", day=2),
         signal("3", title="a b c", day=5), signal("4", title=None, day=9),
     )
-    assert gold.newest_term_day(rows) == dt.date(2024, 1, 3)
     newest = analytics.top_terms(gold.newest_top_terms(rows, 1)).collect()
     assert [(r.term, r.rank_in_source) for r in newest] == [("alpha", 1)]
     by_table = analytics.top_terms(gold.term_frequency(rows), k=1).collect()
     assert by_table == newest
     nothing = rows.where("signal_id > '2'")
-    assert gold.newest_term_day(nothing) is None
     assert analytics.top_terms(gold.newest_top_terms(nothing, 1)).collect() == []

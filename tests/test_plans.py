@@ -53,7 +53,7 @@ def test_groups_are_cut_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in text[text.index("Exchange hashpartitioning"):]
 
 
-@pytest.mark.parametrize("name", ["latest_signals", "incremental_by_id", "q01_trending"])
+@pytest.mark.parametrize("name", ["latest_signals", "q01_trending"])
 def test_top_k_is_not_a_full_sort(spark, name):
     assert "TakeOrderedAndProject" in plan(spark, name)
 
@@ -77,4 +77,14 @@ def test_python_only_in_the_scorer(spark):
         if name.startswith(("q0", "q1", "silver", "quality", "bronze_s", "scalar", "enrich")):
             text = plan(spark, name)
             assert "EvalPython" not in text
-            assert ("MapInPandas" in text) == (name in ("enrich_apply", "enrich_resume"))
+            assert ("MapInPandas" in text) == (name == "enrich_python")
+
+
+def test_daily_volume_reads_no_texts(spark):
+    text = plan(spark, "q04_daily_volume")
+    assert "html:" not in text and "text:" not in text
+
+
+def test_rows_are_not_dealt_out_by_number(spark):
+    for name in ("unified_signals", "title_tokens", "bronze_repos", "q06_overlap"):
+        assert "RoundRobinPartitioning" not in plan(spark, name)

@@ -211,3 +211,42 @@ def test_ingest(spark, tmp_path):
     ingest(c.QUESTIONS, questions(spark, 7), "q1", "2024-01-05")
     assert spark.read.parquet(path(c.QUESTIONS)).count() == 1
     assert quality.read_log(spark, path("quality")).where("batch_id = 'q1'").count() == 1
+
+
+def test_late_batches_are_read_and_emptied_days_go(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    bronze = {c.STORIES: path("stories")}
+
+    def silver(now):
+        return refresh.refresh_silver(
+            spark, bronze, path("silver"), path("marks"), path("quality"), now
+        )
+
+    landing.append_bronze(
+        stories(spark, (1, "first", 5, 0)), path("stories"), c.STORIES, "b2", ntz("2024-01-07")
+    )
+    assert silver("2024-01-08") == {c.STORIES: 1}
+    landing.append_bronze(
+        stories(spark, (2, "late", 5, 0)), path("stories"), c.STORIES, "b1", ntz("2024-01-05")
+    )
+    assert silver("2024-01-09") == {c.STORIES: 1} and silver("2024-01-10") == {}
+
+    days = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "n int, date date")
+    span = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    refresh.replace_days(days, path("days"), span=span)
+    refresh.replace_days(days.where("n = 2"), path("days"), span=span)
+    assert [r.n for r in spark.read.parquet(path("days")).collect()] == [2]
+
+
+def test_an_empty_replay_leaves_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "stories")
+    rows = stories(spark, (1, "a", 5, 0))
+    for some in (rows, rows.where("id < 0")):
+        landing.append_bronze(some, path, c.STORIES, "b2", ntz("2024-01-05"))
+    landing.append_bronze(rows, path, c.STORIES, "b3", ntz("2024-01-05"))
+    assert {r["_batch_id"] for r in landing.read_bronze(spark, path).collect()} == {"b3"}
+    log = str(tmp_path / "log")
+    for some in (rows, rows.where("id < 0")):
+        versions.write_commit(some, log, 1, "2024-01-01", "MERGE")
+    versions.write_commit(rows, log, 2, "2024-01-01", "MERGE")
+    assert versions.read_log(spark, log).count() == 1

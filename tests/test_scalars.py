@@ -44,6 +44,10 @@ def test_timestamps_do_not_depend_on_the_session_zone(spark):
         assert one(spark, x.iso_to_timestamp("s"), s="2024-01-02T03:04:05Z") == dt.datetime(
             2024, 1, 2, 3, 4, 5
         )
+        assert one(spark, x.iso_to_timestamp("s"), s="2024-01-02T03:04:05") == dt.datetime(
+            2024, 1, 2, 3, 4, 5
+        )
+        assert one(spark, x.iso_to_timestamp("s"), s="2024-01-02") == dt.datetime(2024, 1, 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 

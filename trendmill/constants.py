@@ -30,7 +30,6 @@ ERROR_CATEGORY = "error"
 ERROR_SUMMARY = "Enrichment failed — retry later"
 
 # Prompt layout.
-PROMPT_BODY_CHARS = 500
 PROMPT_FORMAT = (
     "Analyse this tech signal:\nSource: %s\nTitle: %s\nTags: %s\nBody: %s\n\n"
     'Respond with JSON: {"category": "...", "summary": "...", '
@@ -43,7 +42,5 @@ ACCELERATION = 0.2
 MAX_AGE_HOURS = 48
 MAX_NULL_SHARE = 0.10
 MAX_DUPLICATE_SHARE = 0.01
-STORY_BATCH_SIZE = 200
 ENRICH_BATCH_SIZE = 20
-ENRICH_MAX_SIGNALS = 200
 # ----------------------------------------------------------------------------------------------

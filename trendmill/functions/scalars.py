@@ -43,9 +43,13 @@ def epoch_to_timestamp(seconds):
 
 
 def iso_to_timestamp(text):
-    """ISO-8601 text, with or without zone, to UTC time; unreadable text becomes NULL."""
-    instant = F.try_to_timestamp(as_column(text))
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ntz(_EPOCH))
+    """ISO-8601 text to UTC time; text without a zone is UTC, unreadable text becomes NULL."""
+    text = as_column(text)
+    instant = F.try_to_timestamp(text)
+    zoned = F.trim(text).rlike(r"[T ].*(?:Z|[A-Za-z]{3,}|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2})$")
+    return F.when(
+        zoned, F.timestamp_add("MICROSECOND", F.unix_micros(instant), ntz(_EPOCH))
+    ).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def json_strings(text):

@@ -1,13 +1,14 @@
 """Category, summary, sentiment and emerging flag for signals not yet enriched.
 
-Prompts, response parsing and validation are column expressions. Only the scorer itself runs in
-Python, on Arrow batches spread over the executors.
+Prompts, response parsing, validation and the built-in scorer are column expressions. Only a scorer
+that is a Python function runs in Python, on batches of the configured size.
 """
 
-import json
 import re
+import traceback
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trendmill import constants as c
@@ -15,35 +16,33 @@ from trendmill.functions.scalars import as_column, ntz
 from trendmill.operators.merge import merge_upsert
 from trendmill.operators.versions import last_version, write_commit
 from trendmill.schemas import ENRICHED
-from trendmill.session import written
-
-# Ids broadcast to fetch candidate texts; beyond this number Spark picks the join itself.
-_BROADCAST_IDS = 100_000
+from trendmill.session import work_path
 
 _RESPONSE = "category string, summary string, sentiment string, is_emerging string, _bad string"
 
 
-def candidates(signals, enriched=None, max_signals=c.ENRICH_MAX_SIGNALS, retry_errors=False):
-    """Best-scored signals without an enrichment row, all of them while there is no table.
+def candidates(signals, enriched=None, max_signals=None, retry_errors=False):
+    """Signals without an enrichment row, all of them while there is no table.
 
-    The anti join and the top-k work on id and score alone; texts are fetched for the chosen ids.
+    ``max_signals`` keeps the best-scored ones only. The anti join and the top-k work on id and score
+    alone; texts are fetched for the chosen ids.
     """
     todo = signals.select("signal_id", "score")
     if enriched is not None:
         done = enriched.where(F.col("category") != c.ERROR_CATEGORY) if retry_errors else enriched
         todo = todo.join(done.select("signal_id"), "signal_id", "left_anti")
-    chosen = todo.orderBy(F.col("score").desc(), "signal_id").limit(max_signals)
-    chosen = chosen.select("signal_id")
-    if max_signals <= _BROADCAST_IDS:
-        chosen = F.broadcast(chosen)
-    return signals.join(chosen, "signal_id", "left_semi").select(
+    if max_signals is not None:
+        todo = todo.orderBy(F.col("score").desc(), "signal_id").limit(max_signals)
+    return signals.join(todo.select("signal_id"), "signal_id", "left_semi").select(
         "signal_id", "title", "body", "source", "tags"
     )
 
 
-def prompt():
-    """Prompt text of one signal."""
-    body = F.substring(F.coalesce("body", F.lit("")), 1, c.PROMPT_BODY_CHARS)
+def prompt(body_chars=None):
+    """Prompt text of one signal with its whole body, or ``body_chars`` of it."""
+    body = F.coalesce("body", F.lit(""))
+    if body_chars is not None:
+        body = F.substring(body, 1, body_chars)
     tags = F.coalesce(F.array_join("tags", ", "), F.lit(""))
     title = F.coalesce("title", F.lit("None"))
     return F.format_string(c.PROMPT_FORMAT, F.col("source"), title, tags, body)
@@ -109,9 +108,13 @@ def error_record():
 
 def enrich_responses(responses, model, enriched_at):
     """Enrichment rows from ``signal_id`` and raw ``response``."""
+    parsed = responses.select("signal_id", parse("response").alias("_parsed"))
+    return _enrichment_rows(parsed, model, enriched_at)
+
+
+def _enrichment_rows(parsed, model, enriched_at):
     return (
-        responses.select("signal_id", parse("response").alias("_parsed"))
-        .select("signal_id", validated(F.col("_parsed")).alias("_v"))
+        parsed.select("signal_id", validated(F.col("_parsed")).alias("_v"))
         .select(
             "signal_id",
             "_v.category",
@@ -125,69 +128,87 @@ def enrich_responses(responses, model, enriched_at):
 
 
 def keyword_scorer(rules, positive=(), negative=(), emerging=()):
-    """Scorer that needs no network: the first category with a matching word wins."""
+    """Scorer that needs no network: a struct column from title, tags and body.
 
-    def words(items):
-        return rf"\b(?:{'|'.join(items)})\b" if items else r"(?!)"
+    The first category with a matching word wins. Words are taken literally, and match where no
+    letter, digit or underscore of ASCII adjoins them.
+    """
+    text = F.lower(F.concat_ws(" ", "title", F.array_join("tags", " "), "body"))
 
-    patterns = [(name, words(items)) for name, items in rules.items()][::-1]
-    good, bad, new = words(positive), words(negative), words(emerging)
-    other, neutral = c.DEFAULT_CATEGORY, c.DEFAULT_SENTIMENT
+    def has(words):
+        if not words:
+            return F.lit(False)
+        return text.rlike(rf"(?<!\w)(?:{'|'.join(re.escape(w) for w in words)})(?!\w)")
+
+    category = F.lit(c.DEFAULT_CATEGORY)
+    for name, words in reversed(rules.items()):
+        category = F.when(has(words), F.lit(name)).otherwise(category)
+    sentiment = F.when(has(positive), "positive").when(has(negative), "negative")
+    return F.struct(
+        category.alias("category"),
+        F.coalesce("title", F.lit("")).alias("summary"),
+        sentiment.otherwise(c.DEFAULT_SENTIMENT).alias("sentiment"),
+        has(emerging).cast("string").alias("is_emerging"),
+    )
 
-    def score(batch):
-        tags = batch["tags"].map(lambda words: "" if words is None else " ".join(words))
-        text = (batch["title"].fillna("") + " " + tags).str.lower()
 
-        def has(pattern):
-            return text.str.contains(pattern, regex=True, flags=re.ASCII)
+def scorer_columns(*names):
+    """Declares which of source, title, body, tags and prompt a Python scorer reads."""
 
-        category = pd.Series(other, index=batch.index)
-        for name, pattern in patterns:
-            category = category.mask(has(pattern), name)
-        sentiment = pd.Series(neutral, index=batch.index)
-        sentiment = sentiment.mask(has(bad), "negative").mask(has(good), "positive")
-        fields = zip(category, batch["title"], sentiment, has(new))
-        return [
-            json.dumps(
-                {"category": a, "summary": b or "", "sentiment": s, "is_emerging": bool(e)}
-            )
-            for a, b, s, e in fields
-        ]
+    def declare(scorer):
+        scorer.columns = names
+        return scorer
 
-    return score
+    return declare
 
 
-def apply_scorer(chosen, scorer, model, enriched_at, batches=None):
+def apply_scorer(
+    chosen, scorer, model, enriched_at, batches=None, batch_rows=c.ENRICH_BATCH_SIZE, seen=None
+):
     """Enrichment rows of the chosen signals.
 
-    ``scorer`` maps a pandas frame (signal_id, source, title, body, tags, prompt) to one response
-    text per row. A row whose call fails gets the error record. ``batches`` spreads the rows over
-    that many tasks, for choices that sit in few partitions, such as a top-k; without it rows are
-    scored where they are.
+    ``scorer`` is a struct column as of :func:`keyword_scorer`, or a function that maps a pandas frame of
+    ``batch_rows`` signals at most (the columns declared by :func:`scorer_columns`, or all of them) to
+    one response text per row. A batch whose call fails, or gives another number of answers, is
+    halved until the failing rows are alone; those get the error record, and an ``Observation`` given as
+    ``seen`` counts them as ``failed``. ``batches`` spreads the rows over that many tasks, for choices
+    that sit in few partitions, such as a top-k.
     """
-    rows = chosen.select("signal_id", "source", "title", "body", "tags", prompt().alias("prompt"))
+    if isinstance(scorer, Column):
+        scored = chosen.select("signal_id", scorer.alias("_parsed"))
+        return _enrichment_rows(scored, model, enriched_at)
+    wanted = getattr(scorer, "columns", ("source", "title", "body", "tags", "prompt"))
+    rows = chosen.withColumn("prompt", prompt()).select("signal_id", *wanted)
     if batches:
         rows = rows.repartition(batches, "signal_id")
 
     # Nested functions travel to the executors by value, so these need no installed package there.
     def score_rows(batch):
         try:
-            return list(scorer(batch))
+            answers = list(scorer(batch))
+            if len(answers) != len(batch):
+                raise ValueError(f"{len(answers)} answers for {len(batch)} rows")
+            return answers
         except Exception:
             if len(batch) == 1:
+                traceback.print_exc()
                 return [None]
-            singles = (batch.iloc[i : i + 1] for i in range(len(batch)))
-            return [answer for single in singles for answer in score_rows(single)]
+            half = len(batch) // 2
+            return score_rows(batch.iloc[:half]) + score_rows(batch.iloc[half:])
 
     def run(frames):
-        for batch in frames:
-            yield pd.DataFrame({"signal_id": batch["signal_id"], "response": score_rows(batch)})
+        for frame in frames:
+            for start in range(0, len(frame), batch_rows):
+                batch = frame.iloc[start : start + batch_rows]
+                yield pd.DataFrame({"signal_id": batch["signal_id"], "response": score_rows(batch)})
 
     responses = rows.mapInPandas(run, "signal_id string, response string")
+    if seen is not None:
+        responses = responses.observe(seen, F.count_if(F.col("response").isNull()).alias("failed"))
     return enrich_responses(responses, model, enriched_at)
 
 
-def resume(signals, enriched, scorer, model, enriched_at, max_signals, batches=None):
+def resume(signals, enriched, scorer, model, enriched_at, max_signals=None, batches=None):
     """Enriched table after one more run over the signals still missing from it."""
     chosen = candidates(signals, enriched, max_signals)
     fresh = apply_scorer(chosen, scorer, model, enriched_at, batches)
@@ -198,9 +219,13 @@ def commit_in_batches(spark, chosen, log_path, scorer, model, clock, batches):
     """Enriches the chosen signals in ``batches`` commits to a change log.
 
     A run that breaks off keeps the commits made so far, and the next run's candidates leave their
-    signals out. The choice is written first, so that every batch sees the same one.
+    signals out. The choice is written first, one folder a batch, so that every batch sees the same
+    one and reads its own rows only. Rows without a key belong to no batch and are left out.
     """
-    numbered = written(chosen.withColumn("_batch", batch_number(batches)), "enrich-candidates")
+    path = work_path(spark, "enrich-candidates")
+    numbered = chosen.where(F.col("signal_id").isNotNull()).withColumn("_batch", batch_number(batches))
+    numbered.write.partitionBy("_batch").parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
     first = last_version(spark, log_path, ENRICHED) + 1
     for number in range(batches):
         batch = numbered.where(F.col("_batch") == number).drop("_batch")

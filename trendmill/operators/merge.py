@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from trendmill.operators.dedup import split_null_keys
+from trendmill.session import delete_path, read_if_written, written
 
 
 def unique_rows(source, keys):
@@ -61,3 +62,42 @@ def merge_upsert(target, source, keys, update_columns=None, update_condition=Non
             for c in target.columns
         ]
     )
+
+
+def upsert_table(spark, source, path, keys, partition_by, **options):
+    """Upserts ``source`` into the parquet table at ``path`` and returns the number of its rows.
+
+    The first write makes the table, an empty source changes nothing. Only partitions that a source
+    row belongs to, or that hold the old row of its key, are read in full and written again; the old
+    rows are found on keys alone. ``options`` are those of :func:`merge_upsert`. Rows with a NULL key are
+    left out and not counted.
+    """
+    complete, _ = split_null_keys(source, keys)
+    incoming = written(complete, "upsert-source")
+    count = incoming.count()
+    if not count:
+        return 0
+    target = read_if_written(lambda p: spark.read.schema(source.schema).parquet(p), path)
+    if target is None:
+        # Also checks that no key occurs twice.
+        none = spark.createDataFrame([], source.schema)
+        merged, touched = merge_upsert(none, incoming, keys, **options), []
+    else:
+        old = target.select(*keys, partition_by).join(incoming.select(*keys), keys, "left_semi")
+        places = incoming.select(partition_by).unionAll(old.select(partition_by)).distinct()
+        touched = [r[0] for r in places.collect()]
+        part = F.col(partition_by)
+        within = part.isin([t for t in touched if t is not None])
+        if None in touched:
+            within = within | part.isNull()
+        merged = merge_upsert(target.where(F.coalesce(within, F.lit(False))), incoming, keys, **options)
+    merged = written(merged, "upsert-result")
+    (
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_by).parquet(path)
+    )
+    left = {r[0] for r in merged.select(partition_by).distinct().collect()}
+    for emptied in set(touched) - left:
+        name = "__HIVE_DEFAULT_PARTITION__" if emptied is None else emptied
+        delete_path(spark, f"{path}/{partition_by}={name}")
+    return count

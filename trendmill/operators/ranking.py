@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from trendmill.session import written
 
-# Largest group ranked by one task.
-SINGLE_TASK_ROWS = 2_000_000
-
 # monotonically_increasing_id keeps the partition number above this bit.
 _ROW_BITS = 33
 
@@ -32,28 +29,15 @@ def top_k(df, group, order, k, rank, buckets=None):
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def rank_all(df, group, order, rank, single_task_rows=SINGLE_TASK_ROWS):
-    """``row_number`` over whole groups; ``order`` must be total within a group.
-
-    A window sorts each group in one task, which is right only for groups that fit one. The rows are
-    written once, their largest group is counted, and larger groups are ranked over many tasks.
-    """
-    rows = written(df, "rank-input")
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows").alias("_rows")).first()["_rows"] or 0
-    if largest > single_task_rows:
-        return _rank_spread(rows, group, order, rank)
-    return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-
-
-def _rank_spread(rows, group, order, rank):
-    """Ranks rows laid out in rank order over all tasks.
+def rank_all(df, group, order, rank):
+    """``row_number`` over whole groups of any size; ``order`` must be total within a group.
 
-    A row's rank is its place in its own partition plus the rows of its group in the partitions
-    before it. The layout is written because both uses of it must see the same partitions.
+    Rows are laid out in rank order over all tasks. A row's rank is its place in its own partition
+    plus the rows of its group in the partitions before it. The layout is written because both uses
+    of it must see the same partitions.
     """
     laid_out = written(
-        rows.repartitionByRange(*group, *order)
+        df.repartitionByRange(*group, *order)
         .sortWithinPartitions(*group, *order)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _ROW_BITS)),
@@ -73,5 +57,5 @@ def _rank_spread(rows, group, order, rank):
     for name in group:
         same = same & F.col(name).eqNullSafe(F.col(f"_g_{name}"))
     return laid_out.join(shifts, same).select(
-        *rows.columns, (F.col("_place") + F.col("_shift") + 1).cast("int").alias(rank)
+        *df.columns, (F.col("_place") + F.col("_shift") + 1).alias(rank)
     )

@@ -4,12 +4,13 @@ A commit adds the changed rows with their version; the table as of any version i
 key up to it. A commit therefore costs the size of the change, not of the table.
 """
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from trendmill.functions.scalars import ntz
 from trendmill.operators.dedup import keep_one
-from trendmill.session import read_if_written
+from trendmill.session import delete_path, read_if_written
 
 LOG_COLUMNS = ["_version", "_committed_at", "_operation"]
 
@@ -25,14 +26,21 @@ def as_commit(rows, version, committed_at, operation):
 
 
 def write_commit(rows, path, version, committed_at, operation):
-    """Writes one version; writing the same version again replaces it, so replays are harmless."""
+    """Writes one version; writing the same version again replaces it, so replays are harmless.
+
+    A version without rows leaves nothing of an earlier attempt behind.
+    """
+    seen = Observation()
     (
         as_commit(rows, version, committed_at, operation)
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_version")
         .parquet(path)
     )
+    if not seen.get["rows"]:
+        delete_path(rows.sparkSession, f"{path}/_version={version}")
 
 
 def log_schema(schema):

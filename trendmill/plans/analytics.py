@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from trendmill import constants as c
 from trendmill.functions.scalars import since_days
 
-# Titles per output row of the emerging radar.
-_TITLES_PER_ROW = 10_000
-
-
 def only_source(df, source):
     return df if source in (None, "all") else df.where(F.col("source") == source)
 
@@ -107,40 +103,48 @@ def term_overlap(term_counts, as_of, min_sources=3, k=20):
     )
 
 
-def emerging_radar(enriched, signals, as_of, source=None, titles_per_row=_TITLES_PER_ROW):
-    """Emerging signals of the past week by category, with their titles.
+def emerging_radar(enriched, signals, as_of, source=None):
+    """Emerging signals of the past week: one row a signal with its category's total.
 
-    A category has one row, ``part`` 0, until it has more than ``titles_per_row`` titles. A larger
-    one is spread over several rows by signal id, so that no row or task holds all titles of a
-    category. Every title is kept, and ``emerging_count`` is the category's total on each of its
-    rows.
+    The totals are counted on ids alone, so texts are joined once. Without an enrichment table the
+    report is empty.
     """
+    wanted = only_source(signals, source)
+    if enriched is None:
+        return wanted.where(F.lit(False)).select(
+            F.lit("").alias("category"), "signal_id", "title",
+            F.lit(0).cast("bigint").alias("emerging_count"),
+        )
     emerging = enriched.where(
         F.col("is_emerging")
         & (F.col("enriched_at") >= F.date_sub(F.lit(str(as_of)).cast("date"), 7))
     ).select("signal_id", "category")
-    titles = only_source(signals, source).select("signal_id", "title")
-    titled = emerging.join(titles, "signal_id")
-    # Validated categories come from the taxonomy, so the totals are a handful of rows.
-    totals = F.broadcast(
-        titled.groupBy("category").agg(F.count(F.lit(1)).alias("emerging_count"))
+    totals = (
+        emerging.join(wanted.select("signal_id"), "signal_id")
+        .groupBy("category").agg(F.count(F.lit(1)).alias("emerging_count"))
     )
-    parts = F.ceil(F.col("emerging_count") / titles_per_row)
-    head = F.conv(F.substring("signal_id", 1, 8), 16, 10).cast("bigint")
     return (
-        titled.join(totals, "category")
-        .groupBy("category", F.pmod(head, parts).cast("int").alias("part"), "emerging_count")
-        .agg(F.array_sort(F.collect_list("title")).alias("sample_titles"))
-        .orderBy(F.col("emerging_count").desc(), "category", "part")
+        emerging.join(wanted.select("signal_id", "title"), "signal_id")
+        .join(totals, "category")
+        .select("category", "signal_id", "title", "emerging_count")
     )
 
 
 def sentiment_share(enriched, signals, source=None):
-    """Sentiment counts and percentages per source, failed enrichments left out."""
+    """Sentiment counts and percentages per source, failed enrichments left out.
+
+    Without an enrichment table the report is empty.
+    """
+    wanted = only_source(signals, source)
+    if enriched is None:
+        return wanted.where(F.lit(False)).select(
+            "source", F.lit("").alias("sentiment"), F.lit(0).cast("bigint").alias("signal_count"),
+            F.lit(0.0).alias("pct"),
+        )
     counts = (
         enriched.where(F.col("category") != c.ERROR_CATEGORY)
         .select("signal_id", "sentiment")
-        .join(only_source(signals, source).select("signal_id", "source"), "signal_id")
+        .join(wanted.select("signal_id", "source"), "signal_id")
         .groupBy("source", "sentiment")
         .agg(F.count(F.lit(1)).alias("signal_count"))
     )
@@ -213,19 +217,10 @@ def latest_enriched(enriched, rows=10):
     return enriched.orderBy(F.col("enriched_at").desc(), "signal_id").limit(rows)
 
 
-def top_of_version(trending_as_of, k=10):
-    """Highest composite scores of one version of the trending table."""
-    return (
-        trending_as_of.orderBy(F.col("composite_score").desc(), "signal_id")
-        .limit(k)
-        .select("source", "title", F.round("composite_score", 2).alias("composite_score"))
-    )
-
-
 def run_report(run_log):
-    """Steps of a run with shortened results and rounded durations."""
+    """Steps of a run with their whole results and rounded durations."""
     return run_log.select(
-        "step", "status", F.substring("result", 1, 100).alias("result"),
+        "step", "status", "result",
         F.round("duration", 1).alias("duration_sec"),
     )
 

@@ -56,7 +56,8 @@ def _by_frequency():
 
 def term_frequency(dated):
     """Term counts with the rank of each term in its source and day."""
-    return rank_all(term_counts(dated), _DAY, _by_frequency(), "rank_in_source")
+    ranked = rank_all(term_counts(dated), _DAY, _by_frequency(), "rank_in_source")
+    return ranked.withColumn("rank_in_source", F.col("rank_in_source").cast("int"))
 
 
 def top_term_frequency(dated, k):
@@ -64,22 +65,16 @@ def top_term_frequency(dated, k):
     return top_k(term_counts(dated), _DAY, _by_frequency(), k, "rank_in_source")
 
 
-def newest_term_day(dated):
-    """Newest day with any term, None without one.
+def newest_top_terms(dated, k):
+    """As ``top_term_frequency`` for the newest day with terms, in one plan.
 
-    The newest day is known from the dates alone and nearly always has terms; only if it has none is
-    the day before it looked at. So no texts but those of one day are read.
+    The newest date is the largest one among the counted terms; both uses share one count.
     """
-    day = dated.agg(F.max("date")).first()[0]
-    while day is not None and all_terms(dated.where(F.col("date") == F.lit(day)), "date").isEmpty():
-        day = dated.where(F.col("date") < F.lit(day)).agg(F.max("date")).first()[0]
-    return day
-
-
-def newest_top_terms(dated, k):
-    """As ``top_term_frequency`` for the newest day with terms."""
-    day = newest_term_day(dated)
-    return top_term_frequency(dated if day is None else in_range(dated, day, day), k)
+    counts = term_counts(dated).where(F.col("date").isNotNull())
+    newest = counts.agg(F.max("date").alias("date"))
+    # One row.
+    last = counts.join(F.broadcast(newest), "date")
+    return top_k(last, _DAY, _by_frequency(), k, "rank_in_source")
 
 
 def trending_signals(dated, as_of, k=c.TRENDING_PER_GROUP):
@@ -107,17 +102,26 @@ def top_tags(dated):
     return top_k(counts, _DAY, order, 1, "_rank").select(*_DAY, F.col("tag").alias("top_tag"))
 
 
-def source_summary(dated, approximate_authors=False):
-    """Daily figures per source with the top tag."""
+def daily_figures(dated, approximate_authors=False):
+    """Daily figures per source."""
     authors = F.approx_count_distinct if approximate_authors else F.countDistinct
-    daily = dated.groupBy(*_DAY).agg(
+    return dated.groupBy(*_DAY).agg(
         F.count(F.lit(1)).alias("signal_count"),
         F.round(F.avg("score"), 2).alias("avg_score"),
         F.max("score").alias("max_score"),
         authors("author").alias("unique_authors"),
         F.round(F.avg(F.length("body")), 1).alias("avg_body_length"),
     )
-    return daily.join(top_tags(dated), _DAY, "left")
+
+
+def daily_counts(dated):
+    """Signals per source and day alone."""
+    return dated.groupBy(*_DAY).agg(F.count(F.lit(1)).alias("signal_count"))
+
+
+def source_summary(dated, approximate_authors=False):
+    """Daily figures per source with the top tag."""
+    return daily_figures(dated, approximate_authors).join(top_tags(dated), _DAY, "left")
 
 
 def tech_velocity(dated):

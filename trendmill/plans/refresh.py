@@ -4,8 +4,10 @@ Silver is a change log (see ``operators.versions``), gold tables are parquet tab
 Every step may be run again after a failure: it finishes or redoes what it began.
 """
 
+import datetime as dt
 from functools import reduce
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,12 +17,11 @@ from trendmill.functions.scalars import ntz
 from trendmill.operators import quality, versions
 from trendmill.operators.dedup import split_null_keys
 from trendmill.plans import gold, silver
-from trendmill.session import read_if_written, written
+from trendmill.session import delete_path, read_if_written, written
 from trendmill.sources.landing import (
     append_bronze,
     bronze_schema,
     high_water_mark,
-    newer_ingested,
     read_bronze,
     read_mark,
 )
@@ -58,6 +59,9 @@ MARKS = StructType(
 )
 
 
+BATCHES = StructType([StructField("source", StringType()), StructField("batch", StringType())])
+
+
 def ingest(spark, source, rows, bronze_path, log_path, checkpoints_path, batch, now):
     """Appends one batch of bronze rows, checks it and marks how far its feed has been read.
 
@@ -105,13 +109,15 @@ def read_marks(spark, path):
 
 
 def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now, reprocess=False):
-    """Merges bronze rows ingested since the last run into silver; returns rows per source.
+    """Merges bronze batches not read before into silver; returns rows per source.
 
-    The mark of a source is the newest ingestion time that was read, so rows landing during the run
-    are left for the next one. Silver and its quality log are written before the marks. A run that
-    fails between them is repeated under the same version and replaces what it wrote.
+    Batches are told by their id, which is the partition they lie in: only new ones are opened, and one
+    that lands late is read whatever its ingestion time. Batches landing during the run are left for
+    the next one. Silver, its quality log and the batch ids are written before the marks, whose
+    version makes them count. A run that fails between them is repeated under the same version and
+    replaces what it wrote.
     """
-    marks, last = read_marks(spark, marks_path)
+    _, last = read_marks(spark, marks_path)
     version = last + 1
     landed = {
         source: read_if_written(
@@ -120,11 +126,17 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
         for source, path in bronze_paths.items()
         if source in silver.TRANSFORMS
     }
-    bronze = {
-        source: newer_ingested(rows, marks.get(source), reprocess=reprocess)
+    batches_path = f"{marks_path.rstrip('/')}-batches"
+    unread = {
+        source: unread_batches(spark, rows, batches_path, source, 0 if reprocess else last)
         for source, rows in landed.items()
         if rows is not None
     }
+    bronze = {
+        source: landed[source].where(F.col("_batch_id").isin(ids))
+        for source, ids in unread.items()
+        if ids
+    }
     if not bronze:
         return {}
     newest = reduce(
@@ -139,11 +151,7 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     found = {r["source"]: r["last_timestamp"] for r in newest.collect() if r["last_timestamp"]}
     if not found:
         return {}
-    # Read up to the mark and no further: files may arrive while the rows are being written.
-    ready = {
-        source: bronze[source].where(F.col("_ingested_at") <= F.lit(mark).cast("timestamp_ntz"))
-        for source, mark in found.items()
-    }
+    ready = {source: bronze[source] for source in found}
     signals = written(silver.unify(ready), "silver-new")
     complete, _ = split_null_keys(signals, ["signal_id"])
     versions.write_commit(complete, silver_path, version, now, "MERGE")
@@ -156,6 +164,10 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     batch = F.concat(F.lit("silver_"), F.col("source"), F.lit(f"_v{version}"))
     checks = quality.log_rows(metrics, batch, str(now))
     versions.write_commit(checks, log_path, version, now, "APPEND")
+    read = [(source, batch) for source in bronze for batch in unread[source]]
+    versions.write_commit(
+        spark.createDataFrame(read, BATCHES), batches_path, version, now, "APPEND"
+    )
     versions.write_commit(
         spark.createDataFrame(sorted(found.items()), MARKS),
         marks_path, version, now, "MERGE",
@@ -163,27 +175,43 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     return {r["source"]: r["total_rows"] for r in metrics.collect()}
 
 
+def unread_batches(spark, rows, path, source, version):
+    """Batch ids of a bronze table that no run up to ``version`` has read, from its partitions."""
+    ids = rows.select("_batch_id").distinct()
+    log = read_if_written(lambda p: versions.read_log(spark, p, BATCHES), path)
+    if log is not None:
+        done = log.where((F.col("source") == source) & (F.col("_version") <= version))
+        ids = ids.join(done.select(F.col("batch").alias("_batch_id")), "_batch_id", "left_anti")
+    return sorted(r["_batch_id"] for r in ids.collect())
+
+
 def current_signals(spark, silver_path, within=None):
     """Signals as of the last commit, optionally only those meeting a condition."""
     log = versions.read_log(spark, silver_path, schemas.SIGNALS)
     return versions.as_of(log, ["signal_id"], within=within)
 
 
-def replace_days(rows, path, day="date", cluster_by=()):
-    """Replaces the days that occur in ``rows`` and leaves all other days alone.
+def replace_days(rows, path, day="date", cluster_by=(), span=()):
+    """Replaces the days that occur in ``rows``, and all of ``span``, and leaves other days alone.
+
+    A day of ``span`` (an iterable of dates) that has no rows any more is removed.
 
     Rows that dropped out of a day's ranking go with the old day instead of staying behind.
     Rebalancing gathers small days into few files and still splits a day too large for one task;
     sorting by ``cluster_by`` lets scans skip most of a file.
     """
+    seen = Observation()
     (
-        rows.hint("rebalance", day)
+        rows.observe(seen, F.collect_set(day).alias("days"))
+        .hint("rebalance", day)
         .sortWithinPartitions(day, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)
     )
+    for emptied in set(span) - set(seen.get["days"]):
+        delete_path(rows.sparkSession, f"{path}/{day}={emptied.isoformat()}")
 
 
 def refresh_gold(spark, silver_path, gold_path, first, last, as_of):
@@ -199,7 +227,13 @@ def refresh_gold(spark, silver_path, gold_path, first, last, as_of):
         "source_summary": gold.source_summary(days),
         "tech_velocity": gold.tech_velocity(weeks).where(F.col("week_start") >= monday),
     }
+    start, end = (dt.date.fromisoformat(str(d)[:10]) for d in (first, last))
+    week = start - dt.timedelta(days=start.weekday())
+    dates = [week + dt.timedelta(days=i) for i in range((end - week).days + 1)]
     for name, rows in tables.items():
         day = "week_start" if name == "tech_velocity" else "date"
-        replace_days(rows, f"{gold_path}/{name}", day, CLUSTER_BY[name])
+        span = [d for d in dates if d.weekday() == 0] if name == "tech_velocity" else [
+            d for d in dates if d >= start
+        ]
+        replace_days(rows, f"{gold_path}/{name}", day, CLUSTER_BY[name], span)
     return {name: spark.read.parquet(f"{gold_path}/{name}") for name in tables}

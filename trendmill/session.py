@@ -1,6 +1,5 @@
 """Session settings and the shared work folder."""
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -33,7 +32,7 @@ def build_session(app_name="trendmill", master=None, **conf):
 def shared_dir(spark):
     """Folder every executor can reach, as named by the session in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    Without that setting it is a folder in the session's warehouse.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
@@ -41,9 +40,8 @@ def shared_dir(spark):
         if not context.getCheckpointDir():
             context.setCheckpointDir(named)
         return named
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by the cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="trendmill-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    context.setCheckpointDir(f"{warehouse}/_scratch")
     return context.getCheckpointDir()
 
 
@@ -71,3 +69,10 @@ def read_if_written(read, path):
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return None
+
+
+def delete_path(spark, path):
+    """Removes a file or folder through Spark's file system; True if there was one."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 
 from trendmill.functions.scalars import as_column, ntz, utc_now
 from trendmill.operators.dedup import keep_one
+from trendmill.session import delete_path
 
 
 def first_occurrence(df, key, query_no, position):
@@ -16,14 +17,14 @@ def first_occurrence(df, key, query_no, position):
     return keep_one(present, [key], [F.col(query_no).asc(), F.col(position).asc()])
 
 
-def newer_ids(df, id_column, last_id, batch_size):
-    """Next rows past a numeric mark.
+def newer_ids(df, id_column, last_id, batch_size=None):
+    """Rows past a numeric mark, all of them unless ``batch_size`` limits a pull.
 
-    The lowest new ids come first: with the highest id of the batch as the next mark, no id between
-    two batches is skipped.
+    The lowest new ids come first then: with the highest id of the batch as the next mark, no id
+    between two batches is skipped.
     """
     rows = df if last_id is None else df.where(F.col(id_column) > F.lit(int(last_id)))
-    return rows.orderBy(id_column).limit(batch_size)
+    return rows if batch_size is None else rows.orderBy(id_column).limit(batch_size)
 
 
 def newer_text(df, column, last_value):
@@ -73,7 +74,7 @@ def append_bronze(df, path, source, batch, ingested_at=None):
     """Adds one batch and returns its row count, counted during the write itself.
 
     Batches already there stay as they are. A batch written again after a failure replaces its first
-    attempt instead of doubling it.
+    attempt instead of doubling it, also when it has no rows any more.
     """
     seen = Observation(f"append-{batch}")
     rows = with_ingestion_columns(df, source, batch, ingested_at)
@@ -84,7 +85,10 @@ def append_bronze(df, path, source, batch, ingested_at=None):
         .partitionBy("_batch_id")
         .parquet(path)
     )
-    return seen.get["rows"]
+    count = seen.get["rows"]
+    if not count:
+        delete_path(df.sparkSession, f"{path}/_batch_id={batch}")
+    return count
 
 
 def bronze_schema(schema):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from trendmill.operators.dedup import keep_one, split_null_keys
 from trendmill.operators.versions import LOG_COLUMNS, as_of, write_commit
-from trendmill.sources.feeds import READERS
+from trendmill.schemas import PAPER_ENTRY
+from trendmill.sources.feeds import READERS, paper_entries
 from trendmill.sources.landing import batch_id, with_ingestion_columns
 
 
@@ -23,10 +24,13 @@ def landed_parquet(spark, path, schema=None, files_per_batch=None):
 
 
 def landed_feed(spark, kind, path, files_per_batch=None):
-    """Stream of bronze rows from landed JSON lines, parsed as in a batch read."""
+    """Stream of bronze rows from landed JSON lines, or Atom XML for papers, parsed as in a batch read."""
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if kind == "papers":
+        entries = reader.schema(PAPER_ENTRY).option("rowTag", "entry").format("xml").load(path)
+        return paper_entries(entries)
     return READERS[kind](reader.text(path))
 
 
