@@ -99,7 +99,7 @@ def similarity(one, other):
 
 
 def _items(benchmark, radius):
-    """``item_id``, ``length`` in words, ``size`` of its runs, their hashes ``runs`` and SimHash ``item_fp``."""
+    """Items numbered by ``item``: ``length`` in words, ``size`` of runs, their hashes ``runs``, SimHash ``item_fp``."""
     words = benchmark.select(
         F.col("item_id"), words_of(F.col("text").cast("string")).alias("w")
     ).where(F.size("w") > 0)
@@ -114,34 +114,64 @@ def _items(benchmark, radius):
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
-    return written(out.withColumn("item_fp", simhash(F.col("runs"))), "benchmark-items")
+    numbered = out.withColumns({
+        "item_fp": simhash(F.col("runs")), "item": F.monotonically_increasing_id(),
+    })
+    return written(numbered, "benchmark-items")
+
+
+def _listed(docs, size):
+    """Documents with their number of words ``n`` and the hashes of all their runs."""
+    hashed = docs.select(
+        "doc_id", "t", F.transform(words_of("text"), lambda x: F.xxhash64(x)).alias("h")
+    )
+    return hashed.select(
+        "doc_id", "t", F.size("h").alias("n"), shingles(F.col("h"), size).alias("all_runs")
+    )
 
 
 def _windows(docs, items, size):
-    """Windows of documents that start with a run of an item, or are the last: one row each."""
+    """Windows of documents that start with a run of an item, or are the last: one row each.
+
+    Places are found first, on rows without arrays, and gathered by document; then only documents
+    with a place are taken apart once more.
+    """
     runs = (
         items.where(F.col("size") == size)
         .select(F.explode("runs").alias("run"), "length").distinct()
     )
     parts = max(1, math.ceil(runs.count() / BROADCAST_ROWS))
-    hashed = docs.select(
-        "doc_id", "t", F.transform(words_of("text"), lambda x: F.xxhash64(x)).alias("h")
-    )
-    listed = hashed.select(
-        "doc_id", "t", F.size("h").alias("n"), shingles(F.col("h"), size).alias("all_runs")
-    )
     # Without "outer" a filter on the array's size would be pushed down and build the array again.
-    opened = listed.select("*", F.posexplode_outer("all_runs").alias("at", "run"))
+    opened = _listed(docs, size).select(
+        "doc_id", "t", "n", F.posexplode_outer("all_runs").alias("at", "run")
+    )
     found = None
     for part in range(parts):
         mine = runs.where(F.pmod("run", F.lit(parts)) == part)
-        met = opened.join(F.broadcast(mine), "run")
+        met = opened.join(F.broadcast(mine), "run").drop("run")
         found = met if found is None else found.unionAll(met)
     start = F.least("at", F.greatest(F.lit(0), F.col("n") - F.col("length")))
-    return found.select(
-        "doc_id", "t", "length", start.alias("start"),
-        F.slice("all_runs", start + 1, F.col("length") - size + 1).alias("window"),
+    places = written(
+        found.groupBy("doc_id", "t")
+        .agg(F.collect_set(F.struct("length", start.alias("start"))).alias("places"))
+        .select(F.col("doc_id").alias("_doc"), F.col("t").alias("_t"), "places"),
+        "leak-places",
     )
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
+    met = docs.join(places, same).drop("_doc", "_t")
+    listed = met.select("doc_id", "t", "places", F.transform(
+        words_of("text"), lambda x: F.xxhash64(x)
+    ).alias("h")).select("doc_id", "t", "places", shingles(F.col("h"), size).alias("all_runs"))
+
+    def window(place):
+        runs = F.slice("all_runs", place["start"] + 1, place["length"] - size + 1)
+        return F.struct(
+            place["length"].alias("length"), place["start"].alias("start"), runs.alias("window")
+        )
+
+    return listed.select(
+        "doc_id", "t", F.explode_outer(F.transform("places", window)).alias("w")
+    ).select("doc_id", "t", "w.*")
 
 
 def _bounded(df, rows):
@@ -155,12 +185,13 @@ def _matches(docs, benchmark, at_least, radius):
     total = sum(counts.values())
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.xxhash64(F.col("text").cast("string")).alias("t"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("t"),
     )
     index = items.select(
-        "item_id", "length", "item_fp", F.explode(block_rows(F.col("item_fp"), radius)).alias("b")
-    ).select("item_id", "length", "item_fp", "b.*")
-    texts = items.select("item_id", F.col("runs").alias("item_runs"))
+        "item", "item_id", "length", "item_fp",
+        F.explode(block_rows(F.col("item_fp"), radius)).alias("b"),
+    ).select("item", "item_id", "length", "item_fp", "b.*")
+    texts = items.select("item", F.col("runs").alias("item_runs"))
     out = None
     for size in sorted(counts):
         windows = _windows(rows, items, size).withColumn("fp", simhash(F.col("window")))
@@ -173,7 +204,7 @@ def _matches(docs, benchmark, at_least, radius):
             .where(F.bit_count(differing) <= radius)
             .where(F.col("block") == first_equal_block(differing, radius))
         )
-        checked = near.join(_bounded(texts, total), "item_id").select(
+        checked = near.join(_bounded(texts, total), "item").select(
             "doc_id", "t", "item_id", "length", "start",
             F.bit_count(differing).cast("int").alias("distance"),
             similarity(F.col("window"), F.col("item_runs")).alias("similarity"),
@@ -211,6 +242,6 @@ def drop_leaks(docs, benchmark, at_least=SIMILARITY, radius=RADIUS):
         found.select(F.col("doc_id").alias("_gone"), F.col("t").alias("_t")).distinct(), "leaks"
     )
     same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_gone"))) & (
-        F.xxhash64(F.col("text").cast("string")) == F.col("_t")
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_t")
     )
     return docs.join(gone, same, "left_anti")
