@@ -158,7 +158,8 @@ def _windows(docs, items, size):
         "leak-places",
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
-    met = docs.join(places, same).drop("_doc", "_t")
+    # Places grow with the documents, so they are never broadcast, however few they are.
+    met = docs.join(places.hint("merge"), same).drop("_doc", "_t")
     listed = met.select("doc_id", "t", "places", F.transform(
         words_of("text"), lambda x: F.xxhash64(x)
     ).alias("h")).select("doc_id", "t", "places", shingles(F.col("h"), size).alias("all_runs"))
