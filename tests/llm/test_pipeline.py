@@ -4,7 +4,10 @@ from trendmill.llm.registry import ORACLES, QUERIES
 from trendmill.session import written
 
 
-def test_stages_take_effect_one_after_another(spark, folder, documents):
+def test_stages_take_effect_one_after_another(spark):
+    # Large enough for the labels to teach something.
+    folder = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
     docs, counts = documents, [documents.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = written(stage(spark, docs, folder), name)

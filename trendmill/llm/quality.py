@@ -205,7 +205,7 @@ def train(docs, labels, sample=SAMPLE):
 
 
 def scorer(net):
-    """``texts -> probabilities`` for a network."""
+    """``texts -> probabilities`` for a network, rounded so that no batch of texts sways them."""
     tables = _tables(net.filters)
 
     def score_texts(texts):
@@ -213,7 +213,7 @@ def scorer(net):
         counts = np.array([len(p) for p in parts])
         chunks = np.concatenate(parts)
         pooled = _pooled(chunks, tables, net.bias)
-        return _combine(net, pooled, _fill(chunks), _starts(counts), counts)[0].astype(float)
+        return _combine(net, pooled, _fill(chunks), _starts(counts), counts)[0].astype(float).round(6)
 
     return score_texts
 
