@@ -19,7 +19,7 @@ def test_every_query_has_an_oracle():
 
 
 # Reports that are empty on the smallest tables.
-EMPTY = set()
+EMPTY = {"q06_overlap"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
