@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,9 @@ from pyspark.sql import functions as F
 from trendmill import constants as c
 from trendmill.functions.scalars import ntz
 from trendmill.operators import enrichment, quality, versions
+from trendmill.operators.merge import upsert_table
 from trendmill.plans import refresh
+from trendmill.session import shared_dir
 from trendmill.sources import catalog, feeds, landing
 
 
@@ -250,3 +253,30 @@ def test_an_empty_replay_leaves_nothing_behind(spark, tmp_path):
         versions.write_commit(some, log, 1, "2024-01-01", "MERGE")
     versions.write_commit(rows, log, 2, "2024-01-01", "MERGE")
     assert versions.read_log(spark, log).count() == 1
+
+
+def test_runs_leave_no_working_tables(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+
+    def left():
+        return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+    before = left()
+    landing.append_bronze(
+        stories(spark, (1, "a story", 5, 0)), path("stories"), c.STORIES, "b1", ntz("2024-01-05")
+    )
+    refresh.refresh_silver(
+        spark, {c.STORIES: path("stories")}, path("silver"), path("marks"), path("quality"), "2024-01-06"
+    )
+    tables = refresh.refresh_gold(
+        spark, path("silver"), path("gold"), "2024-01-01", "2024-01-02", "2024-01-03"
+    )
+    assert tables["tech_term_frequency"].count() == 1
+    rows = spark.createDataFrame([(1, "a")], "id int, part string")
+    assert upsert_table(spark, rows, path("table"), ["id"], "part") == 1
+    moved = spark.createDataFrame([(1, "b")], "id int, part string")
+    assert upsert_table(spark, moved, path("table"), ["id"], "part") == 1
+    assert upsert_table(spark, moved.where("false"), path("table"), ["id"], "part") == 0
+    assert spark.read.parquet(path("table")).select("id", "part").collect() == [(1, "b")]
+    assert left() == before

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from trendmill.operators.dedup import split_null_keys
-from trendmill.session import delete_path, read_if_written, written
+from trendmill.session import delete_path, drops_written, read_if_written, written
 
 
 def unique_rows(source, keys):
@@ -64,6 +64,7 @@ def merge_upsert(target, source, keys, update_columns=None, update_condition=Non
     )
 
 
+@drops_written
 def upsert_table(spark, source, path, keys, partition_by, **options):
     """Upserts ``source`` into the parquet table at ``path`` and returns the number of its rows.
 

@@ -17,7 +17,7 @@ from trendmill.functions.scalars import ntz
 from trendmill.operators import quality, versions
 from trendmill.operators.dedup import split_null_keys
 from trendmill.plans import gold, silver
-from trendmill.session import delete_path, read_if_written, written
+from trendmill.session import delete_path, drops_written, read_if_written, written
 from trendmill.sources.landing import (
     append_bronze,
     bronze_schema,
@@ -108,6 +108,7 @@ def read_marks(spark, path):
     return {r["source"]: r["mark"] for r in found}, max(r["version"] for r in found)
 
 
+@drops_written
 def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now, reprocess=False):
     """Merges bronze batches not read before into silver; returns rows per source.
 
@@ -214,6 +215,7 @@ def replace_days(rows, path, day="date", cluster_by=(), span=()):
         delete_path(rows.sparkSession, f"{path}/{day}={emptied.isoformat()}")
 
 
+@drops_written
 def refresh_gold(spark, silver_path, gold_path, first, last, as_of):
     """Rebuilds the gold tables for a closed range of days from one snapshot of silver."""
     names = ["signal_id", "source", "title", "body", "url", "author", "score", "created_at", "tags"]
@@ -236,4 +238,11 @@ def refresh_gold(spark, silver_path, gold_path, first, last, as_of):
             d for d in dates if d >= start
         ]
         replace_days(rows, f"{gold_path}/{name}", day, CLUSTER_BY[name], span)
-    return {name: spark.read.parquet(f"{gold_path}/{name}") for name in tables}
+    return {name: _stored(spark, f"{gold_path}/{name}", rows) for name, rows in tables.items()}
+
+
+def _stored(spark, path, rows):
+    """A gold table as stored, with its day last; its schema is given, as it may have no rows."""
+    day = "week_start" if "week_start" in rows.columns else "date"
+    fields = [f for f in rows.schema.fields if f.name != day]
+    return spark.read.schema(StructType([*fields, rows.schema[day]])).parquet(path)

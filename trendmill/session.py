@@ -1,10 +1,15 @@
 """Session settings and the shared work folder."""
 
 import uuid
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+#: Paths written within the innermost function marked by ``drops_written``.
+_MADE = ContextVar("made", default=None)
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -54,9 +59,12 @@ def written(df, label):
     """The rows of ``df`` read back from a parquet table in the shared folder.
 
     Cuts the lineage and gives later steps measured sizes. A lost executor costs nothing, as the
-    table outlives it. The table stays until the folder is cleaned.
+    table outlives it. The table stays until the folder is cleaned, or until the function that wrote
+    it ends if that is marked by ``drops_written``.
     """
     path = work_path(df.sparkSession, label)
+    if _MADE.get() is not None:
+        _MADE.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -76,3 +84,20 @@ def delete_path(spark, path):
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drops_written(function):
+    """Marks a function of a session whose result no longer reads what it has ``written``."""
+
+    @wraps(function)
+    def run(spark, *args, **kwargs):
+        made = []
+        outer = _MADE.set(made)
+        try:
+            return function(spark, *args, **kwargs)
+        finally:
+            _MADE.reset(outer)
+            for path in made:
+                delete_path(spark, path)
+
+    return run
