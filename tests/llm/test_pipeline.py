@@ -1,3 +1,5 @@
+import pytest
+
 import corpus_pipeline
 from trendmill.llm import contamination, pii
 from trendmill.llm.registry import ORACLES, QUERIES
@@ -42,8 +44,8 @@ def test_queries_are_registered():
     assert "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
 
 
-def test_sql_of_repeats(spark, folder):
+@pytest.mark.parametrize("name", ["op3_simhash_decontamination", "op5_recompression_repeats"])
+def test_queries_equal_their_sql(spark, folder, name):
     from tests.compare import connect, differences
 
-    name = "op5_recompression_repeats"
     assert differences(QUERIES[name](spark, folder), connect(folder), ORACLES[name]) == ""
