@@ -25,6 +25,8 @@ from trendmill.llm.shared import map_column, map_texts
 WORD_END = "</w>"
 #: Words a worker remembers in each of two generations.
 REMEMBERED = 300_000
+#: Symbols up to which exact merging looks over all pairs.
+SHORT = 24
 _SPACE = regex.compile(r"\s+")
 
 
@@ -87,6 +89,10 @@ class Merges:
         self.ended_ids = set(self.ended.values())
         self.longest = max(map(len, self.bytes_of.values()))
         self._keep_exact()
+        #: Longest token without word end by its first two bytes.
+        self.reach = {}
+        for data in self.inner:
+            self.reach[data[:2]] = max(len(data), self.reach.get(data[:2], 0))
 
     def _keep_exact(self):
         """Drops tokens that merging their own bytes doesn't give; no encoding contains them."""
@@ -103,6 +109,27 @@ class Merges:
         ids = [self.first_inner[b] for b in data]
         if ended:
             ids[-1] = self.first_ended[data[-1]]
+        return self._merge_short(ids) if len(ids) <= SHORT else self._merge_long(ids)
+
+    def _merge_short(self, ids):
+        """Looks over all pairs for the next one, which is fastest for a few symbols."""
+        find, none = self.merged.get, (len(self.merged), -1)
+        found = [find(pair, none) for pair in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is none or best[1] < 0:
+                break
+            at = found.index(best)
+            ids[at : at + 2] = [best[1]]
+            del found[at]
+            if at:
+                found[at - 1] = find((ids[at - 1], ids[at]), none)
+            if at < len(found):
+                found[at] = find((ids[at], ids[at + 1]), none)
+        return ids
+
+    def _merge_long(self, ids):
+        """Keeps the pairs in a heap, for a number of symbols that may be large."""
         follow = [*range(1, len(ids)), -1]
         before = [*range(-1, len(ids) - 1)]
         merged = self.merged
@@ -198,7 +225,7 @@ def propose(merges, data):
         if n - at <= merges.longest and data[at:] in merges.ended:
             out.append(merges.ended[data[at:]])
             break
-        for size in range(min(merges.longest, n - at - 1), 0, -1):
+        for size in range(min(merges.reach.get(data[at : at + 2], 1), n - at - 1), 0, -1):
             found = merges.inner.get(data[at : at + size])
             if found is not None:
                 break
@@ -236,6 +263,7 @@ class Encoder:
 
     def __init__(self, merges):
         self.merges = merges
+        self.special_ids = set(merges.special.values())
         self.known_pieces = Remembered(self.encode_pieces)
         self.known_words = Remembered(self.encode_words)
         self.pairs = np.empty(0, np.int64)
@@ -296,8 +324,10 @@ def encoder_of(path):
 def parts_and_values(encoder, texts, remembered):
     """The parts of each text, and a dict with the value of every word among them."""
     parts = [encoder.merges.parts(t) for t in texts]
-    words = {w for p in parts for w in p}
-    return parts, remembered.of({w for w in words if type(w) is str})
+    words = set()
+    for p in parts:
+        words.update(p)
+    return parts, remembered.of(words - encoder.special_ids)
 
 
 def encode_texts(encoder, texts):
@@ -318,9 +348,9 @@ def encode(docs, path):
     """``docs`` without ``text`` but with ``ids`` (array of int), the tokens of every row's whole text.
 
     Null and empty texts have no ids. Rows with null or repeated ids each give a row, and other
-    columns are kept. The strings of special tokens in a text give their ids.
+    columns are kept, but for one named ``ids``, which is replaced. The strings of special tokens in a text give their ids.
     """
-    rows = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.drop("ids").withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
 
     def make():
         encoder = encoder_of(path)
@@ -331,7 +361,7 @@ def encode(docs, path):
 
 def decode(tokens, path):
     """``tokens`` without ``ids`` but with ``text``, decoded; null ids count as none."""
-    rows = tokens.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    rows = tokens.drop("text").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
 
     def make():
         merges = encoder_of(path).merges
@@ -352,26 +382,25 @@ def digests(docs, path, keep=(), ids=False):
 
         def strings(words):
             return [
-                (len(ids), " ".join(map(str, ids)), decode_ids(merges, ids)) if ids else (0, "", "")
-                for ids in encoder.encode_words(words)
+                (" ".join(map(str, ids)), decode_ids(merges, ids)) for ids in encoder.encode_words(words)
             ]
 
         remembered = Remembered(strings)
-        special = {i: (1, str(i), n) for n, i in merges.special.items()}
+        special = {i: (str(i), n) for n, i in merges.special.items()}
 
         def run(texts):
             parts, known = parts_and_values(encoder, texts, remembered)
+            known.update(special)
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for words in parts:
-                values = [known[w] if type(w) is str else special[w] for w in words]
-                values = [v for v in values if v[0]]
-                counts, numbers, names = zip(*values) if values else ((), (), ())
+                values = [known[w] for w in words] if words else ()
+                numbers, names = zip(*values) if values else ((), ())
                 joined = " ".join(numbers)
-                out["n_tokens"].append(sum(counts))
+                out["n_tokens"].append(joined.count(" ") + 1 if joined else 0)
                 out["ids_sha256"].append(sha256(joined.encode()).hexdigest())
                 out["decoded_sha256"].append(sha256(" ".join(names).encode()).hexdigest())
                 if ids:
-                    out["ids"].append(np.array(joined.split(), np.int32))
+                    out["ids"].append(np.fromstring(joined, np.int32, sep=" "))
             return out
 
         return run

@@ -219,7 +219,9 @@ def prefix_counts(docs, path):
     The table to store where budgets are asked often; see :func:`longest_prefix`. Null and empty texts
     have an empty array. Other columns and repeated rows are kept.
     """
-    rows = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.drop("prefix_tokens").withColumn(
+        "text", F.coalesce(F.col("text").cast("string"), F.lit(""))
+    )
 
     def make():
         counter = counter_of(path)
