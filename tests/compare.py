@@ -73,11 +73,11 @@ def same_type(spark_type, duck_type):
 
 
 def main(folder, names):
-    from contract import load
+    import __spark_entry__
     from tests.conftest import local_session
 
     spark = local_session()
-    queries, oracles = load()
+    queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     connection = connect(folder)
     failed = []
     for name in names or queries:
