@@ -3,9 +3,15 @@
 from pyspark.sql import functions as F
 
 from contract import query
+from contract.bronze import _STORY_SQL
+from trendmill import constants as c
+from trendmill.functions.scalars import ntz
 from trendmill.operators import layout, versions
 from trendmill.operators.merge import merge_upsert, upsert_table
+from trendmill.plans import refresh
 from trendmill.session import work_path
+from trendmill.sources import feeds, landing
+from trendmill.sources import standins as s
 from trendmill.sources.standins import table
 
 # Customers in debt get 100, and every supplier becomes a customer under a negative key.
@@ -71,6 +77,20 @@ def upsert_of_days(spark, folder):
     return spark.read.schema(events.schema).parquet(path)
 
 
+@query("late_batch", f"SELECT md5('{c.STORIES}' || id) AS signal_id, title FROM ({_STORY_SQL})")
+def late_batch(spark, folder):
+    """Two bronze batches, the second of which lands after a run but was stamped before it."""
+    work, events = work_path(spark, "late-batch"), table(spark, folder, "events")
+    for part, (batch, stamp) in enumerate([("b2", "2024-01-07"), ("b1", "2024-01-05")]):
+        rows = feeds.stories(s.story_records(events.where(F.col("event_id") % 2 == part)))
+        landing.append_bronze(rows, f"{work}/stories", c.STORIES, batch, ntz(stamp))
+        refresh.refresh_silver(
+            spark, {c.STORIES: f"{work}/stories"}, f"{work}/silver", f"{work}/marks",
+            f"{work}/quality", s.AS_OF,
+        )
+    return refresh.current_signals(spark, f"{work}/silver").select("signal_id", "title")
+
+
 def change_log(spark, folder):
     """Three commits on three days, written to and read back from a change log."""
     path = work_path(spark, "customer-log")
