@@ -280,3 +280,30 @@ def test_runs_leave_no_working_tables(spark, tmp_path):
     assert upsert_table(spark, moved.where("false"), path("table"), ["id"], "part") == 0
     assert spark.read.parquet(path("table")).select("id", "part").collect() == [(1, "b")]
     assert left() == before
+
+
+def test_enrichment_step_goes_on_and_lays_out_its_table(spark, tmp_path):
+    path = lambda name: str(tmp_path / name)
+    bronze = {c.STORIES: path("stories")}
+    scorer = enrichment.keyword_scorer({"Cloud": ["cloud"]})
+
+    def step(clock):
+        return refresh.refresh_enriched(
+            spark, path("silver"), path("log"), path("enriched"), scorer, "m", clock, 3
+        )
+
+    for batch, items in (("b1", range(8)), ("b2", range(8, 12))):
+        landing.append_bronze(
+            stories(spark, *[(i, f"cloud {i}", 1, 0) for i in items]), path("stories"), c.STORIES,
+            batch, ntz("2024-01-05"),
+        )
+        refresh.refresh_silver(
+            spark, bronze, path("silver"), path("marks"), path("quality"), "2024-01-06"
+        )
+        stops = iter([dt.datetime(2024, 1, 6)])
+        with pytest.raises(StopIteration):
+            step(lambda: next(stops))
+        assert step(lambda: dt.datetime(2024, 1, 7)).count() == items[-1] + 1
+    log = versions.read_log(spark, path("log"))
+    assert log.count() == 12, "no signal was scored twice"
+    assert {r.category for r in spark.read.parquet(path("enriched")).collect()} == {"Cloud"}

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from trendmill import constants as c
 from trendmill import schemas
 from trendmill.functions.scalars import ntz
-from trendmill.operators import quality, versions
+from trendmill.operators import enrichment, layout, quality, versions
 from trendmill.operators.dedup import split_null_keys
 from trendmill.plans import gold, silver
 from trendmill.session import delete_path, drops_written, read_if_written, written
@@ -246,3 +246,23 @@ def _stored(spark, path, rows):
     day = "week_start" if "week_start" in rows.columns else "date"
     fields = [f for f in rows.schema.fields if f.name != day]
     return spark.read.schema(StructType([*fields, rows.schema[day]])).parquet(path)
+
+
+def refresh_enriched(
+    spark, silver_path, log_path, table_path, scorer, model, clock, batches, retry_errors=False
+):
+    """Enriches the signals still missing, batch by batch, and lays the table out anew.
+
+    Every batch is committed to the change log at ``log_path``, so a run that breaks off is gone on with
+    by the next one. The table at ``table_path`` is clustered by category and sentiment.
+    """
+    log = read_if_written(lambda p: versions.read_log(spark, p, schemas.ENRICHED), log_path)
+    done = None if log is None else versions.as_of(log, ["signal_id"])
+    chosen = enrichment.candidates(
+        current_signals(spark, silver_path), done, retry_errors=retry_errors
+    )
+    enrichment.commit_in_batches(spark, chosen, log_path, scorer, model, clock, batches)
+    current = versions.as_of(
+        versions.read_log(spark, log_path, schemas.ENRICHED), ["signal_id"]
+    )
+    return layout.write_clustered(current, table_path, ["category", "sentiment", "signal_id"])
