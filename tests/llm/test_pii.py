@@ -60,6 +60,43 @@ def test_clean_text_stays_clean(text):
     assert pii.spans_of(text) == [] and pii.masked(text, []) == text
 
 
+@pytest.mark.parametrize("around", ["{}", "{} on point", "{}, an appointment", "dotted: {}"])
+@pytest.mark.parametrize("text, found", [
+    ("write to jane at example.com", "jane at example.com"),
+    ("email: jane at firma.ch", "jane at firma.ch"),
+    ("so jane.doe at firma.ch said", "jane.doe at firma.ch"),
+    ("so jane arroba example.com said", "jane arroba example.com"),
+    ("so jane arobase firma.it said", "jane arobase firma.it"),
+    ("so jane\t@\tfirma.it said", "jane\t@\tfirma.it"),
+    ("so jane at firma dot ch said", "jane at firma dot ch"),
+    ("so jane at firma dot nl said", "jane at firma dot nl"),
+    ("so jane at firma dot it said", "jane at firma dot it"),
+    ("so jane at firma dot ai said", "jane at firma dot ai"),
+    ("so jane at mail.firma dot museum said", "jane at mail.firma dot museum"),
+    ("so jane at mail dot firma.online said", "jane at mail dot firma.online"),
+    ("so jane at firma punkt ch said", "jane at firma punkt ch"),
+    ("so jane at firma point ch said", "jane at firma point ch"),
+    ("so jane arobase firma point it said", "jane arobase firma point it"),
+    ("so jane arroba firma punto ar said", "jane arroba firma punto ar"),
+    ("available at github.com", None),
+    ("contact us at example.com", None),
+    ("arrived at one point it rained", None),
+    ("look at this point in time", None),
+    ("at boiling point water boils", None),
+    ("meet at the dot matrix printer", None),
+])
+def test_a_spoken_at_is_judged_by_its_own_words(text, found, around):
+    whole = around.format(text)
+    spans = [(pii.KINDS[k], whole[s:e], base) for k, s, e, base in pii.spans_of(whole)]
+    assert spans == ([("email", found, False)] if found else [])
+
+
+def test_a_quoted_spelled_run_needs_no_other_spelled_word():
+    run = "four 111 1111 1111 1111 1"
+    text = f'"{run}"'
+    assert pii.deobfuscated(text).text == '"41111111111111111"'
+
+
 def test_overlapping_spans_are_masked_once():
     text = "jоhn@example.com and x@y.org"
     assert pii.masked(text, pii.spans_of(text)) == "<EMAIL> and <EMAIL>"

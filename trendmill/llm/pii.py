@@ -108,7 +108,17 @@ _SPELLED = (
 _VALUE = {w: str(i) for words in _SPELLED for i, w in enumerate(words.split())} | {"oh": "0"}
 _AT = r"(?:at|arroba|arobase|@)"
 _DOT = r"(?:dot|punkt|point|punto|\.)"
-_TLDS = "com|org|net|edu|gov|info|io|eu|co|uk|de|fr|es|test|example|invalid"
+# Fixed values of the rule for a spoken at, see _is_spoken_address.
+_TLDS = frozenset("com org net edu gov info test example invalid".split())
+_DETERMINERS = frozenset(
+    "a an the this that these those one some any no each every which what such another my your his "
+    "her its our their polka".split()
+)
+_SHORT_WORDS = frozenset(
+    "ad ah am an as at be by do eh er go ha he hi ho if in is it me my no of oh ok on or ow so to uh "
+    "um up us we ye".split()
+)
+_PRONOUNS = frozenset("me us you him her it them myself anyone someone everyone people staff".split())
 
 
 def _folding():
@@ -178,7 +188,7 @@ def _spelled_run(match):
 
 _I = re.IGNORECASE
 _link = r"[\s,-]{1,3}(?:(?:dot|punkt|point|punto)[\s,-]{1,3})?"
-_TWO_SPELLED = re.compile(rf"[\s,.:;(+-](?:{_words}){_link}(?:{_words}|[0-9])")
+_TWO_SPELLED = re.compile(rf"[\W_](?:{_words}){_link}(?:{_words}|[0-9])")
 _DIGIT_LETTER = re.compile(r"[0-9][OolI][0-9 -]")
 
 
@@ -192,6 +202,49 @@ def _has(*hints):
     return lambda text, low: any(h in low for h in hints)
 
 
+_GAP, _SPOKEN = r"[ \t]{1,3}", r"(?:dot|punkt|point|punto)"
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_SPOKEN_AT = re.compile(
+    rf"(?<=[A-Za-z0-9_%+-]){_GAP}(?P<at>at|arroba|arobase|@){_GAP}(?=(?P<domain>{_LABEL}"
+    rf"(?:(?:{_GAP}{_SPOKEN}{_GAP}|\.){_LABEL}){{0,5}}"
+    rf"(?:{_GAP}{_SPOKEN}{_GAP}|\.)(?P<ending>[A-Za-z]{{2,63}})\b))", _I
+)
+#: Holds wherever _SPOKEN_AT matches, and starts cheaply.
+_MAYBE_AT = re.compile(rf"[ \t](?:at|arroba|arobase|@){_GAP}{_LABEL}(?:\.[a-z0-9-]|{_GAP}{_SPOKEN}{_GAP})", _I)
+_DOT_WORDS = re.compile(rf"{_GAP}({_SPOKEN}){_GAP}", _I)
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
+_PARTED = re.compile(r"[A-Za-z0-9-]+[._%+][A-Za-z0-9._%+-]*[A-Za-z0-9]\Z")
+_ADDRESSED = re.compile(
+    r"(?<![^\W_])(?:(?:writ|wrote|send|sent|mail|e-?mail|repl|respond|forward|address)[a-z]{0,5}[ \t]+to"
+    r"|mailto|e-?mail|mail|contact|schreib[a-z]{0,3}[ \t]+an|(?:from|to|b?cc)(?=:))[:\s]{1,4}\Z", _I
+)
+
+
+def _is_spoken_address(match):
+    """Whether a spoken at stands for an at sign, by the words of the address and the one before it.
+
+    ``arroba``, ``arobase`` and a lone ``@`` always do. ``at`` with a spoken dot does with any ending of
+    two letters or more, unless a determiner follows it (``at the dot matrix``); where all spoken dots
+    are ``point``, which English prose has after ``at`` too (``at boiling point water``), the ending must be
+    listed or have two letters that are no English word. ``at`` with nothing but real dots mostly names
+    a web site, so it does only if the local part is joined by ``. _ % +`` (``jane.doe at firma.ch``) or
+    follows a word of addressing (``write to jane at firma.ch``).
+    """
+    if match["at"].lower() != "at":
+        return True
+    spoken = {d.lower() for d in _DOT_WORDS.findall(match["domain"])}
+    if spoken:
+        if re.match(_LABEL, match["domain"])[0].lower() in _DETERMINERS:
+            return False
+        ending = match["ending"].lower()
+        return spoken != {"point"} or ending in _TLDS or len(ending) == 2 and ending not in _SHORT_WORDS
+    local = _LOCAL.search(match.string, max(0, match.start() - 64), match.start())
+    if _PARTED.match(local[0]):
+        return True
+    before = match.string[max(0, local.start() - 40) : local.start()]
+    return local[0].lower() not in _PRONOUNS and bool(_ADDRESSED.search(before))
+
+
 _spoken_dot = _has("dot", "punkt", "point", "punto")
 _brackets = _has("[", "(", "{", "<")
 #: The chain: a test that is cheap on clean text, a pattern, and what a match becomes.
@@ -220,14 +273,8 @@ TRANSDUCERS = (
         _spelled_run,
     ),
     (
-        _spoken_dot,
-        re.compile(
-            r"(?<=[A-Za-z0-9_%+-])[ \t]{1,3}(?:at|arroba|arobase|@)[ \t]{1,3}"
-            r"(?=[A-Za-z0-9-]{1,63}(?:(?:[ \t]{1,3}(?:dot|punkt|point|punto)[ \t]{1,3}|\.)"
-            rf"[A-Za-z0-9-]{{1,63}}){{0,5}}?(?:[ \t]{{1,3}}(?:dot|punkt|point|punto)[ \t]{{1,3}}|\.)"
-            rf"(?:{_TLDS})\b)", _I
-        ),
-        lambda m: "@",
+        lambda text, low: _MAYBE_AT.search(text),
+        _SPOKEN_AT, lambda m: "@" if _is_spoken_address(m) else m[0],
     ),
     (
         _spoken_dot,
@@ -235,7 +282,7 @@ TRANSDUCERS = (
         lambda m: ".",
     ),
     (
-        _has("@ ", " @"),
+        _has("@ ", " @", "@\t", "\t@"),
         re.compile(r"(?<=[A-Za-z0-9])[ \t]{0,2}@[ \t]{0,2}(?=[A-Za-z0-9-]{1,63}\.[A-Za-z0-9-])"),
         lambda m: "@",
     ),
