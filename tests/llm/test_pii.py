@@ -107,6 +107,13 @@ def test_long_texts_take_linear_time():
         pii.spans_of(text)
 
 
+def test_any_number_of_leading_zeros_in_an_address():
+    text = "0" * 4_300 + "1.2.3.4"
+    assert pii.spans_of(text) == [(1, 0, len(text), True)]
+    assert pii.spans_of("0" * 5_000 + ".0.0.0")[0][:2] == (1, 0)
+    assert pii.spans_of("0" * 5_000 + "256.2.3.4") == []
+
+
 def test_odd_rows(odd, none):
     rows = pii.find_personal_data(odd).collect()
     assert len(rows) == odd.count() and all(r["spans"] == [] for r in rows if r["doc_id"] in (2, 3))

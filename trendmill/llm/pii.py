@@ -29,7 +29,6 @@ _DOTTED = re.compile(r"[0-9][0-9.]*")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LONG_PART = re.compile(r"0*[0-9]{1,3}$")
 
 
 def _emails(text):
@@ -65,7 +64,9 @@ def _luhn(digits):
 
 
 def _is_ip(found):
-    return all(_LONG_PART.match(part) and int(part) <= 255 for part in found.split("."))
+    # Leading zeros are cut off first, as int() refuses very long runs of digits.
+    parts = [part.lstrip("0") or "0" for part in found.split(".")]
+    return all(len(part) <= 3 and int(part) <= 255 for part in parts)
 
 
 def _is_card(found):
