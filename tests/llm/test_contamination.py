@@ -56,6 +56,24 @@ def test_windows_equal_brute_force(spark):
     assert kept == {d for d, _ in docs} - {r["doc_id"] for r in found}
 
 
+def test_stretches_of_repeated_words(spark):
+    """300 runs, 25 of which are one run in the item and another one in the window."""
+    items, docs = [], []
+    for i in range(8):
+        words = [f"w{i}x{j}" for j in range(304)]
+        items.append((i, " ".join([*words[:100], *[f"a{i}"] * 29, *words[129:]])))
+        docs.append((i, " ".join([*words[:100], *[f"b{i}"] * 29, *words[129:]])))
+    want = plain(docs, items)
+    assert set(want) == {(i, i) for i in range(8)}
+    found = contamination.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in found} == {
+        k: round(v, 9) for k, v in want.items()
+    }
+
+
 def test_blocks_find_every_fingerprint_within_the_radius():
     rng = random.Random(9)
     for radius in (0, 3, 23):
