@@ -42,6 +42,23 @@ def test_small_groups_and_odd_rows(odd, none):
     assert sharding.hilbert_shards(none, dims=dims).count() == 0
 
 
+def test_order_in_a_full_cell_is_that_of_checksum_and_id(spark):
+    """One cell with a large group of copies and pairs of other equal texts, in several groups."""
+    docs = spark.range(600).select(
+        F.col("id").alias("doc_id"), F.lit("s").alias("source"),
+        F.expr("if(id % 2 = 0, 'hot!', lpad(pmod(id, 149), 4, '0'))").alias("text"),
+    )
+    dims = (sharding.Dimension("size"), sharding.Dimension("source", "category"))
+    orders = []
+    for rows, group in ((docs.repartition(1), 50), (docs.repartition(7), 50), (docs.repartition(3), 100_000)):
+        placed = sharding.hilbert_shards(rows, shards=4, dims=dims, group=group).collect()
+        assert len({r["along"] for r in placed}) == 1
+        placed.sort(key=lambda r: (r["shard"], r["slot"]))
+        orders.append([(r["text_crc32"], r["doc_id"]) for r in placed])
+        assert orders[-1] == sorted(orders[-1])
+    assert orders[0] == orders[1] == orders[2]
+
+
 def test_files_are_short_ranges_of_every_column(spark, tmp_path):
     docs = spark.range(4000).select(
         F.col("id").alias("doc_id"), F.expr("repeat('a', int(pmod(id * 7919, 997)))").alias("text"),

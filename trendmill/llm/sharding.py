@@ -3,13 +3,17 @@
 Every metadata column is quantised to ``2 ** bits`` steps, so a row falls into one cell of a cube. A
 Hilbert curve visits the cells such that neighbours on the curve are neighbours in the cube, and a run
 of the curve covers short ranges of every column. Rows are numbered along the curve and cut into
-runs of equal row counts (law ``rows``). A reader that filters on any of the columns then skips
-most shards and files by their min/max figures.
+runs of equal row counts (law ``rows``). Within a cell the order is that of the texts' checksums and of
+``doc_id``, however many rows the cell has: all rows are range-partitioned in one total order, and a
+row's number is its place in its partition plus the rows of the partitions before it. A reader that
+filters on any of the columns then skips most shards and files by their min/max figures.
 
 Only DataFrame functions are used. The curve has ``2 ** (bits * columns)`` cells, 32,768 as a rule,
-whatever the size of the table, which bounds the two tables that are broadcast.
+whatever the size of the table, which bounds the table that is broadcast; the other one has a row a
+partition.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Window
@@ -19,8 +23,10 @@ from trendmill.session import written
 
 SHARDS = 24
 BITS = 5
-#: Rows numbered by one window group; a fuller cell is numbered in several groups.
+#: Rows that one task lays out on average, at most.
 ROWS_PER_GROUP = 100_000
+# monotonically_increasing_id keeps the partition number above this bit.
+_ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -132,32 +138,28 @@ def hilbert_shards(docs, shards=SHARDS, dims=DIMENSIONS, bits=BITS, carry=(), gr
     cell = F.lit(0).cast("long")
     for dim in dims:
         cell = cell * 2**bits + _step(dim, cuts, bits)
-    rows = rows.withColumn("cell", cell)
-
-    along = Window.orderBy("along").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (
-        rows.groupBy("cell").agg(F.count("*").alias("rows"))
-        .join(F.broadcast(hilbert_curve(spark, len(dims), bits)), "cell")
-        .withColumn("before", F.coalesce(F.sum("rows").over(along), F.lit(0)))
-        .withColumn("groups", F.ceil(F.col("rows") / group))
-        .withColumn("total", F.sum("rows").over(Window.partitionBy()))
+    curve = hilbert_curve(spark, len(dims), bits)
+    rows = rows.withColumn("cell", cell).join(F.broadcast(curve), "cell").drop("cell")
+
+    # Laid out in the order of the shards over all tasks, and written as both uses must see one layout.
+    order = ["along", "text_crc32", "doc_id", "_row"]
+    tasks = math.ceil(rows.count() / group)
+    few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = written(
+        rows.repartitionByRange(*([] if few else [tasks]), *order).sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_place", _ROW_BITS)),
+        "shard-layout",
     )
-    rows = rows.join(F.broadcast(cells), "cell").withColumn(
-        "_group", F.pmod(F.xxhash64("_row"), F.col("groups"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        laid_out.groupBy("_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first"))
+        .withColumn("total", F.sum("_rows").over(Window.partitionBy()))
+        .select("_part", "_before", "total")
     )
-    earlier = (
-        Window.partitionBy("cell").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    groups = (
-        rows.groupBy("cell", "_group").agg(F.count("*").alias("_rows"))
-        .withColumn("_earlier", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .drop("_rows")
-    )
-    own = Window.partitionBy("cell", "_group").orderBy("text_crc32", "doc_id", "_row")
-    numbered = (
-        rows.withColumn("_place", F.row_number().over(own).cast("long") - 1)
-        .join(groups, ["cell", "_group"])
-        .withColumn("_rank", F.col("before") + F.col("_earlier") + F.col("_place"))
+    numbered = laid_out.join(F.broadcast(parts), "_part").withColumn(
+        "_rank", F.col("_place") + F.col("_before")
     )
     shard = F.expr(f"_rank * {shards} div total")
     return (
