@@ -1,4 +1,7 @@
-"""Passages that repeat across documents, found by recompression and verified word by word.
+"""Passages that repeat across documents, found by hashes of windows that recompression anchors.
+
+Pairing only picks border places: its symbols are thrown away, and what Spark groups are hashes of the
+six raw words around a border and of all 13 raw words of a window. Words are never compared.
 
 Words are named by a hash of their bytes. Two rounds of recompression follow: a round splits the
 names into left and right ones by one bit and replaces every pair of a left and a right name by a
@@ -14,7 +17,8 @@ windows have equal ones. A run of one word longer than that has one name however
    names and keeps the smallest document of each.
 3. Windows that start in a smaller document too cover words, which go.
 
-Exact copies are settled by a hash of their texts first. Names of whole windows have 128 bits. Two
+Exact copies are settled by a hash of their texts first. Equality rests on hashes: owners of windows are
+grouped by 128 bits, words covered in a text are found by the 64-bit name of the whole window. Two
 bitmaps of fixed size (:mod:`trendmill.llm.filters`) spare names and copies that can't matter; what they
 let through by chance is decided exactly.
 """
