@@ -1,0 +1,138 @@
+"""Alignment of two vocabularies against their libraries and plain loops."""
+
+import random
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from trendmill.llm import alignment
+from trendmill.llm.bpe import byte_symbols
+from trendmill.llm.queries import op11_spilled_alignment
+
+A_JSON, A_RANKS, B_MODEL = map(
+    public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
+)
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A_JSON)
+    a.encode_special_tokens = True
+    back = {s: b for b, s in byte_symbols().items()}
+    names = {i: bytes(back.get(c, 0) for c in t) for t, i in a.get_vocab().items()}
+    return a, names, sentencepiece.SentencePieceProcessor(model_file=B_MODEL)
+
+
+def _tokens(text, libraries):
+    a, names, b = libraries
+    if not text:
+        return [], []
+    side_a = [(i, names[i]) for i in a.encode(" " + text, add_special_tokens=False).ids]
+    side_b = []
+    for i in b.encode(text):
+        piece = b.id_to_piece(i)
+        side_b.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()))
+    whole = (" " + text).encode()
+    if any(b"".join(d for _, d in side) != whole for side in (side_a, side_b)):
+        return [], []
+    return side_a, side_b
+
+
+def brute_force(rows, libraries):
+    """Rows of the contract, from ranges of bytes compared pair by pair."""
+    links, out, counts = [], [], Counter()
+    for doc_id, text in rows:
+        a, b = _tokens(text, libraries)
+        ends = [list(np.cumsum([len(d) for _, d in side], dtype=int)) for side in (a, b)]
+        found = []
+        j = 0
+        for i, (end, (_, data)) in enumerate(zip(ends[0], a)):
+            start = end - len(data)
+            while j and ends[1][j - 1] > start:
+                j -= 1
+            while j < len(b) and ends[1][j] <= start:
+                j += 1
+            k = j
+            while k < len(b) and ends[1][k] - len(b[k][1]) < end:
+                found.append((a[i][0], b[k][0]))
+                k += 1
+        common = sorted(set(ends[0]) & set(ends[1]))
+        groups, before = [], 0
+        for c in common:
+            groups.append("|".join(
+                ",".join(str(t) for (t, _), e in zip(side, at) if before < e <= c)
+                for side, at in zip((a, b), ends)
+            ))
+            before = c
+        digest = sha256(";".join(groups).encode()).hexdigest() if groups else ""
+        counts.update(found)
+        links.append(found)
+        out.append((doc_id, len(a), len(b), len(groups), len(found), digest))
+    most = defaultdict(int)
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return sorted(
+        [(d, na, nb, g, n, sum(counts[x] == most[x[1]] for x in found), sum(counts[x] for x in found), digest)
+         for (d, na, nb, g, n, digest), found in zip(out, links)], key=str,
+    )
+
+
+def _sorted(df):
+    return sorted([tuple(r) for r in df.collect()], key=str)
+
+
+def _strange(seed, count):
+    rng = random.Random(seed)
+    alphabet = ["a", "the", "é", "ñ", "ß", " ", "  ", "\n", "\t", "\r", "'s", "'", "12", ".", ");", "日", " ", " ", "　",
+                "\x1c", "\x85", "▁", "<s>", "<0x41>", "<|endoftext|>", "é", "́", "😀", "\x00", "_", "İ", "Ω", "{", "//"]
+    return ["".join(rng.choices(alphabet, k=rng.randint(1, 14))) for _ in range(count)]
+
+
+def test_query_equals_brute_force(spark, folder, documents, libraries):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    found = op11_spilled_alignment(spark, folder)
+    assert found.columns == [
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    ]
+    assert _sorted(found) == brute_force(rows, libraries)
+
+
+def test_many_small_slabs_parts_and_rounds(spark, libraries):
+    rows = list(enumerate(_strange(1, 400)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = alignment.align(docs, A_RANKS, B_MODEL, slab=3_000, part_records=2_000, fan_in=3)
+    assert _sorted(found) == brute_force(rows, libraries)
+
+
+def test_odd_rows_and_empty_table(spark, odd, none, libraries):
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    assert _sorted(alignment.align(odd, A_RANKS, B_MODEL)) == brute_force(rows, libraries)
+    assert alignment.align(none, A_RANKS, B_MODEL).count() == 0
+
+
+def test_runs_give_back_what_was_packed():
+    rng = np.random.default_rng(1)
+    for top in (1, 200, 70_000, 2**33):
+        values = rng.integers(0, top, 1000)
+        assert (alignment.unpack(alignment.pack(values)) == values).all()
+    assert len(alignment.unpack(alignment.pack([]))) == 0
+
+
+def test_merged_adds_up_over_runs_of_many_frames(monkeypatch):
+    monkeypatch.setattr(alignment, "FRAME", 7)
+    rng = np.random.default_rng(2)
+    runs, expected = [], Counter()
+    for _ in range(9):
+        pairs = np.unique(rng.integers(0, 400, 120))
+        counts = rng.integers(1, 50, len(pairs))
+        expected.update(dict(zip(pairs.tolist(), counts.tolist())))
+        runs.append(alignment.to_run(pairs, counts))
+    chunks = list(alignment.merged(runs))
+    pairs, counts = (np.concatenate(x) for x in zip(*chunks))
+    assert (np.diff(pairs) > 0).all()
+    assert dict(zip(pairs.tolist(), counts.tolist())) == dict(expected)

@@ -1,10 +1,11 @@
-"""The ten operators over their whole tables, and the pipeline."""
+"""The operators over their whole tables, and the pipeline."""
 
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from trendmill.llm import (
+    alignment,
     bpe,
     contamination,
     language,
@@ -181,6 +182,15 @@ def op3_simhash_decontamination(spark, folder):
     return found.drop("distance")
 
 
+@query("op11_spilled_alignment")
+def op11_spilled_alignment(spark, folder):
+    """Groups and links of the tokens of two vocabularies in every document, with corpus-wide counts."""
+    return alignment.align(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     """All stages of the corpus pipeline over all documents."""
