@@ -62,13 +62,14 @@ def brute_force(rows, libraries):
                 found.append((a[i][0], b[k][0]))
                 k += 1
         common = sorted(set(ends[0]) & set(ends[1]))
-        groups, before = [], 0
+        groups, done = [], [0, 0]
         for c in common:
-            groups.append("|".join(
-                ",".join(str(t) for (t, _), e in zip(side, at) if before < e <= c)
-                for side, at in zip((a, b), ends)
-            ))
-            before = c
+            sides = []
+            for s, side in enumerate((a, b)):
+                upto = ends[s].index(c, done[s]) + 1
+                sides.append(",".join(str(t) for t, _ in side[done[s] : upto]))
+                done[s] = upto
+            groups.append("|".join(sides))
         digest = sha256(";".join(groups).encode()).hexdigest() if groups else ""
         counts.update(found)
         links.append(found)

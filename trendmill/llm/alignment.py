@@ -366,7 +366,7 @@ def count_pairs(runs, fan_in=FAN_IN):
         if most <= fan_in:
             return counted
         dealt = counted.withColumn(
-            "part", F.pmod(F.xxhash64(F.md5("run")), F.lit(-(-most * 2 // fan_in)))
+            "part", F.pmod(F.xxhash64(F.md5("run")), F.lit(-(-most // fan_in)))
         ).repartition("bucket", "part").sortWithinPartitions("bucket", "part").drop("part")
         counted = written(dealt.mapInArrow(_merge_held, "bucket int, run binary"), "counted-runs")
 

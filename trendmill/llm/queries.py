@@ -16,9 +16,11 @@ from trendmill.llm import (
     simhash,
     substrings,
     token_counts,
+    token_files,
 )
 from trendmill.llm.registry import query
 from trendmill.llm.shared import crc_part, table
+from trendmill.session import work_path
 
 
 @query("op7_hilbert_shards")
@@ -191,6 +193,16 @@ def op11_spilled_alignment(spark, folder):
     )
 
 
+@query("op12_repair_token_files")
+def op12_repair_token_files(spark, folder):
+    """All documents' ids written as Re-Pair shards and read back from these files."""
+    path = work_path(spark, "token-files")
+    token_files.write_token_files(
+        table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return token_files.read_token_files(spark, path)
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     """All stages of the corpus pipeline over all documents."""

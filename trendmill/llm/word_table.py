@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Units, and bytes of them with their values, after which a worker starts its table anew.
-MOST_UNITS, MOST_BYTES = 400_000, 64_000_000
+MOST_UNITS, MOST_BYTES = 1_000_000, 128_000_000
 
 
 def text_slabs(texts, most):
@@ -54,14 +54,6 @@ def before_blanks(data):
     return mark
 
 
-def before_white_space(data):
-    """Places where a run of ASCII white space begins."""
-    blank = _BLANK[data]
-    mark = blank.copy()
-    mark[1:] &= ~blank[:-1]
-    return mark
-
-
 def units(texts, cut, last=True):
     """The units of an Arrow string column without nulls, and how many each text has.
 
@@ -84,6 +76,48 @@ def units(texts, cut, last=True):
     return made, counts
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def pieces(texts, mark=b"<|"):
+    """Units without ASCII white space, for a vocabulary that drops it, lowers case and splits at letters.
+
+    Besides white space, words are cut between an ASCII letter and ASCII punctuation, but not after an
+    apostrophe, and not in a word that holds ``mark`` (special tokens begin with it). ASCII letters
+    are lowered, unless something other than ASCII follows, which might combine with them.
+    """
+    offsets, data = _bytes_of(texts)
+    if not len(data):
+        return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
+    blank, letter = _BLANK[data], _LETTER[data]
+    solid = _GRAPH[data] & ~letter
+    begin = ~blank
+    begin[1:] &= blank[:-1]
+    begin[offsets[:-1][np.diff(offsets) > 0]] = True
+    begin &= ~blank
+    inner = np.zeros(len(data), bool)
+    inner[1:] = letter[:-1] & solid[1:] | solid[:-1] & letter[1:] & (data[:-1] != 0x27)
+    if mark in data.tobytes():
+        word = np.cumsum(begin)
+        held = np.flatnonzero((data[:-1] == mark[0]) & (data[1:] == mark[1]))
+        inner &= ~np.isin(word, word[held])
+    lowered = letter & (data < 0x60)
+    lowered[:-1] &= data[1:] < 0x80
+    data = data + (lowered * np.uint8(32))
+    begin |= inner
+    kept = ~blank
+    place = np.concatenate([[0], np.cumsum(kept)])
+    starts = np.flatnonzero(begin)
+    counts = np.diff(np.searchsorted(starts, offsets))
+    data = data[kept]
+    edges = np.append(place[starts], len(data)).astype(np.int64)
+    made = pa.Array.from_buffers(
+        pa.large_string(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data)]
+    )
+    return made, counts
+
+
 def ragged(offsets, rows):
     """Places in a flat array of the values of ``rows``, and how many each row has."""
     begin = offsets[rows]
@@ -113,7 +147,7 @@ class WordTable:
         if len(self.index) > self.units or self.held > self.most:
             self._clear()
         coded = values.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         find = self.index.get
         rows = np.array([find(u, -1) for u in distinct], np.int64)
         unknown = np.flatnonzero(rows < 0)
