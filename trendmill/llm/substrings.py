@@ -38,7 +38,7 @@ WINDOW, CONTEXT, ROUNDS = 13, 3, 2
 #: Places of a window where a border has its context inside.
 _PLACES = WINDOW - 2 * CONTEXT + 1
 #: Bytes of texts that a worker takes apart at a time.
-SLAB = 1_000_000
+SLAB = 250_000
 #: Bits of the bitmaps of rows, 4 MB each.
 ROW_BITS = 2**25
 _BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
@@ -63,11 +63,20 @@ _BYTES = np.random.default_rng(5).integers(0, 2**64, 256, np.uint64)
 _INVERSE = np.uint64(pow(int(_BASES[0]), -1, 2**64))
 
 
-@lru_cache(maxsize=8)
-def _powers(base, count):
+def _made_powers(base, count):
     out = np.full(count, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    out[:1] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
+#: The powers of a slab, made once a worker for each base.
+_slab_powers = lru_cache(maxsize=2)(_made_powers)
+
+
+def _powers(base, count):
+    """The first ``count`` powers; those of a text longer than a slab are not kept."""
+    most = 2 * SLAB
+    return _slab_powers(base, most)[:count] if count <= most else _made_powers(base, count)
 
 
 class Words:
@@ -88,9 +97,11 @@ class Words:
         self.counts = np.bincount(self.text, minlength=len(texts)).astype(np.int64)
         self.left = np.cumsum(self.counts)[self.text] - np.arange(len(self.starts))
 
-        size = 1 << max(1, len(self.data)).bit_length()
-        total = _BYTES[self.data] * _powers(int(_BASES[0]), size)[: len(self.data)]
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(total, dtype=np.uint64)])
+        size = len(self.data) + 1
+        total = np.zeros(size, np.uint64)
+        np.take(_BYTES, self.data, out=total[1:])
+        total[1:] *= _powers(int(_BASES[0]), size)[:-1]
+        np.cumsum(total, out=total)
         shift = _powers(int(_INVERSE), size)[self.starts]
         self.names = _mixed((total[self.ends] - total[self.starts]) * shift)
 
