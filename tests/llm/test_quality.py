@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from trendmill.llm import quality
+from trendmill.llm.queries import op1_byte_cnn_quality
 
 
 def test_chunks_cover_every_window():
@@ -25,9 +26,10 @@ def test_pair_tables_give_the_filters_sums():
 
 def test_slopes_agree_with_differences():
     rng = np.random.default_rng(2)
-    samples = [quality.chunks_of(rng.integers(97, 123, n, dtype=np.uint8).tobytes()) for n in (30, 400)]
+    texts = [rng.integers(97, 123, n, dtype=np.uint8).tobytes() for n in (30, 400)]
+    samples = [quality.chunks_of(t) for t in texts]
     wanted, weights = np.array([1.0, 0.0], np.float32), np.ones(2, np.float32)
-    net = quality.fit(samples, wanted, weights, seed=3)
+    net = quality.fit(texts, wanted, weights, seed=3)
 
     def loss():
         chunks = np.concatenate(samples)
@@ -58,6 +60,36 @@ def test_held_out_accuracy(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in held]) >= 0.93
 
 
+def _plain_score(net, data):
+    """The network's probability by loops over places, without tables or shared chunks."""
+    count = max(1, -(-(len(data) + quality.WIDTH - 1) // quality.CHUNK))
+    padded = data + bytes(count * quality.CHUNK + quality.WIDTH - 1 - len(data))
+    units = []
+    for c in range(count):
+        chunk = padded[c * quality.CHUNK : (c + 1) * quality.CHUNK + quality.WIDTH - 1]
+        best = np.full(quality.FILTERS, -np.inf)
+        for i in range(quality.CHUNK):
+            best = np.maximum(best, sum(net.filters[j][chunk[i + j]] for j in range(quality.WIDTH)))
+        fill = quality._fill(np.frombuffer(chunk, np.uint8)[None])[0]
+        pooled = np.append(np.tanh(best + net.bias), fill)
+        units.append(np.maximum(pooled @ net.hidden + net.hidden_bias, 0))
+    logit = np.mean(units, 0) @ net.mean_out + np.max(units, 0) @ net.max_out + net.out_bias[0]
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_query_equals_plain_convolution(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    net = quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    found = {r["doc_id"]: r for r in op1_byte_cnn_quality(spark, folder).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    assert set(found) == set(texts)
+    for doc_id, row in found.items():
+        assert row["held_out"] == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        assert row["predicted"] == int(row["score"] >= 0.3)
+    for doc_id in sorted(texts)[::20]:
+        assert found[doc_id]["score"] == pytest.approx(_plain_score(net, texts[doc_id].encode()), abs=2e-4)
+
+
 def test_odd_rows_and_missing_labels(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")

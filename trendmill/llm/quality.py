@@ -7,8 +7,8 @@ of a chunk; its units are averaged and max-pooled over all chunks of the text an
 probability. Beside the filters, a chunk tells how far it is filled, as the pooled values of a few words
 are lower than those of a full chunk.
 
-The network is fitted on a bounded sample of labelled rows (``SAMPLE`` of each class, and
-``FIT_CHUNKS`` evenly spread chunks of each of them). Scores always use the whole text.
+The network is fitted on a bounded sample of labelled rows (``SAMPLE`` of each class), with all chunks
+of their whole texts. Scores use whole texts likewise.
 """
 
 from dataclasses import dataclass
@@ -20,8 +20,8 @@ from trendmill.llm.shared import crc_part, id_and_text, map_texts
 
 WIDTH, FILTERS, HIDDEN = 5, 24, 16
 CHUNK = 256
-#: Labelled rows of each class, and chunks of each row, that the fit uses at most.
-SAMPLE, FIT_CHUNKS = 1200, 24
+#: Labelled rows of each class that the fit uses at most.
+SAMPLE = 1200
 EPOCHS, BATCH, RATE = 10, 32, 0.01
 #: Score from which a text counts as good.
 THRESHOLD = 0.3
@@ -104,7 +104,7 @@ def _starts(counts):
 
 
 def fit(samples, wanted, weights, seed=7):
-    """A network from rows of chunks (one array a text), 0/1 labels and row weights; Adam steps."""
+    """A network from texts as bytes, 0/1 labels and row weights; Adam steps."""
     rng = np.random.default_rng(seed)
     net = Network(
         rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32),
@@ -123,7 +123,7 @@ def fit(samples, wanted, weights, seed=7):
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
             step += 1
-            grads = _slopes(net, [samples[i] for i in pick], wanted[pick], weights[pick])
+            grads = _slopes(net, [chunks_of(samples[i]) for i in pick], wanted[pick], weights[pick])
             for a, g, m, v in zip(net.arrays(), grads, first, second):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -135,11 +135,15 @@ def _slopes(net, samples, wanted, weights):
     """Gradients of the weighted log loss, in the order of ``Network``; only maxima pass them on."""
     chunks, counts = np.concatenate(samples), np.array([len(s) for s in samples])
     starts, owner = _starts(counts), np.repeat(np.arange(len(samples)), counts)
-    values = np.zeros((len(chunks), CHUNK, FILTERS), np.float32)
-    for j in range(WIDTH):
-        values += np.take(net.filters[j], chunks[:, j : j + CHUNK], axis=0)
-    place = values.argmax(axis=1)
-    pooled = np.take_along_axis(values, place[:, None, :], axis=1)[:, 0] + net.bias
+    place = np.empty((len(chunks), FILTERS), np.int64)
+    pooled = np.empty((len(chunks), FILTERS), np.float32)
+    for at in range(0, len(chunks), _SLAB):
+        some = chunks[at : at + _SLAB]
+        values = np.zeros((len(some), CHUNK, FILTERS), np.float32)
+        for j in range(WIDTH):
+            values += np.take(net.filters[j], some[:, j : j + CHUNK], axis=0)
+        place[at : at + _SLAB] = best = values.argmax(axis=1)
+        pooled[at : at + _SLAB] = np.take_along_axis(values, best[:, None, :], axis=1)[:, 0] + net.bias
     score, bounded, units, means, tops = _combine(net, pooled, _fill(chunks), starts, counts)
 
     d_logit = ((score - wanted) * weights / len(samples)).astype(np.float32)
@@ -161,14 +165,6 @@ def _slopes(net, samples, wanted, weights):
     ]
 
 
-def _spread(data):
-    """At most ``FIT_CHUNKS`` chunks of a text, evenly spread over all of it, as bytes."""
-    chunks = chunks_of(data)
-    if len(chunks) > FIT_CHUNKS:
-        chunks = chunks[np.linspace(0, len(chunks) - 1, FIT_CHUNKS).astype(int)]
-    return chunks.tobytes()
-
-
 def train(docs, labels, sample=SAMPLE):
     """Fits a network on rows of ``labels`` outside the held-out part.
 
@@ -191,17 +187,15 @@ def train(docs, labels, sample=SAMPLE):
     )
     # At most 2 * sample ids.
     texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id")
-    rows = map_texts(
-        texts, lambda: lambda t: {"_chunks": [_spread(x.encode()) for x in t]}, "_chunks binary"
-    ).dropDuplicates(["doc_id"]).collect()
+    # Equal ids with several texts: the one of the smallest hash, so that every run learns the same.
+    rows = texts.groupBy("doc_id", "_quality").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     wanted = np.array([r["_quality"] for r in rows], np.float32)
     if len(set(wanted)) < 2:
         return None
     shares = {q: n / sum(classes.values()) / max(1, (wanted == q).sum()) for q, n in classes.items()}
     weights = np.array([shares[int(q)] for q in wanted], np.float32) * len(rows)
-    samples = [np.frombuffer(r["_chunks"], np.uint8).reshape(-1, CHUNK + WIDTH - 1) for r in rows]
-    return fit(samples, wanted, weights)
+    return fit([r["text"].encode() for r in rows], wanted, weights)
 
 
 def scorer(net):
