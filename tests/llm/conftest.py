@@ -36,7 +36,10 @@ def odd(spark):
     rows = spark.createDataFrame(ODD, ODD_SCHEMA)
     # Names that operators use themselves.
     return rows.withColumns({
-        n: F.lit("x") for n in ("score", "fp", "row", "size", "shard", "slot", "ids", "_0", "source")
+        n: F.lit("x") for n in (
+            "score", "fp", "row", "size", "shard", "slot", "ids", "_0", "source", "_gone", "_t", "t", "id",
+            "hash", "_before", "n", "word", "cell", "n_tokens", "width", "slab", "bucket", "_score", "_quality",
+        )
     })
 
 

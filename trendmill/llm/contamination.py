@@ -257,10 +257,11 @@ def drop_leaks(docs, benchmark, at_least=SIMILARITY, radius=RADIUS):
     found = _matches(docs, benchmark, at_least, radius)
     if found is None:
         return docs
-    gone = written(
-        found.select(F.col("doc_id").alias("_gone"), F.col("t").alias("_t")).distinct(), "leaks"
-    )
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_gone"))) & (
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_t")
+    gone = written(found.select("doc_id", "t").distinct(), "leaks")
+    names = docs.columns
+    rows = docs.select(
+        *[F.col(n).alias(f"_{i}") for i, n in enumerate(names)], F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash"),
     )
-    return docs.join(gone, same, "left_anti")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("t"))
+    return rows.join(gone, same, "left_anti").select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
