@@ -28,10 +28,11 @@ def drop_benchmark(spark, docs, sf_dir):
 
 def mask_private(spark, docs, sf_dir):
     """Replaces personal data by its kind; ``n_chars`` follows where the text has changed."""
-    masked = pii.mask_personal_data(docs.withColumn("_before", F.char_length("text")))
+    before = "_".join(["before", *docs.columns])
+    masked = pii.mask_personal_data(docs.withColumn(before, F.char_length("text")))
     now = F.char_length("text")
     return masked.withColumn(
-        "n_chars", F.when(now == F.col("_before"), F.col("n_chars")).otherwise(F.coalesce(now.cast("long"), "n_chars"))
+        "n_chars", F.when(now == F.col(before), F.col("n_chars")).otherwise(F.coalesce(now.cast("long"), "n_chars"))
     ).select(docs.columns)
 
 
