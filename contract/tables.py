@@ -60,21 +60,29 @@ def merge_partial(spark, folder):
 
 
 @query("upsert_table", """
-SELECT event_id, CASE WHEN event_id % 5 = 0 THEN value + 1 ELSE value END AS value,
-  CASE WHEN event_id % 10 = 0 THEN ts::DATE + 1 ELSE ts::DATE END AS day
-FROM events WHERE event_id % 2 = 0 OR event_id % 5 = 0""")
-def upsert_of_days(spark, folder):
-    """First write, an empty source, then new and changed rows, some of which move to another day."""
+SELECT event_id, CASE WHEN event_id % 5 = 0 OR event_id % 2 <> 0 THEN value + 1 ELSE value END AS value,
+  CASE WHEN event_id % 5 = 0 AND event_type = 'view' THEN 'moved=50%/a:b'
+    ELSE event_type || ':' || ts::DATE || '/x' END AS part
+FROM events WHERE event_id IS NOT NULL""")
+def upsert_of_parts(spark, folder):
+    """All events: a first write, an empty source, then new and changed rows, some of which move.
+
+    The names of the partitions hold characters that folders can't.
+    """
     path = work_path(spark, "upsert-table")
     events = table(spark, folder, "events").select(
-        "event_id", "value", F.to_date("ts").alias("day")
+        "event_id", "value", F.concat("event_type", F.lit(":"), F.to_date("ts").cast("string"), F.lit("/x"))
+        .alias("part"), "event_type",
     )
-    upsert_table(spark, events.where("event_id % 2 = 0"), path, ["event_id"], "day")
-    upsert_table(spark, events.where("false"), path, ["event_id"], "day")
-    moved = F.expr("if(event_id % 2 = 0, date_add(day, 1), day)")
-    changed = events.where("event_id % 5 = 0").withColumns({"value": F.col("value") + 1, "day": moved})
-    upsert_table(spark, changed, path, ["event_id"], "day")
-    return spark.read.schema(events.schema).parquet(path)
+    columns = ["event_id", "value", "part"]
+    upsert_table(spark, events.where("event_id % 2 = 0").select(columns), path, ["event_id"], "part")
+    upsert_table(spark, events.where("false").select(columns), path, ["event_id"], "part")
+    moves = (F.col("event_id") % 5 == 0) & (F.col("event_type") == "view")
+    changed = events.where("event_id % 5 = 0 or event_id % 2 <> 0").withColumns({
+        "value": F.col("value") + 1, "part": F.when(moves, "moved=50%/a:b").otherwise(F.col("part")),
+    })
+    upsert_table(spark, changed.select(columns), path, ["event_id"], "part")
+    return spark.read.schema(events.select(columns).schema).parquet(path)
 
 
 @query("late_batch", f"SELECT md5('{c.STORIES}' || id) AS signal_id, title FROM ({_STORY_SQL})")
@@ -82,7 +90,7 @@ def late_batch(spark, folder):
     """Two bronze batches, the second of which lands after a run but was stamped before it."""
     work, events = work_path(spark, "late-batch"), table(spark, folder, "events")
     for part, (batch, stamp) in enumerate([("b2", "2024-01-07"), ("b1", "2024-01-05")]):
-        rows = feeds.stories(s.story_records(events.where(F.col("event_id") % 2 == part)))
+        rows = feeds.stories(s.story_records(events.where(F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(2)) == part)))
         landing.append_bronze(rows, f"{work}/stories", c.STORIES, batch, ntz(stamp))
         refresh.refresh_silver(
             spark, {c.STORIES: f"{work}/stories"}, f"{work}/silver", f"{work}/marks",

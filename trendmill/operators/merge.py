@@ -2,10 +2,11 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trendmill.operators.dedup import split_null_keys
-from trendmill.session import delete_path, drops_written, read_if_written, written
+from trendmill.session import delete_partition, drops_written, read_if_written, written
 
 
 def unique_rows(source, keys):
@@ -64,16 +65,37 @@ def merge_upsert(target, source, keys, update_columns=None, update_condition=Non
     )
 
 
+def _one_per_key(rows, incoming, keys, partition_by):
+    """``rows`` with at most one row of each incoming key, at best the one already where it belongs.
+
+    A run that broke off before it removed emptied partitions leaves the old row beside the new one.
+    """
+    places = incoming.select(
+        *[F.col(k).alias(f"_p_{k}") for k in keys], F.col(partition_by).alias("_place")
+    ).withColumn("_met", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_p_{k}") for k in keys])
+    moved = F.col(partition_by).eqNullSafe(F.col("_place"))
+    order = Window.partitionBy(*keys).orderBy(moved.desc(), F.col(partition_by))
+    return (
+        rows.join(places, same, "left").withColumn("_nth", F.row_number().over(order))
+        .where(F.col("_met").isNull() | (F.col("_nth") == 1)).select(rows.columns)
+    )
+
+
 @drops_written
 def upsert_table(spark, source, path, keys, partition_by, **options):
     """Upserts ``source`` into the parquet table at ``path`` and returns the number of its rows.
 
     The first write makes the table, an empty source changes nothing. Only partitions that a source
     row belongs to, or that hold the old row of its key, are read in full and written again; the old
-    rows are found on keys alone. ``options`` are those of :func:`merge_upsert`. Rows with a NULL key are
-    left out and not counted.
+    rows are found on keys alone. A run that broke off after writing partitions and before removing
+    emptied ones is mended by running it again. ``options`` are those of :func:`merge_upsert`. Rows with
+    a NULL key are left out and not counted. An empty text as partition counts as NULL, as both lie
+    in one folder.
     """
     complete, _ = split_null_keys(source, keys)
+    if dict(complete.dtypes)[partition_by] == "string":
+        complete = complete.withColumn(partition_by, F.nullif(partition_by, F.lit("")))
     incoming = written(complete, "upsert-source")
     count = incoming.count()
     if not count:
@@ -86,19 +108,24 @@ def upsert_table(spark, source, path, keys, partition_by, **options):
     else:
         old = target.select(*keys, partition_by).join(incoming.select(*keys), keys, "left_semi")
         places = incoming.select(partition_by).unionAll(old.select(partition_by)).distinct()
-        touched = [r[0] for r in places.collect()]
+        touched = [tuple(r) for r in places.select(partition_by, _as_text(partition_by)).collect()]
         part = F.col(partition_by)
-        within = part.isin([t for t in touched if t is not None])
-        if None in touched:
+        within = part.isin([t for t, _ in touched if t is not None])
+        if any(t is None for t, _ in touched):
             within = within | part.isNull()
-        merged = merge_upsert(target.where(F.coalesce(within, F.lit(False))), incoming, keys, **options)
+        rows = _one_per_key(target.where(F.coalesce(within, F.lit(False))), incoming, keys, partition_by)
+        merged = merge_upsert(rows, incoming, keys, **options)
     merged = written(merged, "upsert-result")
     (
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by).parquet(path)
     )
-    left = {r[0] for r in merged.select(partition_by).distinct().collect()}
-    for emptied in set(touched) - left:
-        name = "__HIVE_DEFAULT_PARTITION__" if emptied is None else emptied
-        delete_path(spark, f"{path}/{partition_by}={name}")
+    left = {r[0] for r in merged.select(_as_text(partition_by)).distinct().collect()}
+    for emptied in {text for _, text in touched} - left:
+        delete_partition(spark, path, partition_by, emptied)
     return count
+
+
+def _as_text(column):
+    """A partition's value as Spark writes it into the name of its folder, before escaping."""
+    return F.col(column).cast("string").alias("_text")

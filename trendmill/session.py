@@ -86,6 +86,12 @@ def delete_path(spark, path):
     return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def delete_partition(spark, path, column, value):
+    """Removes the folder of one partition; ``value`` is its text as Spark casts it, or None."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return delete_path(spark, f"{path}/{names.getPartitionPathString(column, value)}")
+
+
 def drops_written(function):
     """Marks a function of a session whose result no longer reads what it has ``written``."""
 

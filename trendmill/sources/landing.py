@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 
 from trendmill.functions.scalars import as_column, ntz, utc_now
 from trendmill.operators.dedup import keep_one
-from trendmill.session import delete_path
+from trendmill.session import delete_partition
 
 
 def first_occurrence(df, key, query_no, position):
@@ -87,7 +87,7 @@ def append_bronze(df, path, source, batch, ingested_at=None):
     )
     count = seen.get["rows"]
     if not count:
-        delete_path(df.sparkSession, f"{path}/_batch_id={batch}")
+        delete_partition(df.sparkSession, path, "_batch_id", batch)
     return count
 
 
