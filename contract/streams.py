@@ -29,7 +29,7 @@ def _stream(spark, path, like):
 
 
 def _share(events, n):
-    return events.where(F.pmod(F.col("event_id"), F.lit(_FILES)) == n)
+    return events.where(F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(_FILES)) == n)
 
 
 @query("stream_incremental", "SELECT event_id, event_type, value, props FROM events")
@@ -52,10 +52,12 @@ def stream_upsert(spark, folder):
     for n in range(_FILES):
         _land(_share(events, n), f"{work}/landed", n)
     order = [F.col("value").desc(), F.col("event_id").asc()]
-    rows = _stream(spark, f"{work}/landed", events).select("user_id", "event_id", "value")
-    loads.upsert_new(rows, f"{work}/log", f"{work}/progress", ["user_id"], order)
+    # Events without a user belong together under a key of their own.
+    key = F.coalesce(F.col("user_id").cast("string"), F.lit("none")).alias("key")
+    rows = _stream(spark, f"{work}/landed", events).select(key, "user_id", "event_id", "value")
+    loads.upsert_new(rows, f"{work}/log", f"{work}/progress", ["key"], order)
     log = spark.read.parquet(f"{work}/log")
-    return loads.current_rows(log, ["user_id"], order).select("user_id", "event_id", "value")
+    return loads.current_rows(log, ["key"], order).select("user_id", "event_id", "value")
 
 
 @query("stream_dedup", "SELECT event_id, event_type FROM events")
@@ -66,6 +68,9 @@ def stream_dedup(spark, folder):
     span = events.agg(
         F.unix_seconds(F.min("ts")).alias("first"), F.unix_seconds(F.max("ts")).alias("last")
     ).first()
+    # An event without a time counts as one of the first moment.
+    start = F.timestamp_seconds(F.lit(span["first"] or 0))
+    events = events.withColumn("ts", F.coalesce("ts", start))
     width = ((span["last"] or 0) - (span["first"] or 0)) // _FILES + 1
     place = F.expr(f"(unix_seconds(ts) - {span['first'] or 0}) div {width}")
     for n in range(_FILES + 1):
@@ -81,7 +86,7 @@ def stream_papers(spark, folder):
     """Atom files landed in several goes, parsed as a stream."""
     work, documents = work_path(spark, "stream-papers"), table(spark, folder, "documents")
     for n in range(_FILES):
-        entries = s.document_entries(documents.where(F.pmod("doc_id", F.lit(_FILES)) == n))
+        entries = s.document_entries(documents.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(_FILES)) == n))
         # The first entry of each file opens its root.
         first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
         feed = F.concat(F.when(first, "<feed>").otherwise(""), "value")
