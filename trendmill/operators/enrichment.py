@@ -6,6 +6,7 @@ that is a Python function runs in Python, on batches of the configured size.
 
 import re
 import traceback
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -134,22 +135,45 @@ def keyword_scorer(rules, positive=(), negative=(), emerging=()):
     letter, digit or underscore of ASCII adjoins them.
     """
     text = F.lower(F.concat_ws(" ", "title", F.array_join("tags", " "), "body"))
+    every = dict.fromkeys(w for words in (*rules.values(), positive, negative, emerging) for w in words)
+    # Words of letters alone never overlap in a text, so one pass finds all that it holds.
+    plain = [w for w in every if re.fullmatch(r"\w+", w, re.ASCII)]
+
+    def pattern(words):
+        return rf"(?<!\w)(?:{'|'.join(re.escape(w) for w in words)})(?!\w)"
+
+    def answer(read):
+        def has(words):
+            met = [read["met"][f"w{plain.index(w)}"] for w in words if w in plain]
+            odd = [w for w in words if w not in plain]
+            if odd:
+                met.append(read["text"].rlike(pattern(odd)))
+            return reduce(lambda a, b: a | b, met, F.lit(False))
+
+        category = F.lit(c.DEFAULT_CATEGORY)
+        for name, words in reversed(rules.items()):
+            category = F.when(has(words), F.lit(name)).otherwise(category)
+        sentiment = F.when(has(positive), "positive").when(has(negative), "negative")
+        return F.struct(
+            category.alias("category"),
+            F.coalesce("title", F.lit("")).alias("summary"),
+            sentiment.otherwise(c.DEFAULT_SENTIMENT).alias("sentiment"),
+            has(emerging).cast("string").alias("is_emerging"),
+        )
 
-    def has(words):
-        if not words:
-            return F.lit(False)
-        return text.rlike(rf"(?<!\w)(?:{'|'.join(re.escape(w) for w in words)})(?!\w)")
+    def found(hits):
+        return F.struct(*[F.array_contains(hits, w).alias(f"w{i}") for i, w in enumerate(plain)])
 
-    category = F.lit(c.DEFAULT_CATEGORY)
-    for name, words in reversed(rules.items()):
-        category = F.when(has(words), F.lit(name)).otherwise(category)
-    sentiment = F.when(has(positive), "positive").when(has(negative), "negative")
-    return F.struct(
-        category.alias("category"),
-        F.coalesce("title", F.lit("")).alias("summary"),
-        sentiment.otherwise(c.DEFAULT_SENTIMENT).alias("sentiment"),
-        has(emerging).cast("string").alias("is_emerging"),
-    )
+    # Each lambda binds what it is given, so the text is put together and searched once.
+    hits = F.transform(F.array(text), lambda t: F.struct(
+        t.alias("text"), F.array_distinct(
+            F.regexp_extract_all(t, F.lit(pattern(plain)), F.lit(0)) if plain else F.array().cast("array<string>")
+        ).alias("hits"),
+    ))
+    met = F.transform(hits, lambda r: F.struct(r["text"].alias("text"), (
+        found(r["hits"]) if plain else F.struct(F.lit(False).alias("none"))
+    ).alias("met")))
+    return F.get(F.transform(met, answer), F.lit(0))
 
 
 def scorer_columns(*names):

@@ -66,15 +66,18 @@ def top_term_frequency(dated, k):
 
 
 def newest_top_terms(dated, k):
-    """As ``top_term_frequency`` for the newest day with terms, in one plan.
+    """As ``top_term_frequency`` for the newest day with terms.
 
-    The newest date is the largest one among the counted terms; both uses share one count.
+    Days are tried from the newest on, which mostly is the one: finding it reads dates alone, and
+    only its own texts are split and counted.
     """
-    counts = term_counts(dated).where(F.col("date").isNotNull())
-    newest = counts.agg(F.max("date").alias("date"))
-    # One row.
-    last = counts.join(F.broadcast(newest), "date")
-    return top_k(last, _DAY, _by_frequency(), k, "rank_in_source")
+    day = dated.agg(F.max("date")).first()[0]
+    while day is not None:
+        rows = dated.where(F.col("date") == F.lit(day))
+        if not all_terms(rows, *_DAY).isEmpty():
+            return top_term_frequency(rows, k)
+        day = dated.where(F.col("date") < F.lit(day)).agg(F.max("date")).first()[0]
+    return top_term_frequency(dated.where(F.lit(False)), k)
 
 
 def trending_signals(dated, as_of, k=c.TRENDING_PER_GROUP):
