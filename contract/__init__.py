@@ -29,6 +29,7 @@ def load():
         silver,
         streams,
         tables,
+        upkeep,
     )
 
     return dict(_QUERIES), dict(_ORACLES)

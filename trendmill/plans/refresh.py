@@ -14,10 +14,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from trendmill import constants as c
 from trendmill import schemas
 from trendmill.functions.scalars import ntz
-from trendmill.operators import enrichment, layout, quality, versions
-from trendmill.operators.dedup import split_null_keys
+from trendmill.operators import enrichment, layout, quality, rejects, versions
 from trendmill.plans import gold, silver
-from trendmill.session import delete_path, drops_written, read_if_written, written
+from trendmill.session import delete_path, drops_written, read_if_written, work_path, written
 from trendmill.sources.landing import (
     append_bronze,
     bronze_schema,
@@ -114,7 +113,8 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
 
     Batches are told by their id, which is the partition they lie in: only new ones are opened, and one
     that lands late is read whatever its ingestion time. Batches landing during the run are left for
-    the next one. Silver, its quality log and the batch ids are written before the marks, whose
+    the next one. Signals without a key are kept beside silver, in ``<silver_path>-rejects``, with the reason
+    and the run. Silver, its quality log and the batch ids are written before the marks, whose
     version makes them count. A run that fails between them is repeated under the same version and
     replaces what it wrote.
     """
@@ -154,8 +154,12 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
         return {}
     ready = {source: bronze[source] for source in found}
     signals = written(silver.unify(ready), "silver-new")
-    complete, _ = split_null_keys(signals, ["signal_id"])
+    complete, rejected, counts = rejects.split(
+        signals, rejects.null_rules(["signal_id"]), work_path(spark, "silver-judged")
+    )
     versions.write_commit(complete, silver_path, version, now, "MERGE")
+    if counts["rejected"]:
+        rejects.keep_rejects(rejected, f"{silver_path.rstrip('/')}-rejects", version)
     metrics = written(
         quality.with_gate(
             quality.quality_metrics(signals, ["signal_id"], REQUIRED, "created_at", now)
