@@ -1,5 +1,7 @@
 """Incremental loads over the landed events."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contract import query
@@ -8,7 +10,7 @@ from trendmill.functions.scalars import ntz
 from trendmill.operators.dedup import keep_one
 from trendmill.operators.versions import read_log
 from trendmill.plans.silver import stories_to_signals
-from trendmill.session import work_path
+from trendmill.session import work_path, written
 from trendmill.sources import feeds
 from trendmill.sources import standins as s
 from trendmill.sources.landing import with_ingestion_columns
@@ -60,6 +62,101 @@ def stream_upsert(spark, folder):
     return loads.current_rows(log, ["key"], order).select("user_id", "event_id", "value")
 
 
+@query("stream_upsert_bucketed", """
+SELECT user_id, event_id, value FROM events WHERE user_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) = 1""")
+def stream_upsert_bucketed(spark, folder):
+    """Best event of each user in a bucketed table that every micro-batch is merged into."""
+    work, events = work_path(spark, "stream-bucketed"), table(spark, folder, "events")
+    for n in range(_FILES):
+        _land(_share(events, n), f"{work}/landed", n)
+    order = [F.col("value").desc(), F.col("event_id").asc()]
+    name = f"best_events_{uuid.uuid4().hex}"
+    rows = _stream(spark, f"{work}/landed", events).select("user_id", "event_id", "value")
+
+    def better(old, new):
+        return (new("value") > old("value")) | (
+            (new("value") == old("value")) & (new("event_id") < old("event_id"))
+        )
+
+    loads.upsert_new_bucketed(rows, name, f"{work}/progress", ["user_id"], order, better=better)
+    found = written(spark.table(name), "best-events")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+@query("stream_best_row", """
+SELECT user_id::VARCHAR AS key, value AS score, event_id AS tie
+FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL AND event_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) = 1""")
+def stream_best_row(spark, folder):
+    """The last change of each user's best event; state holds one row a user."""
+    work, events = work_path(spark, "stream-best"), table(spark, folder, "events")
+    for n in range(_FILES):
+        _land(_share(events, n), f"{work}/landed", n)
+    changes = loads.best_rows(_stream(spark, f"{work}/landed", events), "user_id", "value", "event_id")
+    loads.write_changes(changes, f"{work}/changes", f"{work}/progress")
+    log = spark.read.schema("key string, score double, tie long, _batch long").parquet(f"{work}/changes")
+    return keep_one(log, ["key"], [F.col("_batch").desc()]).drop("_batch")
+
+
+@query("stream_weekly_tags", """
+SELECT term, date_trunc('week', ts)::DATE AS week_start, count(*) AS count
+FROM (SELECT ts, lower(trim(unnest([event_type, 'k' || regexp_extract(props, '"k": *([0-9]+)', 1)]), ' ')) AS term
+      FROM events) WHERE length(term) > 1 GROUP BY ALL""")
+def stream_weekly_tags(spark, folder):
+    """Tags of each week from events that land in the order of time.
+
+    A row from long after moves the watermark past the last week, and the micro-batch after it gives that out.
+    """
+    work = work_path(spark, "stream-weeks")
+    signals = s.event_signals(table(spark, folder, "events")).select(
+        F.col("created_at").cast("timestamp").alias("created_at"), "tags"
+    )
+    span = signals.agg(F.min("created_at").alias("first"), F.max("created_at").alias("last")).first()
+    start, end = (F.lit(span[0]).cast("timestamp"), F.lit(span[1]).cast("timestamp"))
+    width = (F.unix_seconds(end) - F.unix_seconds(start)) / _FILES + 1
+    place = F.floor((F.unix_seconds("created_at") - F.unix_seconds(start)) / width)
+    for n in range(_FILES):
+        _land(signals.where(place == n).coalesce(1), f"{work}/landed", n)
+    later = spark.range(1).select(
+        (end + F.expr("interval 60 days")).alias("created_at"), F.array(F.lit("-")).alias("tags")
+    )
+    for n in range(2):
+        _land(later, f"{work}/landed", _FILES + n)
+    weeks = loads.weekly_tags(_stream(spark, f"{work}/landed", signals), "created_at", "1 day")
+    loads.append_new(weeks, f"{work}/data", f"{work}/progress")
+    return spark.read.schema("term string, week_start date, count long").parquet(f"{work}/data")
+
+
+@query("stream_quality_log", """
+SELECT event_type AS source, count(*) AS total_rows, count(*) FILTER (user_id IS NULL) AS null_users,
+  count(*) FILTER (value IS NULL OR event_type = 'error') AS null_values FROM events GROUP BY event_type""")
+def stream_quality_log(spark, folder):
+    """Rows and NULLs that the loads of each event type logged, over all their micro-batches."""
+    work, events = work_path(spark, "stream-checked"), table(spark, folder, "events")
+    events = events.withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
+    logs = None
+    for kind in sorted(r[0] for r in events.select("event_type").distinct().collect()):
+        for n in range(2):
+            _land(_share(events, n).unionAll(_share(events, n + 2)).where(F.col("event_type") == kind),
+                  f"{work}/{kind}/landed", n)
+        loads.append_checked(
+            _stream(spark, f"{work}/{kind}/landed", events), f"{work}/{kind}/data", f"{work}/{kind}/progress",
+            f"{work}/{kind}/log", kind, ["user_id", "value"],
+        )
+        log = spark.read.parquet(f"{work}/{kind}/log")
+        logs = log if logs is None else logs.unionByName(log)
+
+    def nulls(name):
+        return F.sum(F.get_json_object("null_counts", f"$.{name}").cast("long"))
+
+    return logs.groupBy("source").agg(
+        F.sum("total_rows").alias("total_rows"), nulls("user_id").alias("null_users"),
+        nulls("value").alias("null_values"),
+    )
+
+
 @query("stream_dedup", "SELECT event_id, event_type FROM events")
 def stream_dedup(spark, folder):
     """Every event lands again one file later; state covers two files' time, not the whole span."""

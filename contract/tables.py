@@ -1,5 +1,7 @@
 """Merge, versions and layout."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contract import query
@@ -7,9 +9,10 @@ from contract.bronze import _STORY_SQL
 from trendmill import constants as c
 from trendmill.functions.scalars import ntz
 from trendmill.operators import layout, versions
+from trendmill.operators.bucketed import upsert_bucketed
 from trendmill.operators.merge import merge_upsert, upsert_table
 from trendmill.plans import refresh
-from trendmill.session import work_path
+from trendmill.session import work_path, written
 from trendmill.sources import feeds, landing
 from trendmill.sources import standins as s
 from trendmill.sources.standins import table
@@ -85,6 +88,19 @@ def upsert_of_parts(spark, folder):
     return spark.read.schema(events.select(columns).schema).parquet(path)
 
 
+@query("upsert_bucketed", f"""WITH {_SOURCE}
+SELECT * FROM incoming
+UNION ALL SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM incoming)""")
+def upsert_of_buckets(spark, folder):
+    """Customers in a bucketed table; only the incoming rows are shuffled."""
+    name = f"customers_{uuid.uuid4().hex}"
+    upsert_bucketed(spark, table(spark, folder, "customer"), name, ["c_custkey"], 16)
+    upsert_bucketed(spark, incoming(spark, folder), name, ["c_custkey"], 16)
+    found = written(spark.table(name), "customers")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query("late_batch", f"SELECT md5('{c.STORIES}' || id) AS signal_id, title FROM ({_STORY_SQL})")
 def late_batch(spark, folder):
     """Two bronze batches, the second of which lands after a run but was stamped before it."""

@@ -65,3 +65,51 @@ def test_repeats_across_batches(spark, tmp_path):
         stream = loads.landed_parquet(spark, land).withColumn("t", F.col("t").cast("timestamp"))
         loads.append_new(loads.drop_repeats(stream, ["k"], "t", "1 day"), out, mark)
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+# --- state, weeks and checks ------------------------------------------------------------------
+def _landed(spark, path, files, schema):
+    for n, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/{n}")
+    return loads.landed_parquet(
+        spark, f"{path}/*", spark.createDataFrame([], schema).schema, files_per_batch=1
+    )
+
+
+def test_best_rows_emit_changes_only_and_keep_a_row_a_key(spark, tmp_path):
+    files = [[("a", 1.0, 5), ("a", 3.0, 9), ("b", 1.0, 1)], [("a", 2.0, 1), (None, 9.0, 1), ("b", 1.0, 0)],
+             [("a", 3.0, 8), ("c", None, 1)]]
+    stream = _landed(spark, str(tmp_path / "in"), files, "key string, score double, tie long")
+    query = loads.write_changes(
+        loads.best_rows(stream, "key", "score", "tie"), str(tmp_path / "out"), str(tmp_path / "progress")
+    )
+    found = spark.read.schema("key string, score double, tie long, _batch long").parquet(str(tmp_path / "out"))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("a", 3.0, 8, 2), ("a", 3.0, 9, 0), ("b", 1.0, 0, 1), ("b", 1.0, 1, 0),
+    ]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+
+
+def test_late_rows_within_the_watermark_count_and_later_ones_are_told(spark, tmp_path):
+    day = lambda d, m=1: dt.datetime(2024, m, d, 12)
+    files = [[(day(1), ["xx"]), (day(9), ["xx"])], [(day(5), ["xx"])], [(day(28), ["yy"])], [(day(2), ["xx"])],
+             [(day(20, 3), ["-"])], [(day(21, 3), ["-"])]]
+    stream = _landed(spark, str(tmp_path / "in"), files, "at timestamp, tags array<string>")
+    query = loads.append_new(
+        loads.weekly_tags(stream, "at", "7 days"), str(tmp_path / "out"), str(tmp_path / "progress")
+    )
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["term"], r["week_start"].day, r["count"]) for r in found) == [("xx", 1, 2), ("xx", 8, 1), ("yy", 22, 1)]
+    assert loads.dropped_late(query) == 1
+
+
+def test_checked_load_logs_each_batch_once(spark, tmp_path):
+    files = [[(1, "a"), (None, "b")], [(2, None)]]
+    stream = _landed(spark, str(tmp_path / "in"), files, "id long, text string")
+    for checkpoint in ("one", "two"):  # a lost checkpoint repeats both batches
+        loads.append_checked(
+            stream, str(tmp_path / "out"), str(tmp_path / checkpoint), str(tmp_path / "log"), "s", ["id", "text"]
+        )
+    log = sorted((r["total_rows"], r["null_counts"]) for r in spark.read.parquet(str(tmp_path / "log")).collect())
+    assert log == [(1, '{"id": 0, "text": 1}'), (2, '{"id": 1, "text": 0}')]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3

@@ -173,3 +173,26 @@ def test_rerun_mends_an_upsert_that_broke_off(spark, tmp_path, monkeypatch):
     upsert_table(spark, change, path, ["id"], "part", update_columns=["v", "part"])
     found = spark.read.schema(schema).parquet(path).select("id", "v", "w", "part")
     assert rows(found) == [(1, 9, 7, "b"), (2, 1, 7, "b")]
+
+
+# --- bucketed tables --------------------------------------------------------------------------
+def test_bucketed_upsert_shuffles_the_source_only(spark):
+    import uuid
+
+    from trendmill.operators import bucketed
+
+    name = f"t_{uuid.uuid4().hex}"
+    first = spark.createDataFrame([(i, i) for i in range(100)], "id long, v long")
+    bucketed.upsert_bucketed(spark, first, name, ["id"], 8)
+    change = spark.createDataFrame([(5, -5), (200, 200), (None, 1)], "id long, v long")
+    merged = bucketed.merged_buckets(spark.table(name), change, ["id"], 8)
+    plan = merged._jdf.queryExecution().sparkPlan().toString() + merged._jdf.queryExecution().executedPlan().toString()
+    executed = merged._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    found = bucketed.upsert_bucketed(spark, change, name, ["id"], 8)
+    assert rows(found) == rows(spark.createDataFrame(
+        [(i, -5 if i == 5 else i) for i in range(100)] + [(200, 200)], "id long, v long"))
+    # A swap that broke off between dropping and renaming is ended by the next upsert.
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__next")
+    assert bucketed.upsert_bucketed(spark, change, name, ["id"], 8).count() == 101
+    spark.sql(f"DROP TABLE {name}")

@@ -5,9 +5,14 @@ with ``availableNow``: they take what has landed since the last run and stop.
 """
 
 import datetime as dt
+import json
 
+import pandas as pd
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
+from trendmill.operators.bucketed import upsert_bucketed
 from trendmill.operators.dedup import keep_one, split_null_keys
 from trendmill.operators.versions import LOG_COLUMNS, as_of, write_commit
 from trendmill.schemas import PAPER_ENTRY
@@ -104,3 +109,109 @@ def drop_repeats(stream, keys, event_time, horizon):
     its repeat: later rows are dropped and later repeats are not recognised.
     """
     return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)
+
+
+def upsert_new_bucketed(stream, name, checkpoint, keys, order, prepare=None, buckets=16, better=None):
+    """Upserts new rows into the bucketed table ``name``: best row per key of each micro-batch.
+
+    ``better(old, new)`` may hold back updates, such as of a lower score; a repeated micro-batch then
+    changes nothing, as it does without. The table always has one row a key, so reading it ranks
+    nothing.
+    """
+
+    def write(rows, number):
+        complete, _ = split_null_keys(prepare(rows) if prepare else rows, keys)
+        upsert_bucketed(
+            rows.sparkSession, keep_one(complete, keys, order), name, keys, buckets, update_condition=better
+        )
+
+    return _run(stream.writeStream.foreachBatch(write), checkpoint)
+
+
+def append_checked(stream, path, checkpoint, log_path, source, required, clock=utc_now):
+    """Appends new rows and logs each micro-batch's rows and NULLs, measured while it is written.
+
+    Rows and log entries lie in a partition a batch number, so a repeated batch replaces both.
+    """
+
+    def write(rows, number):
+        seen = Observation()
+        nulls = [F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in required]
+        (
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls)
+            .withColumn("_batch", F.lit(number)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+        )
+        found = seen.get
+        entry = rows.sparkSession.createDataFrame(
+            [(source, found["rows"], json.dumps({n: found[f"null_{n}"] for n in required}), clock(), number)],
+            "source string, total_rows long, null_counts string, checked_at timestamp_ntz, _batch long",
+        )
+        entry.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(log_path)
+
+    return _run(stream.writeStream.foreachBatch(write), checkpoint)
+
+
+#: Weeks begin on Monday; the epoch was a Thursday.
+_MONDAY = "4 days"
+
+
+def weekly_tags(stream, event_time, delay):
+    """``term``, ``week_start`` and ``count`` of the tags of each week, once the week is over.
+
+    Only rows with a tag move the watermark. A week is given out when the newest event time is ``delay`` past its end; rows later than that are
+    left out and counted by the query (:func:`dropped_late`).
+    """
+    timed = stream.withWatermark(event_time, delay).select(event_time, F.explode("tags").alias("_raw"))
+    term = F.lower(F.trim("_raw")).alias("term")
+    weeks = timed.where(F.length("_raw") > 1).groupBy(
+        F.window(event_time, "7 days", "7 days", _MONDAY).alias("week"), term
+    ).agg(F.count(F.lit(1)).alias("count"))
+    return weeks.select("term", F.to_date("week.start").alias("week_start"), "count")
+
+
+def dropped_late(query):
+    """Rows (or groups of a micro-batch) that came too late for the query's state."""
+    return sum(
+        state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in p["stateOperators"]
+    )
+
+
+def best_rows(stream, key, score, tie):
+    """Changes of the best row of each key: highest ``score``, of equal ones the smallest ``tie``.
+
+    The state has a score and a tie for each key; a micro-batch gives a row only for keys whose best
+    row changed. ``key`` is text, ``score`` a double and ``tie`` a long; rows that lack one are left out.
+    """
+    rows = stream.select(
+        F.col(key).cast("string").alias("key"), F.col(score).cast("double").alias("score"),
+        F.col(tie).cast("long").alias("tie"),
+    ).where("key is not null and score is not null and tie is not null")
+
+    def best(group, frames, state):
+        before = state.get if state.exists else None
+        now = before
+        for frame in frames:
+            top = frame[frame["score"] == frame["score"].max()]
+            found = (float(top["score"].iloc[0]), int(top["tie"].min()))
+            if now is None or (-found[0], found[1]) < (-now[0], now[1]):
+                now = found
+        if now != before:
+            state.update(now)
+            yield pd.DataFrame({"key": [group[0]], "score": [now[0]], "tie": [now[1]]})
+
+    return rows.groupBy("key").applyInPandasWithState(
+        best, "key string, score double, tie long", "score double, tie long", "update", GroupStateTimeout.NoTimeout
+    )
+
+
+def write_changes(stream, path, checkpoint):
+    """Writes the changes of each micro-batch under its number; a repeated batch replaces its own."""
+
+    def write(rows, number):
+        (
+            rows.withColumn("_batch", F.lit(number)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+        )
+
+    return _run(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint)
