@@ -92,7 +92,7 @@ def test_best_rows_emit_changes_only_and_keep_a_row_a_key(spark, tmp_path):
 
 def test_late_rows_within_the_watermark_count_and_later_ones_are_told(spark, tmp_path):
     day = lambda d, m=1: dt.datetime(2024, m, d, 12)
-    files = [[(day(1), ["xx"]), (day(9), ["xx"])], [(day(5), ["xx"])], [(day(28), ["yy"])], [(day(2), ["xx"])],
+    files = [[(day(1), ["xx"]), (day(9), ["xx"])], [(day(5), ["xx"])], [(day(28), ["yy"])], [(day(28), ["-"])], [(day(2), ["xx"])],
              [(day(20, 3), ["-"])], [(day(21, 3), ["-"])]]
     stream = _landed(spark, str(tmp_path / "in"), files, "at timestamp, tags array<string>")
     query = loads.append_new(

@@ -160,7 +160,7 @@ def weekly_tags(stream, event_time, delay):
     """``term``, ``week_start`` and ``count`` of the tags of each week, once the week is over.
 
     Only rows with a tag move the watermark. A week is given out when the newest event time is ``delay`` past its end; rows later than that are
-    left out and counted by the query (:func:`dropped_late`).
+    left out and counted by the query (:func:`dropped_late`), from the second micro-batch after on.
     """
     timed = stream.withWatermark(event_time, delay).select(event_time, F.explode("tags").alias("_raw"))
     term = F.lower(F.trim("_raw")).alias("term")
