@@ -117,3 +117,22 @@ def test_odd_rows(odd, none, library):
     counted = token_counts.count_tokens(odd, PATH).collect()
     assert sorted(r["n_tokens"] for r in counted) == sorted(len(r["ids"]) for r in rows)
     assert bpe.encode(none, PATH).count() == token_counts.count_tokens(none, PATH).count() == 0
+
+
+def test_remembered_words_are_bounded_in_bytes():
+    kept = bpe.Remembered(lambda keys: [k * 10 for k in keys], most=2_000_000)
+    for turn in range(200):
+        words = {f"{turn}-{i}-" + "x" * 500 for i in range(50)}
+        known = kept.of(words)
+        assert all(known[w] == w * 10 for w in words)
+        assert sum(len(w) * 11 for some in (kept.young, kept.old) for w in some) < 4_000_000
+    encoder = bpe.Encoder(bpe.encoder_of(PATH).merges)
+    texts = ["".join(chr(97 + (i * j) % 26) for j in range(60)) for i in range(50)]
+    before = bpe.PAIRS
+    try:
+        bpe.PAIRS = 40
+        assert [encoder.encode_pieces([t])[0] for t in texts] == [
+            tuple(encoder.merges.merge(t.encode())) for t in texts
+        ]
+    finally:
+        bpe.PAIRS = before

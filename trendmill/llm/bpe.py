@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from trendmill.llm.shared import map_column, map_texts
 
 WORD_END = "</w>"
-#: Words a worker remembers in each of two generations.
-REMEMBERED = 300_000
+#: Words a worker remembers in each of two generations, and bytes they may take with their values.
+REMEMBERED, REMEMBERED_BYTES = 300_000, 160_000_000
+#: Bytes that are reckoned for a word, and for each of its characters, at the most costly value.
+_WORD_BYTES, _CHAR_BYTES = 250, 24
+#: Pairs of tokens whose verdict a worker remembers.
+PAIRS = 2_000_000
 #: Symbols up to which exact merging looks over all pairs.
 SHORT = 24
 _SPACE = regex.compile(r"\s+")
@@ -235,17 +239,26 @@ def propose(merges, data):
 
 
 class Remembered:
-    """Values of keys, computed for many at a time; keys not met for a generation are forgotten."""
+    """Values of keys, computed for many at a time; keys not met for a generation are forgotten.
 
-    def __init__(self, compute, limit=REMEMBERED):
-        self.compute, self.limit = compute, limit
-        self.young, self.old = {}, {}
+    A generation ends after ``limit`` keys or ``most`` bytes, whichever comes first; only the keys of one
+    call are held whatever their size.
+    """
+
+    def __init__(self, compute, limit=REMEMBERED, most=REMEMBERED_BYTES):
+        self.compute, self.limit, self.most = compute, limit, most
+        self.young, self.old, self.held = {}, {}, 0
 
     def of(self, keys):
         """A dict that has every key of the set ``keys``."""
         new = [k for k in keys if k not in self.young]
-        if new and len(self.young) + len(new) > self.limit:
-            self.old, self.young, new = self.young, {}, keys
+        size = _WORD_BYTES * len(new) + _CHAR_BYTES * sum([len(k) for k in new if type(k) is str])
+        if new and (len(self.young) + len(new) > self.limit or self.held + size > self.most):
+            # A generation of a few large keys isn't worth its memory.
+            self.old = self.young if self.held <= self.most else {}
+            self.young, self.held, new = {}, 0, list(keys)
+            size = _WORD_BYTES * len(new) + _CHAR_BYTES * sum([len(k) for k in new if type(k) is str])
+        self.held += size
         unknown = []
         for key in new:
             value = self.old.get(key)
@@ -305,6 +318,9 @@ class Encoder:
         inside = at < len(self.pairs)
         known[inside] = self.pairs[at[inside]] == asked[inside]
         fresh = asked[~known]
+        if len(fresh) and len(self.pairs) + len(fresh) > PAIRS:
+            self.pairs, self.verdicts = np.empty(0, np.int64), np.empty(0, bool)
+            fresh = asked
         if len(fresh):
             decided = np.array([self.merges.compatible(p >> 32, p & 0xFFFFFFFF) for p in fresh.tolist()])
             pairs_now = np.concatenate([self.pairs, fresh])
