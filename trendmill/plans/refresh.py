@@ -16,7 +16,14 @@ from trendmill import schemas
 from trendmill.functions.scalars import ntz
 from trendmill.operators import enrichment, layout, quality, rejects, versions
 from trendmill.plans import gold, silver
-from trendmill.session import delete_path, drops_written, read_if_written, work_path, written
+from trendmill.session import (
+    delete_path,
+    drops_written,
+    partition_values,
+    read_if_written,
+    work_path,
+    written,
+)
 from trendmill.sources.landing import (
     append_bronze,
     bronze_schema,
@@ -129,7 +136,7 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     }
     batches_path = f"{marks_path.rstrip('/')}-batches"
     unread = {
-        source: unread_batches(spark, rows, batches_path, source, 0 if reprocess else last)
+        source: unread_batches(spark, bronze_paths[source], batches_path, source, 0 if reprocess else last)
         for source, rows in landed.items()
         if rows is not None
     }
@@ -180,14 +187,17 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     return {r["source"]: r["total_rows"] for r in metrics.collect()}
 
 
-def unread_batches(spark, rows, path, source, version):
-    """Batch ids of a bronze table that no run up to ``version`` has read, from its partitions."""
-    ids = rows.select("_batch_id").distinct()
+def unread_batches(spark, bronze_path, path, source, version):
+    """Batch ids of a bronze table that no run up to ``version`` has read.
+
+    The batches there are come from the names of the table's folders; no file is opened.
+    """
+    ids = set(partition_values(spark, bronze_path, "_batch_id"))
     log = read_if_written(lambda p: versions.read_log(spark, p, BATCHES), path)
     if log is not None:
         done = log.where((F.col("source") == source) & (F.col("_version") <= version))
-        ids = ids.join(done.select(F.col("batch").alias("_batch_id")), "_batch_id", "left_anti")
-    return sorted(r["_batch_id"] for r in ids.collect())
+        ids -= {r["batch"] for r in done.select("batch").distinct().collect()}
+    return sorted(ids)
 
 
 def current_signals(spark, silver_path, within=None):

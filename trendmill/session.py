@@ -86,6 +86,16 @@ def delete_path(spark, path):
     return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def partition_values(spark, path, column):
+    """Values of a table's outermost partition column, as text, from the names of its folders alone."""
+    context = spark.sparkContext
+    names = context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(target)
+    folders = [f.getPath().getName() for f in listed if f.isDirectory()]
+    return sorted(names.unescapePathName(f.split("=", 1)[1]) for f in folders if f.startswith(f"{column}="))
+
+
 def delete_partition(spark, path, column, value):
     """Removes the folder of one partition; ``value`` is its text as Spark casts it, or None."""
     names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
