@@ -20,8 +20,8 @@ from trendmill.session import (
     delete_path,
     drops_written,
     partition_values,
+    passing_path,
     read_if_written,
-    work_path,
     written,
 )
 from trendmill.sources.landing import (
@@ -162,7 +162,7 @@ def refresh_silver(spark, bronze_paths, silver_path, marks_path, log_path, now,
     ready = {source: bronze[source] for source in found}
     signals = written(silver.unify(ready), "silver-new")
     complete, rejected, counts = rejects.split(
-        signals, rejects.null_rules(["signal_id"]), work_path(spark, "silver-judged")
+        signals, rejects.null_rules(["signal_id"]), passing_path(spark, "silver-judged")
     )
     versions.write_commit(complete, silver_path, version, now, "MERGE")
     if counts["rejected"]:

@@ -55,6 +55,14 @@ def work_path(spark, label):
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def passing_path(spark, label):
+    """As ``work_path``, for what goes when the function around it ends that is marked by ``drops_written``."""
+    path = work_path(spark, label)
+    if _MADE.get() is not None:
+        _MADE.get().append(path)
+    return path
+
+
 def written(df, label):
     """The rows of ``df`` read back from a parquet table in the shared folder.
 
@@ -62,9 +70,7 @@ def written(df, label):
     table outlives it. The table stays until the folder is cleaned, or until the function that wrote
     it ends if that is marked by ``drops_written``.
     """
-    path = work_path(df.sparkSession, label)
-    if _MADE.get() is not None:
-        _MADE.get().append(path)
+    path = passing_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
