@@ -30,7 +30,7 @@ from trendmill.session import written
 K, PROJECTED, LEAF, CERTAINTY, SEED = 20, 16, 64, 0.93, 11
 #: Rows of a block, places that cuts are learned from, and blocks at most (then they get larger).
 ROWS, SAMPLE, BLOCKS = 8192, 200_000, 65_536
-#: Queries whose distances are held at a time, leaves taken in one step, copies of queries sent at a time.
+#: Queries whose distances are held at a time, leaves of a first step, copies of queries sent at a time.
 _BATCH, _STEP, _SENT = 256, 4, 2048
 
 
@@ -88,6 +88,7 @@ class KdTree:
             todo += [rows[order[half:]], rows[order[:half]]]
         order = np.concatenate(leaves)
         self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
+        self.squares = (self.points**2).sum(axis=1)
         self.ends = np.cumsum([len(rows) for rows in leaves])
         self.starts = self.ends - [len(rows) for rows in leaves]
         self.low = np.array([points[rows].min(axis=0) for rows in leaves])
@@ -123,16 +124,21 @@ class KdTree:
 
     def _nearest(self, own, query, place, order, gaps, offset, k, reach, kth):
         rows, scores = np.empty(0, np.int64), np.empty(0)
-        for step in range(0, len(order), _STEP):
+        step, taken = 0, _STEP
+        while step < len(order):
             # Equal rows are projected alike up to rounding, so the test leaves some room.
-            limit = reach * max(0.0, offset - 2 * kth) + 1e-9
-            leaves = [leaf for leaf in order[step : step + _STEP] if gaps[leaf] <= limit]
-            if not leaves:
+            limit = reach * max(0.0, offset - 2 * kth) + 1e-9 * (1 + offset)
+            leaves = order[step : step + taken]
+            leaves = leaves[gaps[leaves] <= limit]
+            if not len(leaves):
                 break
+            # The k-th product settles soon, so ever more leaves are taken in one step.
+            step, taken = step + taken, 2 * taken
             seen = np.concatenate([np.arange(self.starts[leaf], self.ends[leaf]) for leaf in leaves])
-            seen = seen[((self.points[seen] - place) ** 2).sum(axis=1) <= limit]
+            far = self.squares[seen] - 2 * (self.points.take(seen, axis=0) @ place)
+            seen = seen[far <= limit - place @ place]
             self.verified += len(seen)
-            new = self.vectors[seen] @ query
+            new = self.vectors.take(seen, axis=0) @ query
             near = np.flatnonzero((new >= kth - 1e-9) & (self.ids[seen] != own))
             if not len(near):
                 continue
@@ -252,7 +258,8 @@ def _sent(asked, boxes, longest, certainty, home):
                         salt = np.zeros(len(q), np.int32)
                     else:
                         bound = part.column("bound").to_numpy(zero_copy_only=False)
-                        limit = reach * np.maximum(0, (vectors**2).sum(axis=1) + longest - 2 * bound) + 1e-9
+                        offset = (vectors**2).sum(axis=1) + longest
+                        limit = reach * np.maximum(0, offset - 2 * bound) + 1e-9 * (1 + offset)
                         q, b = np.nonzero(gaps <= limit[:, None])
                         copies = salts[b]
                         q, b = np.repeat(q, copies), np.repeat(b, copies)
