@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from contract import query
 from contract.sql import PAGE, SPACE, iso, seconds, spread
 from trendmill import constants as c
+from trendmill import schemas
 from trendmill.functions.scalars import ntz
 from trendmill.session import work_path
-from trendmill.sources import feeds, landing
+from trendmill.sources import feeds, landing, payload
 from trendmill.sources import standins as s
 from trendmill.sources.standins import table
 
@@ -108,6 +109,54 @@ def bronze_raw_json(spark, folder):
     )
 
 
+def _stories_of_two_versions(spark, folder):
+    """Bronze stories of two batches; the payloads of the later one hold more than the columns."""
+    path, events = work_path(spark, "bronze-versions"), table(spark, folder, "events")
+    landing.append_bronze(feeds.stories(s.story_records(events)), path, c.STORIES, "b1", ntz("2024-01-31"))
+    later = feeds.stories(s.story_records_with_extra(events))
+    landing.append_bronze(later, path, c.STORIES, "b2", ntz("2024-02-01"))
+    return landing.read_bronze(spark, path)
+
+
+@query("raw_variant_paths", """
+WITH e AS (SELECT * FROM events WHERE event_type <> 'error'),
+found AS (
+  SELECT '$' AS path, 'OBJECT' AS type, 2 * count(*) AS count FROM e
+  UNION ALL SELECT '$.id', 'BIGINT', 2 * count(event_id) FROM e
+  UNION ALL SELECT '$.by', 'STRING', 2 * count(user_id) FROM e
+  UNION ALL SELECT '$.title', 'STRING', 2 * count(event_type) FROM e
+  UNION ALL SELECT '$.url', 'STRING', 2 * count(event_id) FILTER (event_type <> 'view') FROM e
+  UNION ALL SELECT '$.score', 'BIGINT', 2 * count(value) FROM e
+  UNION ALL SELECT '$.time', 'BIGINT', 2 * count(ts) FROM e
+  UNION ALL SELECT '$.type', 'STRING', 2 * count(*) FROM e
+  UNION ALL SELECT '$.descendants', 'BIGINT', 2 * count(props) FROM e
+  UNION ALL SELECT '$.text', 'STRING', 2 * count(props) FROM e
+  UNION ALL SELECT '$.kids', 'ARRAY', 2 * count(*) FROM e
+  UNION ALL SELECT '$.kids[]', 'BIGINT', 2 * (count(event_id) + count(user_id)) FROM e WHERE event_type <> 'signup'
+  UNION ALL SELECT '$.kids[]', 'VOID', 2 * (2 * count(*) - count(event_id) - count(user_id)) FROM e
+    WHERE event_type <> 'signup'
+  UNION ALL SELECT '$.extra', 'OBJECT', count(props) FROM e
+  UNION ALL SELECT '$.extra', 'VOID', count(*) - count(props) FROM e
+  UNION ALL SELECT '$.extra.k', 'BIGINT', count(props) FROM e
+)
+SELECT path, type, count, NOT starts_with(path, '$.extra') AS in_schema FROM found WHERE count > 0""")
+def raw_variant_paths(spark, folder):
+    """All paths and types in the stories' payloads, and whether the feed's schema reads them."""
+    found = payload.census(_stories_of_two_versions(spark, folder))
+    known = sorted(payload.schema_paths(schemas.STORY_RECORD))
+    return found.withColumn("in_schema", F.col("path").isin(known))
+
+
+@query("raw_variant_fields", """
+SELECT event_id AS id, b AS _batch_id,
+  CASE WHEN b = 'b2' THEN regexp_extract(props, '"k": *([0-9]+)', 1)::BIGINT END AS k
+FROM events, (VALUES ('b1'), ('b2')) AS batches(b) WHERE event_type <> 'error'""")
+def raw_variant_fields(spark, folder):
+    """A field that no column was made for, read from the payloads that were kept."""
+    bronze = _stories_of_two_versions(spark, folder)
+    return bronze.select("id", "_batch_id", payload.field("$.extra.k", "bigint").alias("k"))
+
+
 @query("dedup_first_wins", """
 SELECT user_id, query_no, event_id FROM (
   SELECT *, CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 ELSE 3 END AS query_no

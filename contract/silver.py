@@ -113,15 +113,21 @@ def silver_questions(spark, folder):
     return silver.questions_to_signals(bronze_questions(spark, folder), ntz(_DONE))
 
 
-@query("unified_signals", " UNION ALL ".join([_STORIES, _REPOS, _PAPERS, _QUESTIONS]))
-def unified_signals(spark, folder):
-    bronze = {
+UNIFIED_SQL, PROCESSED_AT = " UNION ALL ".join([_STORIES, _REPOS, _PAPERS, _QUESTIONS]), _DONE
+
+
+def bronze_by_source(spark, folder):
+    return {
         c.STORIES: bronze_stories(spark, folder),
         c.REPOS: bronze_repos(spark, folder),
         c.PAPERS: bronze_papers(spark, folder),
         c.QUESTIONS: bronze_questions(spark, folder),
-        "mailing lists": table(spark, folder, "labels"),
     }
+
+
+@query("unified_signals", UNIFIED_SQL)
+def unified_signals(spark, folder):
+    bronze = bronze_by_source(spark, folder) | {"mailing lists": table(spark, folder, "labels")}
     return silver.unify(bronze, ntz(_DONE))
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from contract import query
 from contract.bronze import _STORY_SQL, PAPERS_SQL
+from contract.silver import PROCESSED_AT, UNIFIED_SQL, bronze_by_source
 from trendmill.functions.scalars import ntz
 from trendmill.operators.dedup import keep_one
 from trendmill.operators.versions import read_log
-from trendmill.plans.silver import stories_to_signals
+from trendmill.plans.silver import PREFERENCE, stories_to_signals
 from trendmill.session import work_path, written
 from trendmill.sources import feeds
 from trendmill.sources import standins as s
@@ -85,6 +86,25 @@ def stream_upsert_bucketed(spark, folder):
     return found
 
 
+@query("stream_unified", UNIFIED_SQL)
+def stream_unified(spark, folder):
+    """Four feeds fetched twice, landing unevenly, in one stream and one table."""
+    work, bronze = work_path(spark, "stream-unified"), bronze_by_source(spark, folder)
+    name = f"signals_{uuid.uuid4().hex}"
+    for n, batch in enumerate(["b1", "b2"]):
+        # Half of the feeds are a run ahead of the others.
+        for m, (source, rows) in enumerate(bronze.items()):
+            _land(rows.where(F.col("_batch_id") == batch), f"{work}/{source}", n)
+            if m % 2 == n:
+                _land(rows.where(F.col("_batch_id") == batch), f"{work}/{source}", f"again-{n}")
+        streams = {source: _stream(spark, f"{work}/{source}", rows) for source, rows in bronze.items()}
+        signals = loads.one_stream(streams, ntz(PROCESSED_AT))
+        loads.upsert_signals(signals, name, f"{work}/progress")
+    found = written(spark.table(name).drop(*PREFERENCE), "unified")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query("stream_best_row", """
 SELECT user_id::VARCHAR AS key, value AS score, event_id AS tie
 FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL AND event_id IS NOT NULL

@@ -18,7 +18,7 @@ from trendmill.functions.scalars import (
 from trendmill.operators.dedup import keep_best, keep_latest
 
 
-def _signals(rows, source, native_id, processed_at, **columns):
+def _signals(rows, source, native_id, processed_at, carry, **columns):
     stamp = utc_now() if processed_at is None else as_column(processed_at)
     return rows.select(
         surrogate_key(source, native_id).alias("signal_id"),
@@ -29,15 +29,16 @@ def _signals(rows, source, native_id, processed_at, **columns):
         ],
         columns["language"].alias("language"),
         stamp.cast("timestamp_ntz").alias("_silver_processed_at"),
+        *carry,
     )
 
 
-def stories_to_signals(bronze, processed_at=None):
+def stories_to_signals(bronze, processed_at=None, each=False, carry=()):
     """Best-scored row per story; the item page stands in for a missing url."""
-    rows = keep_best(bronze, ["id"], ties=["title", "url", "text"])
+    rows = bronze if each else keep_best(bronze, ["id"], ties=["title", "url", "text"])
     fallback = F.concat(F.lit(c.STORY_URL_PREFIX), F.col("id").cast("string"))
     return _signals(
-        rows, c.STORIES, "id", processed_at,
+        rows, c.STORIES, "id", processed_at, carry,
         title=F.col("title"), body=F.col("text"), url=F.coalesce("url", fallback),
         author=F.col("by"), score=F.col("score").cast("int"),
         created_at=epoch_to_timestamp("time"), tags=F.array().cast("array<string>"),
@@ -45,11 +46,11 @@ def stories_to_signals(bronze, processed_at=None):
     )
 
 
-def repos_to_signals(bronze, processed_at=None):
+def repos_to_signals(bronze, processed_at=None, each=False, carry=()):
     """Newest row per repository, stars as score, topics as tags."""
-    rows = keep_latest(bronze, ["full_name"], ties=["id", "stargazers_count", "description"])
+    rows = bronze if each else keep_latest(bronze, ["full_name"], ties=["id", "stargazers_count", "description"])
     return _signals(
-        rows, c.REPOS, "full_name", processed_at,
+        rows, c.REPOS, "full_name", processed_at, carry,
         title=F.col("name"), body=F.col("description"), url=F.col("html_url"),
         author=F.col("owner_login"), score=F.col("stargazers_count").cast("int"),
         created_at=iso_to_timestamp("created_at"), tags=json_strings("topics"),
@@ -57,11 +58,11 @@ def repos_to_signals(bronze, processed_at=None):
     )
 
 
-def papers_to_signals(bronze, processed_at=None):
+def papers_to_signals(bronze, processed_at=None, each=False, carry=()):
     """Newest row per paper; papers carry no engagement, so their score is 0."""
-    rows = keep_latest(bronze, ["arxiv_id"], ties=["title", "summary", "link"])
+    rows = bronze if each else keep_latest(bronze, ["arxiv_id"], ties=["title", "summary", "link"])
     return _signals(
-        rows, c.PAPERS, "arxiv_id", processed_at,
+        rows, c.PAPERS, "arxiv_id", processed_at, carry,
         title=F.col("title"), body=F.col("summary"), url=F.col("link"),
         author=first_element(json_strings("authors"), "unknown"), score=F.lit(0),
         created_at=iso_to_timestamp("published"), tags=json_strings("categories"),
@@ -69,12 +70,12 @@ def papers_to_signals(bronze, processed_at=None):
     )
 
 
-def questions_to_signals(bronze, processed_at=None):
+def questions_to_signals(bronze, processed_at=None, each=False, carry=()):
     """Best-scored row per question, body without HTML, first tag as language."""
-    rows = keep_best(bronze, ["question_id"], ties=["title", "body", "link"])
+    rows = bronze if each else keep_best(bronze, ["question_id"], ties=["title", "body", "link"])
     tags = json_strings("tags")
     return _signals(
-        rows, c.QUESTIONS, "question_id", processed_at,
+        rows, c.QUESTIONS, "question_id", processed_at, carry,
         title=F.col("title"), body=strip_html("body"), url=F.col("link"),
         author=F.coalesce("owner_display_name", F.lit("anonymous")),
         score=F.col("score").cast("int"), created_at=epoch_to_timestamp("creation_date"),
@@ -90,6 +91,37 @@ TRANSFORMS = {
 }
 
 
+#: How each source picks one row a key: whether the score counts, and what decides between equals.
+_PICKS = {
+    c.STORIES: (True, ("title", "url", "text")),
+    c.REPOS: (False, ("id", "stargazers_count", "description")),
+    c.PAPERS: (False, ("title", "summary", "link")),
+    c.QUESTIONS: (True, ("title", "body", "link")),
+}
+#: Order in which rows of one signal are preferred, for rows of :func:`fetched_signals`.
+PREFERENCE = ("_by_score", "_fetched_at", "_ties")
+_NO_SCORE = -(2**40)
+
+
+def fetched_signals(source, bronze, processed_at=None):
+    """Every bronze row as a signal, with the columns that say which row of a signal is preferred.
+
+    Needs no other row, so it works on streams. Highest ``_by_score``, then ``_fetched_at``, then the smallest
+    ``_ties`` is the row that the source's transform would keep.
+    """
+    by_score, ties = _PICKS[source]
+    kinds = dict(bronze.dtypes)
+    texts = [
+        F.lpad(F.col(t).cast("string"), 20, "0") if kinds[t] in ("int", "bigint") else F.col(t).cast("string")
+        for t in ties
+    ]
+    score = F.coalesce(F.col("score").cast("long"), F.lit(_NO_SCORE)) if by_score else F.lit(0).cast("long")
+    return TRANSFORMS[source](
+        bronze, processed_at, each=True,
+        carry=[score.alias("_by_score"), F.col("_ingested_at").alias("_fetched_at"), F.array(*texts).alias("_ties")],
+    )
+
+
 def unify(bronze_by_source, processed_at=None):
     """Signals of all known sources in one DataFrame; unknown sources are skipped."""
     frames = [

@@ -147,6 +147,14 @@ def story_records_again(events):
     )
 
 
+def story_records_with_extra(events):
+    """Story items as a later version of a feed might send them, with an object that no column reads."""
+    value = F.concat(
+        F.expr("left(value, length(value) - 1)"), F.lit(',"extra":'), F.coalesce("props", F.lit("null")), F.lit("}")
+    )
+    return story_records(events).withColumn("value", value)
+
+
 def repo_records(documents, more_stars=0):
     created = spread_day("doc_id")
     return _as_json(

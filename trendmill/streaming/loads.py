@@ -6,6 +6,7 @@ with ``availableNow``: they take what has landed since the last run and stop.
 
 import datetime as dt
 import json
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Observation
@@ -15,6 +16,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from trendmill.operators.bucketed import upsert_bucketed
 from trendmill.operators.dedup import keep_one, split_null_keys
 from trendmill.operators.versions import LOG_COLUMNS, as_of, write_commit
+from trendmill.plans import silver
 from trendmill.schemas import PAPER_ENTRY
 from trendmill.sources.feeds import READERS, paper_entries
 from trendmill.sources.landing import batch_id, with_ingestion_columns
@@ -116,7 +118,7 @@ def upsert_new_bucketed(stream, name, checkpoint, keys, order, prepare=None, buc
 
     ``better(old, new)`` may hold back updates, such as of a lower score; a repeated micro-batch then
     changes nothing, as it does without. The table always has one row a key, so reading it ranks
-    nothing.
+    nothing. Other sessions that have read the table before need ``refreshTable``.
     """
 
     def write(rows, number):
@@ -125,7 +127,11 @@ def upsert_new_bucketed(stream, name, checkpoint, keys, order, prepare=None, buc
             rows.sparkSession, keep_one(complete, keys, order), name, keys, buckets, update_condition=better
         )
 
-    return _run(stream.writeStream.foreachBatch(write), checkpoint)
+    query = _run(stream.writeStream.foreachBatch(write), checkpoint)
+    # Batches are written by a session of their own; this one may remember the files of the table before.
+    if stream.sparkSession.catalog.tableExists(name):
+        stream.sparkSession.catalog.refreshTable(name)
+    return query
 
 
 def append_checked(stream, path, checkpoint, log_path, source, required, clock=utc_now):
@@ -152,6 +158,56 @@ def append_checked(stream, path, checkpoint, log_path, source, required, clock=u
     return _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+#: How the watermarks of several feeds make one: the slowest feed's holds, so no feed's rows are late by another's.
+WATERMARK_POLICY = "min"
+_POLICY_SETTING = "spark.sql.streaming.multipleWatermarkPolicy"
+
+
+def one_stream(bronze_by_source, processed_at=None, horizon="1 day"):
+    """One stream of signals from a stream of bronze rows for each feed; unknown sources are skipped.
+
+    Every feed has a watermark on its time of ingestion, ``horizon`` behind; within it a row that lands
+    twice is suppressed. A later repeat passes and is harmless to :func:`upsert_signals`. A row that was
+    ingested more than ``horizon`` before the newest one of the slowest feed so far is too late and left out, so
+    ``horizon`` has to cover the longest delay between ingestion and landing.
+    """
+    streams = []
+    for source, bronze in bronze_by_source.items():
+        if source in silver.TRANSFORMS:
+            rows = silver.fetched_signals(source, bronze, processed_at)
+            at = F.col("_fetched_at").cast("timestamp").alias("_event_time")
+            streams.append(rows.select("*", at).withWatermark("_event_time", horizon))
+    united = reduce(lambda a, b: a.unionByName(b), streams)
+    same = ["signal_id", "_fetched_at", "title", "body", "url", "author", "score", "created_at", "tags", "language", "_ties"]
+    return united.dropDuplicatesWithinWatermark(same).drop("_event_time")
+
+
+def upsert_signals(signals, name, checkpoint, buckets=16):
+    """Keeps the preferred row of each signal of :func:`one_stream` in the bucketed table ``name``.
+
+    The slowest feed's watermark holds for all (:data:`WATERMARK_POLICY`), so a feed may lag behind the others
+    by any time; one that never delivers keeps the state from shrinking. A stored row only gives way to a preferred one, so
+    a repeated micro-batch changes nothing, and neither does the order in which feeds land.
+    """
+    spark = signals.sparkSession
+    by_score, fetched, ties = silver.PREFERENCE
+    order = [F.col(by_score).desc(), F.col(fetched).desc(), F.col(ties).asc()]
+
+    def better(old, new):
+        as_good = new(by_score) == old(by_score)
+        as_new = as_good & (new(fetched) == old(fetched))
+        return (
+            (new(by_score) > old(by_score)) | (as_good & (new(fetched) > old(fetched))) | (as_new & (new(ties) < old(ties)))
+        )
+
+    before = spark.conf.get(_POLICY_SETTING)
+    spark.conf.set(_POLICY_SETTING, WATERMARK_POLICY)
+    try:
+        return upsert_new_bucketed(signals, name, checkpoint, ["signal_id"], order, buckets=buckets, better=better)
+    finally:
+        spark.conf.set(_POLICY_SETTING, before)
+
+
 #: Weeks begin on Monday; the epoch was a Thursday.
 _MONDAY = "4 days"
 
