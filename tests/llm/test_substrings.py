@@ -57,6 +57,49 @@ def test_equal_windows_stand_by_equal_names():
         assert names[0] == names[1] and names[0][0] != -1
 
 
+def test_forms_and_shared_names_depend_on_windows_alone():
+    rng = random.Random(9)
+    forms, shared = {}, {}
+    for _ in range(1500):
+        texts = [
+            " ".join(
+                w for _ in range(rng.randint(0, 12))
+                for w in [rng.choice("abcd")] * rng.choice([1, 1, 1, 2, 7, 20])
+            )
+            for _ in range(3)
+        ]
+        words = substrings.Words(texts)
+        plain_words = [w for t in texts for w in t.split()]
+        form, name = substrings.window_names(words), substrings.standing_names(words)
+        for i in words.window_starts():
+            window = tuple(plain_words[i : i + 13])
+            assert forms.setdefault(window, form[i]) == form[i]
+            assert shared.setdefault(window, name[i]) == name[i]
+    assert len(set(forms.values())) == len(forms) > 5000
+    assert len(set(shared.values())) < len(shared)
+
+
+def test_symbols_name_runs_and_pairs():
+    text = "x " + "r " * 9 + "y a b c d e f g h i j k l m n o p q s t u v w z"
+    words = substrings.Words([text + " " + text, "r r r"])
+    symbols = words.symbols
+    assert symbols.starts[0] == 0 and (symbols.starts[1:] == symbols.ends[:-1]).all()
+    assert (np.diff(symbols.low) >= 0).all() and (np.diff(symbols.high) >= 0).all()
+    assert (symbols.low < symbols.starts).all() and (symbols.high > symbols.ends).all()
+    tokens = text.split() * 2 + ["r"] * 3
+    named = {}
+    for name, start, end in zip(symbols.names, symbols.starts, symbols.ends):
+        assert named.setdefault(name, tokens[start:end]) == tokens[start:end]
+    # A run lies in one symbol, whatever its length.
+    assert not ((symbols.starts > 1) & (symbols.starts < 10)).any()
+    assert symbols.text.tolist() == words.text[symbols.starts].tolist()
+
+
+def test_windows_within_a_run(spark):
+    runs = [(1, "r " * 40), (2, "r " * 13), (3, "a " + "r " * 30 + "b"), (4, "r " * 12), (5, "b " + "r " * 14)]
+    check(spark, runs)
+
+
 def test_words_do_not_run_over_texts():
     texts = ["a b c", "", "  d\te ", "\n", "f"]
     words = substrings.Words(texts)

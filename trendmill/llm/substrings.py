@@ -1,29 +1,31 @@
-"""Passages that repeat across documents, found by hashes of windows that recompression anchors.
-
-Pairing only picks border places: its symbols are thrown away, and what Spark groups are hashes of the
-six raw words around a border and of all 13 raw words of a window. Words are never compared.
-
-Words are named by a hash of their bytes. Two rounds of recompression follow: a round splits the
-names into left and right ones by one bit and replaces every pair of a left and a right name by a
-new name, a hash of the two. Names depend on content alone, so all executors give equal substrings
-the same symbols without a dictionary, except for the symbols at their ends. A symbol of the second
-round has at most four words, and whether there is a border of two symbols at some place depends on
-the two words before and after it. So every window of 13 words holds a border that depends on the
-window alone; the border with the smallest name of its six words stands for the window, and equal
-windows have equal ones. A run of one word longer than that has one name however long it is.
-
-1. Spark groups border names by value and keeps those met in more than one document.
-2. Only windows that stand by such a name are named whole, by all their words. Spark groups these
-   names and keeps the smallest document of each.
+"""Passages that repeat across documents, found by symbols that recompression gives equal substrings.
+
+Words are named by a hash of their bytes. Recompression then replaces, from the left to the right of all
+texts alike,
+
+* runs of one word by a symbol for the word and its number,
+* twice, pairs of a left and a right symbol (by one bit of their names) by a new symbol,
+
+each named by a hash of what it replaces. Names depend on content alone, so all executors give one
+name to equal content without a dictionary. A symbol also knows which words decide it: its own, those
+that end its runs, and those of a neighbour that it could have been paired with. A window of 13 words
+holds a symbol if all words that decide it lie in the window; equal windows hold equal symbols, and
+they are neighbours. The window's form is the words before its symbols, the symbols, and the words
+after them. A window inside a long run may hold none; then its words are its symbols.
+
+1. Spark groups, of each window, one name of three neighbouring symbols, the smallest (of fewer
+   symbols or of one word, if it holds no more), and keeps names met in more than one document.
+2. Windows with such a name are named by their forms. Spark groups the forms and keeps the smallest
+   document of each.
 3. Windows that start in a smaller document too cover words, which go.
 
-Exact copies are settled by a hash of their texts first. Equality rests on hashes: owners of windows are
-grouped by 128 bits, words covered in a text are found by the 64-bit name of the whole window. Two
-bitmaps of fixed size (:mod:`trendmill.llm.filters`) spare names and copies that can't matter; what they
-let through by chance is decided exactly.
+Exact copies are settled by a hash of their texts first. Forms differ if windows do, but names are hashes
+and words are never compared: owners are grouped by 128 bits, covered words of a text are found by the
+64-bit name of the form. Two bitmaps of fixed size (:mod:`trendmill.llm.filters`) spare names and
+copies that can't matter; what they let through by chance is decided exactly.
 """
 
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -34,16 +36,15 @@ from trendmill.llm import filters
 from trendmill.llm.shared import id_and_text, map_column, map_texts, on_workers
 from trendmill.session import written
 
-WINDOW, CONTEXT, ROUNDS = 13, 3, 2
-#: Places of a window where a border has its context inside.
-_PLACES = WINDOW - 2 * CONTEXT + 1
+#: Words of a window, and neighbouring symbols that are named together.
+WINDOW, TOGETHER = 13, 3
 #: Bytes of texts that a worker takes apart at a time.
 SLAB = 250_000
 #: Bits of the bitmaps of rows, 4 MB each.
 ROW_BITS = 2**25
 _BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _MOST = np.uint64(2**64 - 1)
-#: Bits of a border name that are grouped; a chance meeting only lets more windows be named whole.
+#: Bits of a window's shared name that are grouped; a chance meeting only lets more windows be named whole.
 _NAME_BITS = np.int64(2**40 - 1)
 
 
@@ -105,6 +106,10 @@ class Words:
         shift = _powers(int(_INVERSE), size)[self.starts]
         self.names = _mixed((total[self.ends] - total[self.starts]) * shift)
 
+    @cached_property
+    def symbols(self):
+        return Symbols(self.names, self.text)
+
     def window_starts(self):
         return np.flatnonzero(self.left >= WINDOW)
 
@@ -126,18 +131,77 @@ class Words:
         return [out[e - n : max(e - n, e - 1)] for e, n in zip(ends.tolist(), sizes.tolist())]
 
 
-def recompressed(words):
-    """Places at which the symbols start that ``ROUNDS`` rounds of pairing leave; none spans two texts."""
-    names, starts, text = words.names, np.arange(len(words.names)), words.text
-    for turn in range(ROUNDS):
-        left = _mixed(names + np.uint64(turn + 1)) & np.uint64(1) == 0
-        pair = np.flatnonzero(left[:-1] & ~left[1:] & (text[1:] == text[:-1]))
-        names = names.copy()
-        names[pair] = _mixed(names[pair] * _BASES[0] + names[pair + 1] * _BASES[1])
-        kept = np.ones(len(names), bool)
-        kept[pair + 1] = False
-        names, starts, text = names[kept], starts[kept], text[kept]
-    return starts
+def _prefixes(names):
+    """Sums of the polynomial of all names up to each place."""
+    total = np.zeros(len(names) + 1, np.uint64)
+    np.cumsum(names * _powers(int(_BASES[0]), len(names)), out=total[1:])
+    return total
+
+
+def _sequence(total, first, end):
+    """Names of the sequences from ``first`` to before ``end``, by the sums of :func:`_prefixes`."""
+    value = (total[end] - total[first]) * _powers(int(_INVERSE), len(total))[first]
+    return _mixed(value + (end - first).astype(np.uint64))
+
+
+def _below(places, count):
+    """How many of the ``places`` (-1 and up) lie below each of ``count`` places from 0 on."""
+    return np.cumsum(np.bincount(places + 1, minlength=count + 1))[:count]
+
+
+class Symbols:
+    """What a round of runs and two rounds of pairs leave of the words of many texts.
+
+    ``starts`` and ``ends`` are the words of each symbol; those from ``low`` to before ``high`` decide it. All
+    four ascend. No symbol spans two texts.
+    """
+
+    def __init__(self, names, text):
+        first = np.ones(len(names), bool)
+        first[1:] = (names[1:] != names[:-1]) | (text[1:] != text[:-1])
+        self.starts = np.flatnonzero(first)
+        self.ends = np.append(self.starts, len(names))[1:]
+        self.text = text[self.starts]
+        self.low, self.high = self.starts - 1, self.ends + 1
+        # A side depends on a word alone, that of the first run, so the words beside a run tell what becomes of it.
+        self.word, length = names[self.starts], (self.ends - self.starts).astype(np.uint64)
+        self.names = np.where(length == 1, self.word, _mixed(self.word * _BASES[1] + length))
+        left = self._left(1)
+        # The last word of a symbol's first run tells its side, if it is known where the symbol starts.
+        side = np.where(left, self.ends, self.starts) - 1
+        at, kept = self._pair(left)
+        side[at] = self.ends[at] - 1
+        self.ends[at], self.high[at] = self.ends[at + 1], self.high[at + 1]
+        self._keep(kept)
+
+        left = self._left(2)
+        # The next word tells why a left symbol stays alone, the side of the symbol before why a right one does.
+        before = np.append(-1, side[kept])[:-1]
+        self.low = np.where(left, self.low, np.minimum(self.low, before))
+        at, kept = self._pair(left)
+        self.ends[at], self.high[at] = self.ends[at + 1], self.high[at + 1]
+        self._keep(kept)
+
+    def _left(self, turn):
+        return _mixed(self.word + np.uint64(turn)) & np.uint64(1) == 0
+
+    def _pair(self, left):
+        """Names neighbours of a left and a right side anew; their places, and which symbols go on."""
+        at = np.flatnonzero(left[:-1] & ~left[1:] & (self.text[1:] == self.text[:-1]))
+        self.names[at] = _mixed(self.names[at] * _BASES[0] + self.names[at + 1] * _BASES[1])
+        kept = np.ones(len(left), bool)
+        kept[at + 1] = False
+        return at, kept
+
+    def _keep(self, kept):
+        for name in ("names", "word", "starts", "ends", "low", "high", "text"):
+            setattr(self, name, getattr(self, name)[kept])
+
+    def held(self, count):
+        """Of the windows at the first ``count`` words, the first symbol held and the one after the last."""
+        first = _below(self.low, count)
+        end = _below(self.high - 1, count + WINDOW)[WINDOW:]
+        return first, np.maximum(first, end)
 
 
 def _spans(names, size, base):
@@ -150,25 +214,50 @@ def _spans(names, size, base):
     return _mixed(total)
 
 
+def _smallest(values, first, end):
+    """The smallest value from ``first`` to before ``end`` (one value or more, at most 15)."""
+    tables = np.full((4, len(values)), _MOST)
+    tables[0] = values
+    for turn in range(1, 4):
+        step = 1 << (turn - 1)
+        if len(values) > step:
+            np.minimum(tables[turn - 1, :-step], tables[turn - 1, step:], out=tables[turn, :-step])
+    turn = np.array([0, 0, 1, 1, 2, 2, 2, 2, 3, 3, 3, 3, 3, 3, 3, 3])[end - first]
+    return np.minimum(tables[turn, first], tables[turn, end - (1 << turn)])
+
+
 def standing_names(words):
-    """By the place of its first word, the name of the border that stands for each window."""
-    around = _spans(words.names, 2 * CONTEXT, _BASES[0])
-    value = np.full(len(around), _MOST)
-    starts = recompressed(words) - CONTEXT
-    starts = starts[(starts >= 0) & (starts < len(around))]
-    value[starts] = np.minimum(around[starts], _MOST - np.uint64(1))
-    best = value[: max(0, len(value) - _PLACES + 1)].copy()
-    for i in range(1, _PLACES):
-        np.minimum(best, value[i : i + len(best)], out=best)
-    return best.view(np.int64)
+    """By the place of its first word, the shared name that stands for each window."""
+    count = max(0, len(words.names) - WINDOW + 1)
+    first, end = words.symbols.held(count)
+    out = np.empty(count, np.uint64)
+    many, few = end - first >= TOGETHER, (end > first) & (end - first < TOGETHER)
+    none = np.flatnonzero(end == first)
+    out[many] = _smallest(
+        _spans(words.symbols.names, TOGETHER, _BASES[0]), first[many], end[many] - (TOGETHER - 1)
+    )
+    out[few] = _sequence(_prefixes(words.symbols.names), first[few], end[few])
+    out[none] = _smallest(words.names, none, none + WINDOW)
+    return np.minimum(out, _MOST - np.uint64(1), out=out).view(np.int64)
 
 
 def window_names(words):
-    """By the place of its first word, the name of each window by all its words.
+    """By the place of its first word, the name of each window's form.
 
     With its standing name it has 128 bits.
     """
-    return _spans(words.names, WINDOW, _BASES[1]).view(np.int64)
+    count = max(0, len(words.names) - WINDOW + 1)
+    first, end = words.symbols.held(count)
+    start = np.arange(count)
+    some = np.flatnonzero(end > first)
+    before, after = start + WINDOW, start + WINDOW
+    before[some] = words.symbols.starts[first[some]]
+    after[some] = words.symbols.ends[end[some] - 1]
+    single = _prefixes(words.names)
+    out = _sequence(single, start, before) * _BASES[1]
+    out += _sequence(_prefixes(words.symbols.names), first, end)
+    out = _mixed(out) * _BASES[1] + _sequence(single, after, start + WINDOW)
+    return _mixed(out).view(np.int64)
 
 
 def _lists(values, text, count):
@@ -184,10 +273,10 @@ def _changes(values, text):
     return np.concatenate([[True], (values[1:] != values[:-1]) | (text[1:] != text[:-1])])
 
 
-def _border_names(texts):
+def _shared_names(texts):
     words = Words(texts)
     at = words.window_starts()
-    # Neighbouring windows mostly stand by one border; the filter's bits are all that is asked later.
+    # Neighbouring windows mostly stand by one name; the filter's bits are all that is asked later.
     names, text = standing_names(words)[at] & _NAME_BITS, words.text[at]
     new = _changes(names, text)
     return {"names": _lists(names[new], text[new], len(texts))}
@@ -272,7 +361,7 @@ def _repeats(rows, copies):
     spark = on_workers(rows.sparkSession)
     usable = rows.where("doc_id is not null")
     names = map_texts(
-        usable.select("doc_id", "text"), lambda: _border_names, "names array<long>", most=SLAB
+        usable.select("doc_id", "text"), lambda: _shared_names, "names array<long>", most=SLAB
     ).select("doc_id", F.explode("names").alias("name"))
     shared = (
         names.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
