@@ -5,6 +5,7 @@ import re
 import numpy as np
 
 from trendmill.llm import filters, substrings
+from trendmill.llm.shared import bound_batches
 
 
 def plain(rows):
@@ -142,3 +143,17 @@ def test_bitmap_holds_what_was_put_in(spark):
     bitmap = filters.build(spark.createDataFrame([(v,) for v in values], "v long"), "v")
     assert filters.may_hold(bitmap, np.array(values, np.int64)).all()
     assert not filters.may_hold(bitmap, np.array([2, 3, 77], np.int64)).any()
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        bound_batches(spark, 4_000_000)
+        assert spark.conf.get(name) == "4000000"
+        spark.conf.set(name, "2m")
+        bound_batches(spark, 4_000_000)
+        assert spark.conf.get(name) == "2m"
+    finally:
+        spark.conf.set(name, before)

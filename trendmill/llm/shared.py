@@ -24,6 +24,17 @@ def on_workers(spark):
     return spark
 
 
+def bound_batches(spark, most):
+    """Has the session send at most ``most`` bytes of rows at a time to Python workers, or fewer if it does so.
+
+    The setting is read when a query runs, so it stays; results don't depend on it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    sizes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+    if not 0 < sizes.byteStringAsBytes(spark.conf.get(name)) <= most:
+        spark.conf.set(name, str(most))
+
+
 def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from trendmill.llm import filters
-from trendmill.llm.shared import id_and_text, map_column, map_texts, on_workers
+from trendmill.llm.shared import bound_batches, id_and_text, map_column, map_texts, on_workers
 from trendmill.session import written
 
 #: Words of a window, and neighbouring symbols that are named together.
 WINDOW, TOGETHER = 13, 3
 #: Bytes of texts that a worker takes apart at a time.
 SLAB = 250_000
+#: Bytes of rows sent to a worker at a time.
+BATCH = 4_000_000
 #: Bits of the bitmaps of rows, 4 MB each.
 ROW_BITS = 2**25
 _BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
@@ -407,6 +409,7 @@ def remove_repeats(docs, texts=True):
     words each.
     """
     spark = on_workers(docs.sparkSession)
+    bound_batches(spark, BATCH)
     rows = _keyed(docs)
     copies = _copies(rows)
     found = _repeats(rows, copies).groupBy("doc_id").agg(F.collect_set("whole").alias("wholes"))
