@@ -136,3 +136,35 @@ def test_remembered_words_are_bounded_in_bytes():
         ]
     finally:
         bpe.PAIRS = before
+
+
+def test_texts_in_arrays_equal_the_library(library):
+    from trendmill.llm.array_bpe import SpeculatedTable
+
+    table, some = SpeculatedTable(PATH), list(texts(3000, 17))
+    flat, edges = table.flat_of(some)
+    for text, a, b in zip(some, edges[:-1], edges[1:]):
+        assert flat[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_arrays_of_units_give_the_exact_tokens():
+    from trendmill.llm.array_bpe import ArrayMerges, SpeculatedTable
+
+    encoder = bpe.Encoder(bpe.encoder_of(PATH).merges)
+    exact = ArrayMerges(encoder.merges).encode
+    pieces = ["unbelievably", "a", "", "zzqxj", "internationalisation", "é" * 9, "x" * 200, "the"]
+    flat, sizes = encoder.encode_flat(pieces, exact)
+    assert 0 < encoder.corrected < encoder.speculated == len(pieces)
+    assert flat.tolist() == [i for p in pieces if p for i in encoder.merges.merge(p.encode())]
+    assert sizes.tolist() == [len(encoder.merges.merge(p.encode())) if p else 0 for p in pieces]
+
+    table = SpeculatedTable(PATH)
+    texts = ["", "  ", "Don't stop", "A\u0301 b<|endoftext|>c", "stop\x1cIT", "x" * 3000, "stop"]
+    reference = bpe.encode_texts(encoder, texts)
+    for _ in range(2):
+        flat, edges = table.flat_of(texts)
+        assert [flat[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])] == reference
+    assert table.flat_of([])[1].tolist() == [0]
+    # A table begins anew when it is full.
+    table.units.units = 1
+    assert table.flat_of(texts)[0].tolist() == [i for ids in reference for i in ids]

@@ -8,9 +8,10 @@ all rows lose one symbol a round and the matrix stays full; rows without a pair
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
-from trendmill.llm.bpe import Merges
-from trendmill.llm.word_table import WordTable, ragged
+from trendmill.llm.bpe import Merges, encoder_of
+from trendmill.llm.word_table import WordTable, pieces, ragged
 
 #: Bytes up to which pieces are merged in arrays; longer ones keep their pairs in a heap.
 LONGEST = 48
@@ -119,10 +120,11 @@ def _without(matrix, place):
     return matrix[keep].reshape(len(matrix), matrix.shape[1] - 1)
 
 
-def unit_encoder(path):
-    """A function for :class:`~trendmill.llm.word_table.WordTable`: ids of units without white space."""
-    merges = Merges(path)
-    arrays = ArrayMerges(merges)
+def unit_encoder(merges, encode):
+    """A function for :class:`~trendmill.llm.word_table.WordTable`: ids of units without white space.
+
+    ``encode(pieces)`` returns the ids of all pieces one after the other, and how many each has.
+    """
     kind = np.uint16 if max(merges.names) < 1 << 16 else np.uint32
 
     def pieces_of(unit):
@@ -149,7 +151,7 @@ def unit_encoder(path):
         own = np.repeat(one, per_unit)
         order[own], order[~own] = codes[one], found
         special = {k: p for k, p in enumerate(number) if type(p) is int}
-        flat, sizes = arrays.encode(["" if type(p) is int else p for p in number])
+        flat, sizes = encode(["" if type(p) is int else p for p in number])
         if special:
             # Specials have no bytes, so a place is made for each.
             places = np.array(list(special))
@@ -166,4 +168,28 @@ def unit_encoder(path):
 @lru_cache(maxsize=2)
 def table_of(path):
     """The remembered units of a vocabulary file, one table for the life of a worker."""
-    return WordTable(unit_encoder(path))
+    merges = Merges(path)
+    return WordTable(unit_encoder(merges, ArrayMerges(merges).encode))
+
+
+class SpeculatedTable:
+    """Ids of texts; units not met before are speculated and verified, failing pieces merged in arrays."""
+
+    def __init__(self, path):
+        encoder = encoder_of(path)
+        exact = ArrayMerges(encoder.merges).encode
+        self.units = WordTable(unit_encoder(encoder.merges, lambda found: encoder.encode_flat(found, exact)))
+
+    def flat_of(self, texts):
+        """The ids of all texts one after the other, and the places where each text begins and the last ends."""
+        found, counts = pieces(pa.array(texts, pa.large_string()))
+        rows = self.units.rows_of(found)
+        places, sizes = ragged(self.units.offsets, rows)
+        flat = self.units.flat[places] if len(places) else np.zeros(0, np.uint16)
+        return flat, np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+
+
+@lru_cache(maxsize=2)
+def speculated_table_of(path):
+    """One table for the life of a worker."""
+    return SpeculatedTable(path)

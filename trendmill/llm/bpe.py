@@ -15,8 +15,11 @@ import json
 import unicodedata
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 
@@ -292,24 +295,45 @@ class Encoder:
             for pieces in split
         ]
 
-    def encode_pieces(self, pieces):
-        """Exact tokens of pieces: proposals whose pairs all pass, exact merging for the rest."""
-        data = [p.encode("utf-8", "surrogatepass") for p in pieces]
+    def _speculate(self, data):
+        """Proposals for byte strings, one after the other, their sizes, and which have a failing pair."""
         proposals = [propose(self.merges, d) for d in data]
-        sizes = [len(p) for p in proposals]
-        flat = np.array([i for p in proposals for i in p], np.int64)
-        owner = np.repeat(np.arange(len(pieces)), sizes)
+        sizes = np.fromiter(map(len, proposals), np.int64, len(proposals))
+        flat = np.fromiter(chain.from_iterable(proposals), np.int64, int(sizes.sum()))
+        owner = np.repeat(np.arange(len(data)), sizes)
         inside = owner[1:] == owner[:-1]
         pairs = (flat[:-1] << 32 | flat[1:])[inside]
-        failed = np.zeros(len(pieces), bool)
+        failed = np.zeros(len(data), bool)
         failed[owner[1:][inside][~self._verdict(pairs)]] = True
-        self.speculated += len(pieces)
+        self.speculated += len(data)
         self.corrected += int(failed.sum())
+        return flat, sizes, failed
+
+    def encode_pieces(self, pieces):
+        """Exact tokens of pieces: proposals whose pairs all pass, exact merging for the rest."""
+        data = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        flat, sizes, failed = self._speculate(data)
+        flat, ends = flat.tolist(), np.cumsum(sizes).tolist()
         return [
-            tuple(self.merges.merge(d) if bad else p)
-            for d, p, bad in zip(data, proposals, failed.tolist())
+            tuple(self.merges.merge(d) if bad else flat[end - size : end])
+            for d, size, end, bad in zip(data, sizes.tolist(), ends, failed.tolist())
         ]
 
+    def encode_flat(self, pieces, exact):
+        """As :meth:`encode_pieces`, but all ids in one array, and how many each piece has.
+
+        ``exact(pieces)`` merges the failing pieces exactly and returns the same.
+        """
+        flat, sizes, failed = self._speculate([p.encode("utf-8", "surrogatepass") for p in pieces])
+        if not failed.any():
+            return flat, sizes
+        merged, merged_sizes = exact([pieces[i] for i in np.flatnonzero(failed).tolist()])
+        passed = flat[np.repeat(~failed, sizes)]
+        sizes[failed] = merged_sizes
+        out, mended = np.empty(int(sizes.sum()), np.int64), np.repeat(failed, sizes)
+        out[mended], out[~mended] = merged, passed
+        return out, sizes
+
     def _verdict(self, pairs):
         """Which pairs are compatible; pairs not met before are decided once."""
         asked, back = np.unique(pairs, return_inverse=True)
@@ -389,34 +413,36 @@ def decode(tokens, path):
 def digests(docs, path, keep=(), ids=False):
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every row in one pass over the texts.
 
-    Columns named in ``keep`` follow ``doc_id``; with ``ids`` the tokens are returned as well. The digests are those of the decimal ids joined by blanks and of the decoded text; both are put
-    together from remembered strings of each word.
+    Columns named in ``keep`` follow ``doc_id``; with ``ids`` the tokens are returned as well. The digests
+    are those of the decimal ids joined by blanks and of the decoded text.
     """
     def make():
-        encoder = encoder_of(path)
-        merges = encoder.merges
-
-        def strings(words):
-            return [
-                (" ".join(map(str, ids)), decode_ids(merges, ids)) for ids in encoder.encode_words(words)
-            ]
-
-        remembered = Remembered(strings)
-        special = {i: (str(i), n) for n, i in merges.special.items()}
+        # That module builds on this one.
+        from trendmill.llm.array_bpe import speculated_table_of
+
+        table = speculated_table_of(path)
+        names = encoder_of(path).merges.names
+        written = [
+            pa.array([str(i) for i in range(max(names) + 1)], pa.large_string()),
+            pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string()),
+        ]
+        blank = pa.scalar(" ", pa.large_string())
 
         def run(texts):
-            parts, known = parts_and_values(encoder, texts, remembered)
-            known.update(special)
-            out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
-            for words in parts:
-                values = [known[w] for w in words] if words else ()
-                numbers, names = zip(*values) if values else ((), ())
-                joined = " ".join(numbers)
-                out["n_tokens"].append(joined.count(" ") + 1 if joined else 0)
-                out["ids_sha256"].append(sha256(joined.encode()).hexdigest())
-                out["decoded_sha256"].append(sha256(" ".join(names).encode()).hexdigest())
-                if ids:
-                    out["ids"].append(np.fromstring(joined, np.int32, sep=" "))
+            flat, edges = table.flat_of(texts)
+            offsets = pa.array(edges.astype(np.int32))
+            numbers, decoded = (
+                [
+                    sha256(t).hexdigest()
+                    for t in pc.binary_join(
+                        pa.ListArray.from_arrays(offsets, strings.take(pa.array(flat))), blank
+                    ).cast(pa.large_binary()).to_pylist()
+                ]
+                for strings in written
+            )
+            out = {"n_tokens": pa.array(np.diff(edges)), "ids_sha256": numbers, "decoded_sha256": decoded}
+            if ids:
+                out["ids"] = pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32)))
             return out
 
         return run
