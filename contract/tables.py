@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from contract import query
 from contract.bronze import _STORY_SQL
+from contract.sql import spread
 from trendmill import constants as c
 from trendmill.functions.scalars import ntz
 from trendmill.operators import layout, versions
 from trendmill.operators.bucketed import upsert_bucketed
 from trendmill.operators.merge import merge_upsert, upsert_table
-from trendmill.plans import refresh
+from trendmill.plans import refresh, whole
 from trendmill.session import work_path, written
 from trendmill.sources import feeds, landing
 from trendmill.sources import standins as s
@@ -115,6 +116,47 @@ def late_batch(spark, folder):
     return refresh.current_signals(spark, f"{work}/silver").select("signal_id", "title")
 
 
+@query("whole_run", f"""
+WITH days AS (
+  SELECT ts::DATE AS day FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT ({spread('page_id')})::DATE FROM pages)
+SELECT 'ingest {c.STORIES}' AS step, 'SUCCESS' AS status, count(*)::VARCHAR AS result FROM ({_STORY_SQL})
+UNION ALL SELECT 'ingest {c.QUESTIONS}', 'SUCCESS', count(*)::VARCHAR FROM pages
+UNION ALL SELECT 'ingest {c.REPOS}', 'FAILED', NULL
+UNION ALL SELECT 'silver', 'SUCCESS', count(*)::VARCHAR FROM days
+UNION ALL SELECT 'gold', 'SUCCESS', count(*)::VARCHAR FROM days
+  WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+UNION ALL SELECT 'read by name', 'SUCCESS', count(*)::VARCHAR FROM days
+  WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'""")
+def one_whole_run(spark, folder):
+    """A run over two feeds and one that can't be read, then a gold table read by its name."""
+    database = f"run_{uuid.uuid4().hex}"
+
+    def unreadable():
+        return spark.read.parquet(work_path(spark, "never-landed"))
+
+    log = whole.whole_run(
+        spark,
+        {
+            c.STORIES: feeds.stories(s.story_records(table(spark, folder, "events"))),
+            c.REPOS: unreadable,
+            c.QUESTIONS: feeds.questions(s.question_records(table(spark, folder, "pages"))),
+        },
+        work_path(spark, "whole-run"), database, "b1", s.AS_OF, "2024-01-01", "2024-01-31",
+    )
+    total = spark.table(f"{database}.source_summary").agg(
+        F.lit("read by name").alias("step"), F.lit("SUCCESS").alias("status"),
+        F.sum("signal_count").cast("string").alias("result"),
+    )
+    found = written(
+        log.select("step", "status", F.when(F.col("status") != "FAILED", F.col("result")).alias("result"))
+        .unionByName(total),
+        "run-log",
+    )
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
+
+
 def change_log(spark, folder):
     """Three commits on three days, written to and read back from a change log."""
     path = work_path(spark, "customer-log")
