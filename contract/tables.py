@@ -1,6 +1,7 @@
 """Merge, versions and layout."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -158,13 +159,22 @@ def one_whole_run(spark, folder):
 
 
 def change_log(spark, folder):
-    """Three commits on three days, written to and read back from a change log."""
-    path = work_path(spark, "customer-log")
-    customer = table(spark, folder, "customer")
-    versions.write_commit(customer, path, 1, "2024-01-01", "CREATE")
-    versions.write_commit(indebted(spark, folder), path, 2, "2024-01-02", "MERGE")
-    versions.write_commit(incoming(spark, folder), path, 3, "2024-01-03", "MERGE")
-    return versions.read_log(spark, path, customer.schema)
+    """Changes of three days in one table, each row with its version, time and operation."""
+    changes = [
+        (table(spark, folder, "customer"), "2024-01-01", "CREATE"),
+        (indebted(spark, folder), "2024-01-02", "MERGE"),
+        (incoming(spark, folder), "2024-01-03", "MERGE"),
+    ]
+    return written(
+        reduce(
+            lambda a, b: a.unionByName(b),
+            [
+                versions.as_commit(rows, number, day, operation)
+                for number, (rows, day, operation) in enumerate(changes, 1)
+            ],
+        ),
+        "customer-changes",
+    )
 
 
 @query("table_history", """
