@@ -23,12 +23,12 @@ _FILES = 4
 
 
 def _land(rows, path, n=0):
-    """Lands rows as one more file set; streams take them in the order they land."""
+    """Lands rows as one more file set; a run after it takes the set as one micro-batch, whatever its files."""
     rows.write.mode("append").parquet(f"{path}/{n}")
 
 
 def _stream(spark, path, like):
-    return loads.landed_parquet(spark, f"{path}/*", like.schema, files_per_batch=1)
+    return loads.landed_parquet(spark, f"{path}/*", like.schema)
 
 
 def _share(events, n):
@@ -91,15 +91,15 @@ def stream_unified(spark, folder):
     """Four feeds fetched twice, landing unevenly, in one stream and one table."""
     work, bronze = work_path(spark, "stream-unified"), bronze_by_source(spark, folder)
     name = f"signals_{uuid.uuid4().hex}"
+    streams = {source: _stream(spark, f"{work}/{source}", rows) for source, rows in bronze.items()}
+    signals = loads.one_stream(streams, ntz(PROCESSED_AT))
     for n, batch in enumerate(["b1", "b2"]):
-        # Half of the feeds are a run ahead of the others.
-        for m, (source, rows) in enumerate(bronze.items()):
-            _land(rows.where(F.col("_batch_id") == batch), f"{work}/{source}", n)
-            if m % 2 == n:
-                _land(rows.where(F.col("_batch_id") == batch), f"{work}/{source}", f"again-{n}")
-        streams = {source: _stream(spark, f"{work}/{source}", rows) for source, rows in bronze.items()}
-        signals = loads.one_stream(streams, ntz(PROCESSED_AT))
-        loads.upsert_signals(signals, name, f"{work}/progress")
+        # Half of the feeds are a run ahead of the others, and land once more beside them.
+        ahead = [source for m, source in enumerate(bronze) if m % 2 == n]
+        for run, sources in enumerate([ahead, list(bronze)]):
+            for source in sources:
+                _land(bronze[source].where(F.col("_batch_id") == batch), f"{work}/{source}", f"{batch}-{run}")
+            loads.upsert_signals(signals, name, f"{work}/progress")
     found = written(spark.table(name).drop(*PREFERENCE), "unified")
     spark.sql(f"DROP TABLE {name}")
     return found

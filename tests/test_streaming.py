@@ -1,8 +1,12 @@
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
+from contract import streams
+from trendmill import constants as c
+
 from trendmill.functions.scalars import ntz
 from trendmill.operators.versions import read_log
 from trendmill.streaming import loads
@@ -169,3 +173,43 @@ def test_one_stream_over_uneven_feeds(spark, tmp_path):
         assert run(str(tmp_path / "mark2")) == whole()
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _micro_batches(spark, tmp_path, monkeypatch, query):
+    """Micro-batches that a query runs when its tables come, and so land, in eight files each."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name in os.listdir(SMALL):
+        if name in ("events.parquet", "documents.parquet"):
+            spark.read.parquet(f"{SMALL}/{name}").repartition(8).write.parquet(str(folder / name))
+        else:
+            (folder / name).symlink_to(f"{SMALL}/{name}")
+    work = tmp_path / "work"
+    monkeypatch.setattr(streams, "work_path", lambda spark, label: str(work))
+    # Every file is a partition of its own.
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+    try:
+        assert query(spark, str(folder)).count()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    return sum(n.isdigit() for progress in work.rglob("progress/commits") for n in os.listdir(progress))
+
+
+def test_a_landing_of_one_stream_is_a_micro_batch_whatever_its_files(spark, tmp_path, monkeypatch):
+    # Four runs, with a batch without rows where the watermark moved.
+    assert _micro_batches(spark, tmp_path, monkeypatch, streams.stream_unified) <= 8
+
+
+def test_state_of_one_stream_tells_rows_apart_by_all_their_digits(spark, tmp_path):
+    """Two fetches within a millisecond are two rows; the state's digest must not round their times."""
+    schema = "id long, `by` string, title string, url string, score int, time long, text string, _ingested_at timestamp_ntz"
+    at = [dt.datetime(2024, 1, 1, 0, 0, 0, micros) for micros in (100, 200, 200)]
+    spark.createDataFrame([(1, "a", "t", "u", 5, 0, "x", t) for t in at], schema).write.parquet(f"{tmp_path}/land")
+    rows = loads.landed_parquet(spark, f"{tmp_path}/land")
+    stream = loads.one_stream({c.STORIES: rows}, ntz(T0.isoformat()))
+    loads.append_new(stream, f"{tmp_path}/data", f"{tmp_path}/mark")
+    found = spark.read.parquet(f"{tmp_path}/data")
+    assert sorted(r["_fetched_at"].microsecond for r in found.collect()) == [100, 200]

@@ -179,7 +179,10 @@ def one_stream(bronze_by_source, processed_at=None, horizon="1 day"):
             streams.append(rows.select("*", at).withWatermark("_event_time", horizon))
     united = reduce(lambda a, b: a.unionByName(b), streams)
     same = ["signal_id", "_fetched_at", "title", "body", "url", "author", "score", "created_at", "tags", "language", "_ties"]
-    return united.dropDuplicatesWithinWatermark(same).drop("_event_time")
+    # The state holds a digest of a row instead of its texts. JSON would cut times to milliseconds.
+    exact = [F.col(n).cast("string").alias(n) if n in ("_fetched_at", "created_at") else F.col(n) for n in same]
+    digest = F.sha2(F.to_json(F.struct(*exact)), 256)
+    return united.withColumn("_same", digest).dropDuplicatesWithinWatermark(["_same"]).drop("_same", "_event_time")
 
 
 def upsert_signals(signals, name, checkpoint, buckets=16):
