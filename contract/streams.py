@@ -50,15 +50,15 @@ def stream_incremental(spark, folder):
 SELECT user_id, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) = 1""")
 def stream_upsert(spark, folder):
-    """Best event of each user across micro-batches of one file each; users occur in many."""
+    """Best event of each user across micro-batches of one landing each; users occur in many."""
     work, events = work_path(spark, "stream-upsert"), table(spark, folder, "events")
-    for n in range(_FILES):
-        _land(_share(events, n), f"{work}/landed", n)
     order = [F.col("value").desc(), F.col("event_id").asc()]
     # Events without a user belong together under a key of their own.
     key = F.coalesce(F.col("user_id").cast("string"), F.lit("none")).alias("key")
     rows = _stream(spark, f"{work}/landed", events).select(key, "user_id", "event_id", "value")
-    loads.upsert_new(rows, f"{work}/log", f"{work}/progress", ["key"], order)
+    for n in range(_FILES):
+        _land(_share(events, n), f"{work}/landed", n)
+        loads.upsert_new(rows, f"{work}/log", f"{work}/progress", ["key"], order)
     log = spark.read.parquet(f"{work}/log")
     return loads.current_rows(log, ["key"], order).select("user_id", "event_id", "value")
 
@@ -69,8 +69,6 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) =
 def stream_upsert_bucketed(spark, folder):
     """Best event of each user in a bucketed table that every micro-batch is merged into."""
     work, events = work_path(spark, "stream-bucketed"), table(spark, folder, "events")
-    for n in range(_FILES):
-        _land(_share(events, n), f"{work}/landed", n)
     order = [F.col("value").desc(), F.col("event_id").asc()]
     name = f"best_events_{uuid.uuid4().hex}"
     rows = _stream(spark, f"{work}/landed", events).select("user_id", "event_id", "value")
@@ -80,7 +78,9 @@ def stream_upsert_bucketed(spark, folder):
             (new("value") == old("value")) & (new("event_id") < old("event_id"))
         )
 
-    loads.upsert_new_bucketed(rows, name, f"{work}/progress", ["user_id"], order, better=better)
+    for n in range(_FILES):
+        _land(_share(events, n), f"{work}/landed", n)
+        loads.upsert_new_bucketed(rows, name, f"{work}/progress", ["user_id"], order, better=better)
     found = written(spark.table(name), "best-events")
     spark.sql(f"DROP TABLE {name}")
     return found
@@ -112,10 +112,10 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) =
 def stream_best_row(spark, folder):
     """The last change of each user's best event; state holds one row a user."""
     work, events = work_path(spark, "stream-best"), table(spark, folder, "events")
+    changes = loads.best_rows(_stream(spark, f"{work}/landed", events), "user_id", "value", "event_id")
     for n in range(_FILES):
         _land(_share(events, n), f"{work}/landed", n)
-    changes = loads.best_rows(_stream(spark, f"{work}/landed", events), "user_id", "value", "event_id")
-    loads.write_changes(changes, f"{work}/changes", f"{work}/progress")
+        loads.write_changes(changes, f"{work}/changes", f"{work}/progress")
     log = spark.read.schema("key string, score double, tie long, _batch long").parquet(f"{work}/changes")
     return keep_one(log, ["key"], [F.col("_batch").desc()]).drop("_batch")
 
@@ -137,15 +137,13 @@ def stream_weekly_tags(spark, folder):
     start, end = (F.lit(span[0]).cast("timestamp"), F.lit(span[1]).cast("timestamp"))
     width = (F.unix_seconds(end) - F.unix_seconds(start)) / _FILES + 1
     place = F.floor((F.unix_seconds("created_at") - F.unix_seconds(start)) / width)
-    for n in range(_FILES):
-        _land(signals.where(place == n).coalesce(1), f"{work}/landed", n)
     later = spark.range(1).select(
         (end + F.expr("interval 60 days")).alias("created_at"), F.array(F.lit("-")).alias("tags")
     )
-    for n in range(2):
-        _land(later, f"{work}/landed", _FILES + n)
     weeks = loads.weekly_tags(_stream(spark, f"{work}/landed", signals), "created_at", "1 day")
-    loads.append_new(weeks, f"{work}/data", f"{work}/progress")
+    for n in range(_FILES + 2):
+        _land(signals.where(place == n) if n < _FILES else later, f"{work}/landed", n)
+        loads.append_new(weeks, f"{work}/data", f"{work}/progress")
     return spark.read.schema("term string, week_start date, count long").parquet(f"{work}/data")
 
 
@@ -161,10 +159,10 @@ def stream_quality_log(spark, folder):
         for n in range(2):
             _land(_share(events, n).unionAll(_share(events, n + 2)).where(F.col("event_type") == kind),
                   f"{work}/{kind}/landed", n)
-        loads.append_checked(
-            _stream(spark, f"{work}/{kind}/landed", events), f"{work}/{kind}/data", f"{work}/{kind}/progress",
-            f"{work}/{kind}/log", kind, ["user_id", "value"],
-        )
+            loads.append_checked(
+                _stream(spark, f"{work}/{kind}/landed", events), f"{work}/{kind}/data", f"{work}/{kind}/progress",
+                f"{work}/{kind}/log", kind, ["user_id", "value"],
+            )
         log = spark.read.parquet(f"{work}/{kind}/log")
         logs = log if logs is None else logs.unionByName(log)
 
@@ -179,7 +177,7 @@ def stream_quality_log(spark, folder):
 
 @query("stream_dedup", "SELECT event_id, event_type FROM events")
 def stream_dedup(spark, folder):
-    """Every event lands again one file later; state covers two files' time, not the whole span."""
+    """Every event lands again one landing later; state covers two landings' time, not the whole span."""
     work = work_path(spark, "stream-dedup")
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     span = events.agg(
@@ -190,11 +188,11 @@ def stream_dedup(spark, folder):
     events = events.withColumn("ts", F.coalesce("ts", start))
     width = ((span["last"] or 0) - (span["first"] or 0)) // _FILES + 1
     place = F.expr(f"(unix_seconds(ts) - {span['first'] or 0}) div {width}")
-    for n in range(_FILES + 1):
-        _land(events.where(place.between(n - 1, n)).coalesce(1), f"{work}/landed", n)
     stream = _stream(spark, f"{work}/landed", events)
     unique = loads.drop_repeats(stream, ["event_id"], "ts", f"{2 * width} seconds")
-    loads.append_new(unique, f"{work}/data", f"{work}/progress")
+    for n in range(_FILES + 1):
+        _land(events.where(place.between(n - 1, n)), f"{work}/landed", n)
+        loads.append_new(unique, f"{work}/data", f"{work}/progress")
     return spark.read.parquet(f"{work}/data").select("event_id", "event_type")
 
 

@@ -213,3 +213,17 @@ def test_state_of_one_stream_tells_rows_apart_by_all_their_digits(spark, tmp_pat
     loads.append_new(stream, f"{tmp_path}/data", f"{tmp_path}/mark")
     found = spark.read.parquet(f"{tmp_path}/data")
     assert sorted(r["_fetched_at"].microsecond for r in found.collect()) == [100, 200]
+
+
+def test_a_landing_is_a_micro_batch_for_best_rows(spark, tmp_path, monkeypatch):
+    # One each for four landings; state of an aggregate needs no batch without rows.
+    assert _micro_batches(spark, tmp_path, monkeypatch, streams.stream_best_row) == 4
+
+
+def test_best_rows_take_ties_at_both_ends_of_a_long(spark, tmp_path):
+    files = [[("a", 1.0, 2**63 - 1), ("a", 1.0, -(2**63)), ("a", float("nan"), 7)]]
+    stream = _landed(spark, str(tmp_path / "in"), files, "key string, score double, tie long")
+    rows = loads.best_rows(stream.where("not isnan(score)"), "key", "score", "tie")
+    loads.write_changes(rows, str(tmp_path / "out"), str(tmp_path / "progress"))
+    found = spark.read.schema("key string, score double, tie long").parquet(str(tmp_path / "out"))
+    assert [tuple(r) for r in found.select("key", "score", "tie").collect()] == [("a", 1.0, -(2**63))]

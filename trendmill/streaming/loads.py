@@ -8,10 +8,8 @@ import datetime as dt
 import json
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from trendmill.operators.bucketed import upsert_bucketed
 from trendmill.operators.dedup import keep_one, split_null_keys
@@ -239,29 +237,20 @@ def dropped_late(query):
 def best_rows(stream, key, score, tie):
     """Changes of the best row of each key: highest ``score``, of equal ones the smallest ``tie``.
 
-    The state has a score and a tie for each key; a micro-batch gives a row only for keys whose best
-    row changed. ``key`` is text, ``score`` a double and ``tie`` a long; rows that lack one are left out.
+    The state has a score, a tie and its time for each key; a micro-batch gives a row only for keys whose best
+    row changed. Rows are cut down to one a key in each task before they meet the state. ``key`` is text, ``score`` a double and ``tie`` a long; rows that lack one are left out.
     """
     rows = stream.select(
         F.col(key).cast("string").alias("key"), F.col(score).cast("double").alias("score"),
         F.col(tie).cast("long").alias("tie"),
     ).where("key is not null and score is not null and tie is not null")
 
-    def best(group, frames, state):
-        before = state.get if state.exists else None
-        now = before
-        for frame in frames:
-            top = frame[frame["score"] == frame["score"].max()]
-            found = (float(top["score"].iloc[0]), int(top["tie"].min()))
-            if now is None or (-found[0], found[1]) < (-now[0], now[1]):
-                now = found
-        if now != before:
-            state.update(now)
-            yield pd.DataFrame({"key": [group[0]], "score": [now[0]], "tie": [now[1]]})
-
-    return rows.groupBy("key").applyInPandasWithState(
-        best, "key string, score double, tie long", "score double, tie long", "update", GroupStateTimeout.NoTimeout
-    )
+    # The time of a micro-batch is one value, so a best row that has this one's came with it. Of equal rows the
+    # earliest stays. The complement turns the order of ties around and can't overflow.
+    now = -F.unix_micros(F.current_timestamp())
+    best = F.max(F.struct("score", F.bitwise_not("tie").alias("tie"), "at")).alias("best")
+    changed = rows.withColumn("at", now).groupBy("key").agg(best).where(F.col("best.at") == now)
+    return changed.select("key", "best.score", F.bitwise_not("best.tie").alias("tie"))
 
 
 def write_changes(stream, path, checkpoint):
