@@ -206,8 +206,8 @@ def stream_papers(spark, folder):
         first = F.monotonically_increasing_id().bitwiseAND(2**33 - 1) == 0
         feed = F.concat(F.when(first, "<feed>").otherwise(""), "value")
         entries.select(feed.alias("value")).write.text(f"{work}/landed/{n}")
-    papers = loads.landed_feed(spark, "papers", f"{work}/landed/*", files_per_batch=1)
-    loads.append_new(papers, f"{work}/data", f"{work}/progress")
+        papers = loads.landed_feed(spark, "papers", f"{work}/landed/*")
+        loads.append_new(papers, f"{work}/data", f"{work}/progress")
     return spark.read.parquet(f"{work}/data").drop("_raw_json")
 
 

@@ -227,3 +227,7 @@ def test_best_rows_take_ties_at_both_ends_of_a_long(spark, tmp_path):
     loads.write_changes(rows, str(tmp_path / "out"), str(tmp_path / "progress"))
     found = spark.read.schema("key string, score double, tie long").parquet(str(tmp_path / "out"))
     assert [tuple(r) for r in found.select("key", "score", "tie").collect()] == [("a", 1.0, -(2**63))]
+
+
+def test_a_landing_is_a_micro_batch_for_papers(spark, tmp_path, monkeypatch):
+    assert _micro_batches(spark, tmp_path, monkeypatch, streams.stream_papers) == 4
