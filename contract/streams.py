@@ -222,13 +222,13 @@ def reprocess_equals_incremental(spark, folder):
 
     work, events = work_path(spark, "stream-signals"), table(spark, folder, "events")
     fetches = [s.story_records(events), s.story_records_again(events)]
-    for n, records in enumerate(fetches):
-        _land(records, f"{work}/landed", n)
     landed = feeds.stories(_stream(spark, f"{work}/landed", fetches[0]))
     order = [F.col("score").desc(), F.col("body")]
-    loads.upsert_new(
-        landed, f"{work}/log", f"{work}/progress", ["signal_id"], order, prepare=signals
-    )
+    for n, records in enumerate(fetches):
+        _land(records, f"{work}/landed", n)
+        loads.upsert_new(
+            landed, f"{work}/log", f"{work}/progress", ["signal_id"], order, prepare=signals
+        )
     log = read_log(spark, f"{work}/log")
     incremental = loads.current_rows(log, ["signal_id"], order)
     full = keep_one(signals(feeds.stories(fetches[0].unionByName(fetches[1]))), ["signal_id"], order)

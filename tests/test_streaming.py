@@ -231,3 +231,7 @@ def test_best_rows_take_ties_at_both_ends_of_a_long(spark, tmp_path):
 
 def test_a_landing_is_a_micro_batch_for_papers(spark, tmp_path, monkeypatch):
     assert _micro_batches(spark, tmp_path, monkeypatch, streams.stream_papers) == 4
+
+
+def test_a_landing_is_a_micro_batch_for_reprocessing(spark, tmp_path, monkeypatch):
+    assert _micro_batches(spark, tmp_path, monkeypatch, streams.reprocess_equals_incremental) == 2
