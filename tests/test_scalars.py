@@ -104,3 +104,28 @@ def test_terms(spark):
     every = sorted(r["term"] for r in all_terms(frame, "source").collect())
     # "this" and "that" are stop words, "the" is too short before cleaning, "a.b.c" gives "abc".
     assert every == sorted(tags + ["c++", "compiler", "abc", "abcd", "c#11", "news", "news"])
+
+
+def test_iso_time_of_a_long_text_is_read_in_one_pass(spark):
+    """Each of its blanks would be a search of all that follows."""
+    import time
+
+    long = F.repeat(F.lit("T "), 150_000)
+    begun = time.monotonic()
+    found = spark.range(1).select(x.iso_to_timestamp(F.concat(long, F.lit("end."))).alias("t")).first()["t"]
+    assert found is None
+    assert time.monotonic() - begun < 20
+
+
+def test_iso_zones_are_told_apart(spark):
+    from datetime import datetime as d
+
+    cases = {
+        "2024-01-02T03:04:05Z": d(2024, 1, 2, 3, 4, 5), "2024-01-02 03:04:05+02:00": d(2024, 1, 2, 1, 4, 5),
+        "2024-01-02T03:04:05 UTC": d(2024, 1, 2, 3, 4, 5), "2024-01-02T03:04:05 Europe/Paris": d(2024, 1, 2, 2, 4, 5),
+        "2024-01-02": d(2024, 1, 2), "2024-01-02T03:04:05": d(2024, 1, 2, 3, 4, 5),
+        "Tuesday": None, " 2024-01-02T03:04:05Z ": d(2024, 1, 2, 3, 4, 5),
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "s string")
+    found = {r.s: r.t for r in rows.select("s", x.iso_to_timestamp("s").alias("t")).collect()}
+    assert found == cases

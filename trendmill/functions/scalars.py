@@ -46,7 +46,8 @@ def iso_to_timestamp(text):
     """ISO-8601 text to UTC time; text without a zone is UTC, unreadable text becomes NULL."""
     text = as_column(text)
     instant = F.try_to_timestamp(text)
-    zoned = F.trim(text).rlike(r"[T ].*(?:Z|[A-Za-z]{3,}|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2})$")
+    # Tied to the start and to the first T or blank, so a long text is searched once and not from each of its blanks.
+    zoned = F.trim(text).rlike(r"^[^T ]*[T ](?s:.*)(?:Z|[A-Za-z]{3}|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2})$")
     return F.when(
         zoned, F.timestamp_add("MICROSECOND", F.unix_micros(instant), ntz(_EPOCH))
     ).otherwise(text.try_cast("timestamp_ntz"))
