@@ -101,3 +101,14 @@ def test_grammar_of_long_and_wide_input():
     assert shard.span(70_001, 70_009).tolist() == ids[70_001:70_009].tolist()
     wide = np.concatenate([np.arange(60_000), np.tile([7, 8, 9], 500), [2**31]])
     assert (grammar.Shard(grammar.compress(wide)).all() == wide).all()
+
+
+def test_pairs_of_a_long_shard_are_counted_at_all_places():
+    """A pair that never stands at a fourth place gets its rule, in a long input as in a short one."""
+    for blocks in (1_000, 50_000):
+        ids = np.empty((blocks, 4), np.int64)
+        ids[:, 0], ids[:, 3] = 10 + np.arange(2 * blocks).reshape(2, blocks)
+        ids[:, 1:3] = 1, 2
+        shard = grammar.Shard(grammar.compress(ids.ravel()))
+        assert len(shard.seq) == 3 * blocks
+        assert (shard.all() == ids.ravel()).all()

@@ -3,8 +3,8 @@
 A shard's ids become symbols. Rounds replace the most frequent neighbouring pairs by new symbols until
 little is gained; each new symbol has a rule of two earlier ones and the number of ids it
 stands for. A round takes many pairs at once: where two frequent pairs overlap, the more frequent one
-wins, and the other is met again in the next round. Which pairs are frequent is learned from every
-fourth place; the uses that decide whether a rule stays are counted at all places.
+wins, and the other is met again in the next round. Pairs are counted at all places of a shard, whatever its
+length, and so are the uses that decide whether a rule stays.
 """
 
 import struct
@@ -19,8 +19,6 @@ _HEADER = struct.Struct("<4sQIIIQ")
 LEAST_USES, ROUND_RULES, ROUNDS = 4, 8192, 8
 #: A round must take away one symbol in so many, else it is the last.
 LEAST_GAIN = 40
-#: Pairs are counted at one place in so many of a long shard.
-EVERY, LONG = 4, 100_000
 #: Symbols between two stored places.
 STEP = 1024
 _SLOT_BITS = 18
@@ -52,9 +50,8 @@ def compress(ids, least_uses=LEAST_USES, rounds=ROUNDS):
         if len(seq) < 2 or total >= room:
             break
         codes = seq[:-1] << kind(half) | seq[1:]
-        every = EVERY if len(codes) > LONG else 1
-        pairs, counts = _counted(codes[::every])
-        often = np.flatnonzero(counts >= max(2, least_uses // every))
+        pairs, counts = _counted(codes)
+        often = np.flatnonzero(counts >= max(2, least_uses))
         most = min(ROUND_RULES, room - total)
         if len(often) > most:
             often = often[np.argpartition(-counts[often], most - 1)[:most]]
