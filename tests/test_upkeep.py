@@ -196,3 +196,16 @@ def test_bucketed_upsert_shuffles_the_source_only(spark):
     spark.sql(f"ALTER TABLE {name} RENAME TO {name}__next")
     assert bucketed.upsert_bucketed(spark, change, name, ["id"], 8).count() == 101
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_changes_are_counted_once(spark):
+    rows = gold.in_range(
+        spark.createDataFrame(
+            [("a", "s", "Rust-like (c++) Straße", dt.datetime(2024, 1, 2), ["go"])],
+            "signal_id string, source string, title string, created_at timestamp_ntz, tags array<string>",
+        ), "2024-01-01", "2024-01-30",
+    )
+    changes = upkeep.count_changes(rows.where("false"), rows)
+    assert {r.term: r.change for r in changes.collect()} == {"go": 1, "rustlike": 1, "c++": 1, "strae": 1}
+    # Days, counts and emptied days are read from what was written; no text is split again.
+    assert "Generate" not in changes._jdf.queryExecution().optimizedPlan().toString()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trendmill.functions.terms import all_terms
 from trendmill.operators.ranking import rank_all
+from trendmill.session import written
 
 _KEY = ["term", "source", "date"]
 
@@ -15,13 +16,15 @@ _KEY = ["term", "source", "date"]
 def count_changes(before, after):
     """``term``, ``source``, ``date``, ``change`` from the old and the new rows of changed signals.
 
-    ``before`` has the rows as they were counted, ``after`` as they are now; either may lack a signal.
+    ``before`` has the rows as they were counted, ``after`` as they are now; either may lack a signal. The
+    changes are written, as the days they touch, the counts and the emptied days all read them.
     """
     def signed(rows, sign):
         return all_terms(rows, "source", "date").select(*_KEY, F.lit(sign).cast("long").alias("change"))
 
     both = signed(before, -1).unionAll(signed(after, 1))
-    return both.groupBy(*_KEY).agg(F.sum("change").alias("change")).where("change <> 0")
+    changes = both.groupBy(*_KEY).agg(F.sum("change").alias("change")).where("change <> 0")
+    return written(changes, "term-changes")
 
 
 def apply_changes(frequencies, changes):
