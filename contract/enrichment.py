@@ -191,8 +191,8 @@ def enrich_resume(spark, folder):
         if versions.last_version(spark, log_path, ENRICHED_SCHEMA):
             log = versions.read_log(spark, log_path, ENRICHED_SCHEMA)
             done = merge_upsert(before, versions.as_of(log, ["signal_id"]), ["signal_id"])
-        chosen = enrichment.candidates(signals, done)
-        enrichment.commit_in_batches(spark, chosen, log_path, scorer_of_words(), MODEL, clock, 4)
+        keys = enrichment.candidate_keys(signals, done)
+        enrichment.commit_in_batches(spark, keys, log_path, scorer_of_words(), MODEL, clock, 4, signals)
 
     stops = iter([RUN_AT, RUN_AT])
     with suppress(StopIteration):

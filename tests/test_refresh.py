@@ -145,6 +145,23 @@ def test_enrichment_commits_by_batch(spark, tmp_path):
     assert left.count() == 10
 
 
+def test_only_keys_of_a_choice_are_written(spark, tmp_path):
+    frame = spark.range(30).select(
+        F.md5(F.col("id").cast("string")).alias("signal_id"), F.lit("s").alias("source"),
+        F.concat(F.lit("cloud "), "id").alias("title"), F.lit("b").alias("body"),
+        F.array(F.lit("x")).alias("tags"), F.col("id").cast("int").alias("score"),
+    ).unionAll(spark.sql("SELECT NULL, 's', 'no key', 'b', array('x'), 99"))
+    log_path = str(tmp_path / "log")
+    keys = enrichment.candidate_keys(frame, frame.where("score < 10").withColumn("category", F.lit("Web")))
+    done = enrichment.commit_in_batches(
+        spark, keys, log_path, enrichment.keyword_scorer({"Cloud": ["cloud"]}), "m",
+        lambda: dt.datetime(2024, 1, 1), 4, frame,
+    )
+    assert done.columns == ["signal_id"] and done.count() == 20
+    log = versions.read_log(spark, log_path)
+    assert {r.summary for r in log.collect()} == {f"cloud {i}" for i in range(10, 30)} and log.count() == 20
+
+
 def test_broken_off_enrichment_is_continued(spark, tmp_path):
     frame = spark.range(30).select(
         F.md5(F.col("id").cast("string")).alias("signal_id"), F.lit("s").alias("source"),

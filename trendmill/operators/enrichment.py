@@ -26,17 +26,23 @@ def candidates(signals, enriched=None, max_signals=None, retry_errors=False):
     """Signals without an enrichment row, all of them while there is no table.
 
     ``max_signals`` keeps the best-scored ones only. The anti join and the top-k work on id and score
-    alone; texts are fetched for the chosen ids.
+    alone; texts are fetched for the chosen ids (see ``candidate_keys``).
     """
+    todo = candidate_keys(signals, enriched, max_signals, retry_errors)
+    return signals.join(todo, "signal_id", "left_semi").select(
+        "signal_id", "title", "body", "source", "tags"
+    )
+
+
+def candidate_keys(signals, enriched=None, max_signals=None, retry_errors=False):
+    """``signal_id`` of the rows of :func:`candidates`, without their texts."""
     todo = signals.select("signal_id", "score")
     if enriched is not None:
         done = enriched.where(F.col("category") != c.ERROR_CATEGORY) if retry_errors else enriched
         todo = todo.join(done.select("signal_id"), "signal_id", "left_anti")
     if max_signals is not None:
         todo = todo.orderBy(F.col("score").desc(), "signal_id").limit(max_signals)
-    return signals.join(todo.select("signal_id"), "signal_id", "left_semi").select(
-        "signal_id", "title", "body", "source", "tags"
-    )
+    return todo.select("signal_id")
 
 
 def prompt(body_chars=None):
@@ -239,21 +245,30 @@ def resume(signals, enriched, scorer, model, enriched_at, max_signals=None, batc
     return merge_upsert(enriched, fresh, ["signal_id"])
 
 
-def commit_in_batches(spark, chosen, log_path, scorer, model, clock, batches):
+def commit_in_batches(spark, chosen, log_path, scorer, model, clock, batches, signals=None):
     """Enriches the chosen signals in ``batches`` commits to a change log.
 
     A run that breaks off keeps the commits made so far, and the next run's candidates leave their
     signals out. The choice is written first, one folder a batch, so that every batch sees the same
-    one and reads its own rows only. Rows without a key belong to no batch and are left out.
+    one and reads its own rows only. Given ``signals``, a table that does not change meanwhile, only the
+    keys of the choice are written and each batch fetches its own texts from there. Rows without a key
+    belong to no batch and are left out.
     """
     path = work_path(spark, "enrich-candidates")
     numbered = chosen.where(F.col("signal_id").isNotNull()).withColumn("_batch", batch_number(batches))
+    if signals is not None:
+        numbered = numbered.select("signal_id", "_batch")
     numbered.write.partitionBy("_batch").parquet(path)
     numbered = spark.read.schema(numbered.schema).parquet(path)
     first = last_version(spark, log_path, ENRICHED) + 1
     for number in range(batches):
         batch = numbered.where(F.col("_batch") == number).drop("_batch")
         now = clock()
+        if signals is not None:
+            mine = signals.where(batch_number(batches) == number).select(
+                "signal_id", "title", "body", "source", "tags"
+            )
+            batch = mine.join(batch, "signal_id", "left_semi")
         rows = apply_scorer(batch, scorer, model, now)
         write_commit(rows, log_path, first + number, now, "ENRICH")
     return numbered.drop("_batch")

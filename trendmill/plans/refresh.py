@@ -272,10 +272,9 @@ def refresh_enriched(
     """
     log = read_if_written(lambda p: versions.read_log(spark, p, schemas.ENRICHED), log_path)
     done = None if log is None else versions.as_of(log, ["signal_id"])
-    chosen = enrichment.candidates(
-        current_signals(spark, silver_path), done, retry_errors=retry_errors
-    )
-    enrichment.commit_in_batches(spark, chosen, log_path, scorer, model, clock, batches)
+    signals = current_signals(spark, silver_path)
+    keys = enrichment.candidate_keys(signals, done, retry_errors=retry_errors)
+    enrichment.commit_in_batches(spark, keys, log_path, scorer, model, clock, batches, signals)
     current = versions.as_of(
         versions.read_log(spark, log_path, schemas.ENRICHED), ["signal_id"]
     )
