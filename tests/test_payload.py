@@ -45,3 +45,17 @@ def test_fields_by_path(spark):
     found = [tuple(r) for r in rows.collect()]
     assert found[0] == (1, "x", 1.5)
     assert found[1:] == [(None, None, None)] * (len(ODD) - 1)
+
+
+def test_values_are_exploded_and_not_gone_through_in_lambdas(spark):
+    rows = spark.range(500).selectExpr(
+        """concat('{"a":[[],[1,', id, ',null],{}],"x y":{"b":"', id, '"}}') AS _raw_json"""
+    )
+    found = payload.census(rows)
+    assert {(r["path"], r["type"]): r["count"] for r in found.collect()} == {
+        ("$", "OBJECT"): 500, ("$.a", "ARRAY"): 500, ("$.a[]", "ARRAY"): 1000, ("$.a[]", "OBJECT"): 500,
+        ("$.a[][]", "BIGINT"): 1000, ("$.a[][]", "VOID"): 500, ("$['x y']", "OBJECT"): 500,
+        ("$['x y'].b", "STRING"): 500,
+    }
+    # Nothing is done value by value in lambdas.
+    assert "lambdafunction" not in found._jdf.queryExecution().executedPlan().toString()

@@ -29,51 +29,48 @@ def _step(key):
     return F.when(key.rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), key)).otherwise(quoted)
 
 
-def _inside(node):
-    """Paths and values right inside an object or array; nothing inside other values."""
-    path, value = node["path"], node["value"]
-    held = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
-    fields = F.transform(
-        held, lambda e: F.struct(F.concat(path, _step(e["key"])).alias("path"), e["value"].alias("value"))
-    )
-    items = F.transform(
-        F.try_variant_get(value, "$", "array<variant>"),
-        lambda x: F.struct(F.concat(path, F.lit("[]")).alias("path"), x.alias("value")),
-    )
-    nothing = F.array().cast("array<struct<path:string,value:variant>>")
-    return F.coalesce(F.when(node["kind"] == "OBJECT", fields).when(node["kind"] == "ARRAY", items), nothing)
-
-
-def _with_kind(nodes):
-    return F.transform(nodes, lambda n: F.struct(
-        n["path"].alias("path"), n["value"].alias("value"),
-        # A null inside an array has no variant of its own.
-        F.coalesce(kind(n["value"]), F.lit("VOID")).alias("kind"),
-    ))
-
-
 def census(rows, column="_raw_json", levels=4):
     """``path``, ``type`` and ``count`` of all values in the payloads, down to ``levels`` below the root.
 
     Items of an array share the path ``…[]``. An object or array at the last level is counted as such,
     without what is inside. Payloads that are no JSON, or NULL, count as type ``BROKEN`` at the root. A path with
     values of several types has a row each. One scan; counts are added up before they are shuffled.
+
+    Each level is exploded into a row per value inside, so a row in the end stands for a value with nothing below
+    it. Rows are counted by keys and types; paths are only put together for the kinds of rows that there are.
+    A value with others inside is counted with the first of them.
     """
-    whole = as_variant(column)
-    nodes = _with_kind(F.array(F.struct(F.lit("$").alias("path"), whole.alias("value"))))
-    found = rows.select(nodes.alias("_0"), whole.isNull().alias("_broken"))
+    spark = rows.sparkSession
+    found, held = rows.select(as_variant(column).alias("_v0")), []
     for level in range(levels):
-        inner = F.flatten(F.transform(f"_{level}", _inside))
-        found = found.withColumn(f"_{level + 1}", _with_kind(inner))
-    plain = [
-        F.transform(f"_{level}", lambda n: F.struct(n["path"].alias("path"), n["kind"].alias("type")))
-        for level in range(levels + 1)
-    ]
-    broken = F.array(F.struct(F.lit("$").alias("path"), F.lit(BROKEN).alias("type")))
-    each = F.when(F.col("_broken"), broken).otherwise(F.concat(*plain))
+        inside = spark.tvf.variant_explode_outer(F.col(f"_v{level}").outer())
+        # Types of objects and arrays are told by what is inside; others have short ones.
+        itself = F.when(F.col("key").isNotNull(), "OBJECT").when(F.col("pos").isNotNull(), "ARRAY")
+        found = found.lateralJoin(inside).select(
+            *held,
+            itself.otherwise(F.schema_of_variant(f"_v{level}")).alias(f"_t{level}"),
+            F.col("key").alias(f"_k{level + 1}"), F.col("pos").isNotNull().alias(f"_in{level + 1}"),
+            (F.coalesce("pos", F.lit(0)) == 0).alias(f"_first{level + 1}"), F.col("value").alias(f"_v{level + 1}"),
+        )
+        held = found.columns[:-1]
+    last = kind(F.col(f"_v{levels}")).alias(f"_t{levels}")
+    found = found.select(*held, last).groupBy(*held, f"_t{levels}").agg(F.count(F.lit(1)).alias("_rows"))
+
+    path, nodes = F.lit("$"), []
+    for level in range(levels + 1):
+        there = F.lit(True)
+        if level:
+            key = F.col(f"_k{level}")
+            path = F.concat(path, F.when(key.isNull(), "[]").otherwise(_step(key)))
+            there = F.col(f"_in{level}")
+        for below in range(level + 1, levels + 1):
+            there = there & F.col(f"_first{below}")
+        # Only a payload that could not be read has no type.
+        type_ = F.coalesce(F.regexp_extract(f"_t{level}", "^[A-Z]+", 0), F.lit(BROKEN))
+        nodes.append(F.when(there, F.struct(path.alias("path"), type_.alias("type"))))
     return (
-        found.select(F.explode(each).alias("node")).groupBy("node.path", "node.type")
-        .agg(F.count(F.lit(1)).alias("count"))
+        found.select(F.explode(F.array_compact(F.array(*nodes))).alias("node"), "_rows")
+        .groupBy("node.path", "node.type").agg(F.sum("_rows").alias("count"))
     )
 
 
