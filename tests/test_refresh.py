@@ -125,6 +125,20 @@ def test_failed_run_is_repeated_under_its_version(spark, tmp_path):
     assert versions.read_log(spark, path("quality")).count() == 1
 
 
+def test_signals_are_written_once_before_silver(spark, tmp_path, monkeypatch):
+    """Judging writes the signals; metrics over good and rejected ones read that."""
+    path = lambda name: str(tmp_path / name)
+    labels, write = [], refresh.written
+    monkeypatch.setattr(refresh, "written", lambda rows, label: (labels.append(label), write(rows, label))[1])
+    rows = feeds.repos(spark.createDataFrame([('{"full_name":"a/b"}',), ('{"id":7}',)], "value string"))
+    landing.append_bronze(rows, path("repos"), c.REPOS, "b1", ntz("2024-01-05"))
+    counts = refresh.refresh_silver(
+        spark, {c.REPOS: path("repos")}, path("silver"), path("marks"), path("quality"), "2024-01-06"
+    )
+    assert counts == {c.REPOS: 2} and labels == ["silver-quality"]
+    assert versions.read_log(spark, path("silver")).count() == 1
+
+
 def test_enrichment_commits_by_batch(spark, tmp_path):
     frame = spark.range(30).select(
         F.md5(F.col("id").cast("string")).alias("signal_id"), F.lit("s").alias("source"),
