@@ -11,7 +11,7 @@ from trendmill.functions.scalars import ntz
 from trendmill.operators.dedup import keep_one
 from trendmill.operators.versions import read_log
 from trendmill.plans.silver import PREFERENCE, stories_to_signals
-from trendmill.session import work_path, written
+from trendmill.session import delete_path, path_bytes, work_path, written
 from trendmill.sources import feeds
 from trendmill.sources import standins as s
 from trendmill.sources.landing import with_ingestion_columns
@@ -20,15 +20,17 @@ from trendmill.streaming import loads
 
 
 _FILES = 4
+#: What lands at once is taken in parts of about so many bytes, but no more than about so many parts.
+_PART, _PARTS = 128 * 2**20, 6
 
 
 def _land(rows, path, n=0):
     """Lands rows as one more file set; a run after it takes the set as one micro-batch, whatever its files."""
-    rows.write.mode("append").parquet(f"{path}/{n}")
+    rows.write.mode("append").option("compression", "zstd").parquet(f"{path}/{n}")
 
 
-def _stream(spark, path, like):
-    return loads.landed_parquet(spark, f"{path}/*", like.schema)
+def _stream(spark, path, like, **options):
+    return loads.landed_parquet(spark, f"{path}/*", like.schema, **options)
 
 
 def _share(events, n):
@@ -88,18 +90,34 @@ def stream_upsert_bucketed(spark, folder):
 
 @query("stream_unified", UNIFIED_SQL)
 def stream_unified(spark, folder):
-    """Four feeds fetched twice, landing unevenly, in one stream and one table."""
+    """Four feeds fetched twice, landing unevenly, in one stream and one table.
+
+    A large landing is taken in a few parts, each of which goes from the landing zone once it is taken.
+    """
     work, bronze = work_path(spark, "stream-unified"), bronze_by_source(spark, folder)
     name = f"signals_{uuid.uuid4().hex}"
-    streams = {source: _stream(spark, f"{work}/{source}", rows) for source, rows in bronze.items()}
-    signals = loads.one_stream(streams, ntz(PROCESSED_AT))
     for n, batch in enumerate(["b1", "b2"]):
         # Half of the feeds are a run ahead of the others, and land once more beside them.
         ahead = [source for m, source in enumerate(bronze) if m % 2 == n]
         for run, sources in enumerate([ahead, list(bronze)]):
             for source in sources:
                 _land(bronze[source].where(F.col("_batch_id") == batch), f"{work}/{source}", f"{batch}-{run}")
-            loads.upsert_signals(signals, name, f"{work}/progress")
+            landed = {source: path_bytes(spark, f"{work}/{source}/{batch}-{run}") for source in sources}
+            parts = min(_PARTS, 1 + sum(landed.values()) // _PART)
+            streams = {
+                source: _stream(
+                    spark, f"{work}/{source}", rows, bytes_per_batch=1 + landed.get(source, 0) // parts, keep=False
+                )
+                for source, rows in bronze.items()
+            }
+
+            def clear():
+                for source in sources:
+                    delete_path(spark, f"{work}/{source}/{batch}-{run}")
+
+            loads.upsert_signals(
+                loads.one_stream(streams, ntz(PROCESSED_AT)), name, f"{work}/progress", taken=clear
+            )
     found = written(spark.table(name).drop(*PREFERENCE), "unified")
     spark.sql(f"DROP TABLE {name}")
     return found

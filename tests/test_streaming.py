@@ -235,3 +235,81 @@ def test_a_landing_is_a_micro_batch_for_papers(spark, tmp_path, monkeypatch):
 
 def test_a_landing_is_a_micro_batch_for_reprocessing(spark, tmp_path, monkeypatch):
     assert _micro_batches(spark, tmp_path, monkeypatch, streams.reprocess_equals_incremental) == 2
+
+
+# --- one stream in parts ----------------------------------------------------------------------
+def _story_stream(spark, path, **options):
+    rows = loads.landed_parquet(spark, path, spark.read.parquet(path).schema, **options)
+    return loads.one_stream({c.STORIES: rows}, ntz(T0.isoformat()))
+
+
+def test_a_run_of_many_micro_batches_rewrites_the_table_once(spark, tmp_path, monkeypatch):
+    """The disk of a run's shuffles is that of a micro-batch; taken files go, and so does what was gathered."""
+    land, mark, name, merges = str(tmp_path / "land"), str(tmp_path / "mark"), "parted_signals", []
+    merge = loads.upsert_bucketed
+    monkeypatch.setattr(loads, "upsert_bucketed", lambda *a, **b: (merges.append(1), merge(*a, **b)))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for n in range(4):
+        _stories(spark, land, [(n, "a", 1, 0), (9, f"t{n}", n % 3, 0)])
+    left = []
+
+    def taken():
+        left.append(len(list((tmp_path / "land").glob("part-*"))))
+
+    try:
+        stream = _story_stream(spark, land, bytes_per_batch=1, keep=False)
+        query = loads.upsert_signals(stream, name, mark, buckets=2, taken=taken)
+        assert query.lastProgress["batchId"] >= 3 and len(merges) == 1 and left[0] <= 1
+        found = spark.table(name).select("url", "title", "score").collect()
+        assert sorted((r["url"], r["title"], r["score"]) for r in found) == [
+            ("u", "a", 1), ("u", "a", 1), ("u", "a", 1), ("u", "a", 1), ("u", "t2", 2)
+        ]
+        assert not spark.catalog.tableExists(f"{name}__gathered")
+        # A run without rows leaves the table as it is.
+        loads.upsert_signals(_story_stream(spark, land, keep=False), name, mark, buckets=2)
+        assert len(merges) == 1 and spark.table(name).count() == 5
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_what_a_broken_run_gathered_is_merged_by_the_next(spark, tmp_path, monkeypatch):
+    land, mark, name = str(tmp_path / "land"), str(tmp_path / "mark"), "broken_signals"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _stories(spark, land, [(1, "a", 1, 0), (2, "b", 1, 0)])
+
+    def broken():
+        raise OSError("broken off")
+
+    try:
+        try:
+            loads.upsert_signals(_story_stream(spark, land), name, mark, buckets=2, taken=broken)
+        except OSError:
+            pass
+        assert not spark.catalog.tableExists(name)
+        loads.upsert_signals(_story_stream(spark, land), name, mark, buckets=2)
+        assert sorted(r["title"] for r in spark.table(name).collect()) == ["a", "b"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_rows_of_a_signal_hold_no_text_twice_and_ties_are_those_of_the_batch(spark, tmp_path):
+    """Equal score and time: the smallest link, then text, NULLs first, in whatever order they land."""
+    from trendmill.plans import silver
+
+    schema = "arxiv_id string, title string, summary string, link string, authors string, categories string, published string, _ingested_at timestamp_ntz"
+    texts = [("t", "s2", "k"), ("t", "s1", "z"), ("t", "s1", "b"), ("t", "s1", None), ("u", None, None), ("t", None, "x")]
+    name = "tied_signals"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    land, mark = str(tmp_path / "land"), str(tmp_path / "mark")
+    try:
+        for n, (title, summary, link) in enumerate(texts):
+            row = ("p", title, summary, link, "[]", "[]", None, T0)
+            spark.createDataFrame([row], schema).coalesce(1).write.parquet(f"{land}/{n}")
+            rows = loads.landed_parquet(spark, f"{land}/*", spark.read.parquet(f"{land}/{n}").schema)
+            loads.upsert_signals(loads.one_stream({c.PAPERS: rows}, ntz(T0.isoformat())), name, mark, buckets=2)
+            whole = silver.papers_to_signals(spark.read.parquet(f"{land}/*"), ntz(T0.isoformat()))
+            kept = spark.table(name).first()
+            assert [kept[k] for k in ("title", "body", "url")] == list(whole.select("title", "body", "url").first())
+            assert "s1" not in kept["_ties"] and "s2" not in kept["_ties"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

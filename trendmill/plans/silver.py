@@ -91,15 +91,18 @@ TRANSFORMS = {
 }
 
 
-#: How each source picks one row a key: whether the score counts, and what decides between equals.
+#: How each source picks one row a key: whether the score counts, and what decides between equals before the signal's
+#: own body and url do. A story's text, a repository's description, and a paper's summary and link are those.
 _PICKS = {
-    c.STORIES: (True, ("title", "url", "text")),
-    c.REPOS: (False, ("id", "stargazers_count", "description")),
-    c.PAPERS: (False, ("title", "summary", "link")),
-    c.QUESTIONS: (True, ("title", "body", "link")),
+    c.STORIES: (True, ("title", "url")),
+    c.REPOS: (False, ("id", "stargazers_count")),
+    c.PAPERS: (False, ("title",)),
+    c.QUESTIONS: (True, ("title", "body")),
 }
-#: Order in which rows of one signal are preferred, for rows of :func:`fetched_signals`.
+#: Order in which rows of one signal are preferred, for rows of :func:`fetched_signals`; what is added to a signal for it.
 PREFERENCE = ("_by_score", "_fetched_at", "_ties")
+#: What goes on where these are equal.
+LAST_TIES = ("body", "url")
 _NO_SCORE = -(2**40)
 
 
@@ -107,7 +110,8 @@ def fetched_signals(source, bronze, processed_at=None):
     """Every bronze row as a signal, with the columns that say which row of a signal is preferred.
 
     Needs no other row, so it works on streams. Highest ``_by_score``, then ``_fetched_at``, then the smallest
-    ``_ties`` is the row that the source's transform would keep.
+    ``_ties``, then :data:`LAST_TIES` is the row that the source's transform would keep. ``_ties`` doesn't repeat the
+    long texts that the signal holds anyway.
     """
     by_score, ties = _PICKS[source]
     kinds = dict(bronze.dtypes)

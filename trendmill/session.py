@@ -1,5 +1,6 @@
 """Session settings and the shared work folder."""
 
+import gc
 import uuid
 from contextvars import ContextVar
 from functools import wraps
@@ -85,6 +86,30 @@ def read_if_written(read, path):
         return None
 
 
+def path_bytes(spark, path):
+    """Bytes of the files below a path."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def release_shuffles(spark):
+    """Frees the disk of shuffles that no DataFrame needs any more.
+
+    Spark removes their files when the driver collects garbage, which a driver with little to do hardly ever does.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_shuffles(rows):
+    """Frees the disk of the shuffles that a micro-batch was computed by, once it is stored and not read again.
+
+    The stream itself holds on to them until a later micro-batch, or its end.
+    """
+    rows._jdf.logicalPlan().rdd().cleanShuffleDependencies(False)
+
+
 def delete_path(spark, path):
     """Removes a file or folder through Spark's file system; True if there was one."""
     context = spark.sparkContext

@@ -6,25 +6,34 @@ with ``availableNow``: they take what has landed since the last run and stop.
 
 import datetime as dt
 import json
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from trendmill.operators.bucketed import upsert_bucketed
+from trendmill.operators.bucketed import append_bucketed, upsert_bucketed
 from trendmill.operators.dedup import keep_one, split_null_keys
 from trendmill.operators.versions import LOG_COLUMNS, as_of, write_commit
 from trendmill.plans import silver
 from trendmill.schemas import PAPER_ENTRY
+from trendmill.session import drop_shuffles, release_shuffles
 from trendmill.sources.feeds import READERS, paper_entries
 from trendmill.sources.landing import batch_id, with_ingestion_columns
 
 
-def landed_parquet(spark, path, schema=None, files_per_batch=None):
-    """Stream over landed parquet files."""
+def landed_parquet(spark, path, schema=None, files_per_batch=None, bytes_per_batch=None, keep=True):
+    """Stream over landed parquet files.
+
+    Without ``keep`` a file is deleted once its micro-batch has been committed and the next one begins.
+    """
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    if not keep:
+        reader = reader.option("cleanSource", "delete")
     return reader.parquet(path)
 
 
@@ -156,6 +165,16 @@ def append_checked(stream, path, checkpoint, log_path, source, required, clock=u
     return _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+@contextmanager
+def _setting(spark, key, value):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 #: How the watermarks of several feeds make one: the slowest feed's holds, so no feed's rows are late by another's.
 WATERMARK_POLICY = "min"
 _POLICY_SETTING = "spark.sql.streaming.multipleWatermarkPolicy"
@@ -177,36 +196,66 @@ def one_stream(bronze_by_source, processed_at=None, horizon="1 day"):
             streams.append(rows.select("*", at).withWatermark("_event_time", horizon))
     united = reduce(lambda a, b: a.unionByName(b), streams)
     same = ["signal_id", "_fetched_at", "title", "body", "url", "author", "score", "created_at", "tags", "language", "_ties"]
-    # The state holds a digest of a row instead of its texts. JSON would cut times to milliseconds.
-    exact = [F.col(n).cast("string").alias(n) if n in ("_fetched_at", "created_at") else F.col(n) for n in same]
-    digest = F.sha2(F.to_json(F.struct(*exact)), 256)
+    # The state holds 128 bits of a row's digest instead of its texts. JSON would cut times to milliseconds, and
+    # is slow on long texts.
+    exact = [
+        F.col(n).cast("string").alias(n) if n in ("_fetched_at", "created_at")
+        else F.sha2(F.col(n), 256).alias(n) if n in ("title", "body") else F.col(n)
+        for n in same
+    ]
+    digest = F.substring(F.unhex(F.sha2(F.to_json(F.struct(*exact)), 256)), 1, 16)
     return united.withColumn("_same", digest).dropDuplicatesWithinWatermark(["_same"]).drop("_same", "_event_time")
 
 
-def upsert_signals(signals, name, checkpoint, buckets=16):
+def upsert_signals(signals, name, checkpoint, buckets=16, taken=None):
     """Keeps the preferred row of each signal of :func:`one_stream` in the bucketed table ``name``.
 
     The slowest feed's watermark holds for all (:data:`WATERMARK_POLICY`), so a feed may lag behind the others
     by any time; one that never delivers keeps the state from shrinking. A stored row only gives way to a preferred one, so
     a repeated micro-batch changes nothing, and neither does the order in which feeds land.
+
+    Micro-batches gather in a table beside ``name`` in the same buckets, which is merged once a run, without a shuffle.
+    So the disk that a run's shuffles take is that of a micro-batch, and small ones don't rewrite the table more
+    often. What a run that broke off has gathered is merged by the next. ``taken()`` is called before the merge, when
+    nothing that has landed is needed any more.
     """
-    spark = signals.sparkSession
+    spark, keys, gathered = signals.sparkSession, ["signal_id"], f"{name}__gathered"
     by_score, fetched, ties = silver.PREFERENCE
-    order = [F.col(by_score).desc(), F.col(fetched).desc(), F.col(ties).asc()]
+    last = silver.LAST_TIES
+    order = [F.col(by_score).desc(), F.col(fetched).desc(), *[F.col(n).asc() for n in (ties, *last)]]
 
     def better(old, new):
         as_good = new(by_score) == old(by_score)
         as_new = as_good & (new(fetched) == old(fetched))
-        return (
-            (new(by_score) > old(by_score)) | (as_good & (new(fetched) > old(fetched))) | (as_new & (new(ties) < old(ties)))
-        )
-
-    before = spark.conf.get(_POLICY_SETTING)
-    spark.conf.set(_POLICY_SETTING, WATERMARK_POLICY)
-    try:
-        return upsert_new_bucketed(signals, name, checkpoint, ["signal_id"], order, buckets=buckets, better=better)
-    finally:
-        spark.conf.set(_POLICY_SETTING, before)
+        # Arrays compare NULLs as the order above does.
+        smaller = F.concat(new(ties), F.array(*map(new, last))) < F.concat(old(ties), F.array(*map(old, last)))
+        return (new(by_score) > old(by_score)) | (as_good & (new(fetched) > old(fetched))) | (as_new & smaller)
+
+    def gather(rows, number):
+        session = rows.sparkSession
+        complete, _ = split_null_keys(rows, keys)
+        with _setting(session, "spark.sql.shuffle.partitions", buckets):
+            append_bucketed(keep_one(complete, keys, order), gathered, keys, buckets)
+        drop_shuffles(rows)
+        release_shuffles(session)
+
+    def merge():
+        if not spark.catalog.tableExists(gathered):
+            return
+        spark.catalog.refreshTable(gathered)
+        rows = spark.table(gathered)
+        if not (spark.catalog.tableExists(name) and rows.isEmpty()):
+            upsert_bucketed(spark, keep_one(rows, keys, order), name, keys, buckets, dealt=True, update_condition=better)
+            spark.catalog.refreshTable(name)
+        spark.sql(f"DROP TABLE {gathered}")
+
+    merge()
+    with _setting(spark, _POLICY_SETTING, WATERMARK_POLICY):
+        query = _run(signals.writeStream.foreachBatch(gather), checkpoint)
+    if taken:
+        taken()
+    merge()
+    return query
 
 
 #: Weeks begin on Monday; the epoch was a Thursday.
